@@ -1,6 +1,6 @@
 """All registered queries, by name."""
 
-from . import history  # noqa: F401
+from . import cleaning, drops, history  # noqa: F401
 from .base import REGISTERED, Query
 
 __all__ = ["REGISTERED", "Query"]
