@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..sources.config import Settings
-from .ordered import carry_forward
+from .ordered import RANGE_WIDTH
 
 SHEET = ["workbook", "sheet"]
 
@@ -156,36 +156,63 @@ def with_sections(headers: DataFrame, settings: Settings, index_keyword: str = "
     )
 
 
-def stacked_titles(grid: DataFrame, settings: Settings) -> DataFrame:
+def stacked_titles(grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH) -> DataFrame:
     """Title rows of stacked tables: ``(workbook, sheet, title_row, name)``.
 
     A title is a lone text of more than ten characters with a filled row right below
-    and no filled row (two or more cells) earlier in its run of non-blank rows.
+    and no filled row (two or more cells) earlier in its run of non-blank rows. Rows
+    are worked on in ranges; what a range needs to know of the others (its
+    neighbours' edge rows, the last filled row and the last start of a run before it)
+    is carried by one summary row per range.
     """
     cells = grid.where((F.col("r") <= settings.max_scan_rows) & (F.col("c") <= settings.max_scan_cols))
     rows = cells.groupBy(*SHEET, "r").agg(F.count(F.lit(1)).alias("filled"), F.min_by("value", "c").alias("text"))
-    # Looking one row down: each row also reports itself to the row above it.
-    above = rows.where(F.col("filled") >= 2).select(*SHEET, (F.col("r") - 1).alias("r"), F.lit(True).alias("opens"))
-    lone = (F.col("filled") == 1) & (F.length("text") > TITLE_MIN_LENGTH)
-    candidates = rows.where(lone).join(above, [*SHEET, "r"])
-    # Only these sheets can hold titles at all; rows of other sheets stop here.
-    rows = rows.join(candidates.select(*SHEET).distinct(), SHEET, "left_semi")
-    stepped = carry_forward(rows.select(*SHEET, "r", "filled"), SHEET, "r", {"prev_row": F.col("r")})
-    stepped = stepped.withColumn("opens_run", F.coalesce(F.col("prev_row") < F.col("r") - 1, F.lit(True)))
-    carried = carry_forward(
-        stepped,
-        SHEET,
-        "r",
-        {
-            "prev_full": F.when(F.col("filled") >= 2, F.col("r")),
-            "prev_open": F.when(F.col("opens_run"), F.col("r")),
-        },
+    order = Window.partitionBy(*SHEET, "part").orderBy("r")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    full_row = F.when(F.col("filled") >= 2, F.col("r"))
+    local = (
+        rows.withColumn("part", F.floor(F.col("r") / F.lit(width)))
+        .withColumns(
+            {
+                "prev_r": F.lag("r").over(order),
+                "next_r": F.lead("r").over(order),
+                "next_filled": F.lead("filled").over(order),
+                "full_before": F.max(full_row).over(before),
+            }
+        )
+        .withColumn("opens", F.when(F.col("prev_r") < F.col("r") - 1, F.col("r")))
+        .withColumn("opened", F.max("opens").over(upto))
+    )
+    edges = local.groupBy(*SHEET, "part").agg(
+        F.min("r").alias("first_r"),
+        F.max("r").alias("last_r"),
+        F.min_by("filled", "r").alias("first_filled"),
+        F.max(full_row).alias("last_full"),
+        F.max("opens").alias("last_open"),
+    )
+    parts = Window.partitionBy(*SHEET).orderBy("part")
+    earlier = parts.rowsBetween(Window.unboundedPreceding, -1)
+    last_before = F.lag("last_r").over(parts)
+    edges = edges.withColumn(
+        "first_opens",
+        F.when(last_before.isNull() | (last_before < F.col("first_r") - 1), F.col("first_r")),
+    ).select(
+        *SHEET,
+        "part",
+        "first_opens",
+        F.lead("first_r").over(parts).alias("far_r"),
+        F.lead("first_filled").over(parts).alias("far_filled"),
+        F.max("last_full").over(earlier).alias("far_full"),
+        F.max(F.greatest("last_open", "first_opens")).over(earlier).alias("far_open"),
     )
-    run_start = F.when(F.col("opens_run"), F.col("r")).otherwise(F.col("prev_open"))
-    free = carried.where(
-        (F.col("filled") == 1) & F.coalesce(F.col("prev_full") < run_start, F.lit(True))
-    ).select(*SHEET, "r")
-    return candidates.join(free, [*SHEET, "r"]).select(
+    lone = local.where((F.col("filled") == 1) & (F.length("text") > TITLE_MIN_LENGTH))
+    seen = lone.join(edges, [*SHEET, "part"])
+    full = F.coalesce("full_before", "far_full")
+    run_start = F.coalesce("opened", "first_opens", "far_open")
+    below_r, below_filled = F.coalesce("next_r", "far_r"), F.coalesce("next_filled", "far_filled")
+    title = (below_r == F.col("r") + 1) & (below_filled >= 2) & (full.isNull() | (full < run_start))
+    return seen.where(title).select(
         *SHEET, F.col("r").alias("title_row"), F.left("text", F.lit(TITLE_KEEP)).alias("name")
     )
 
@@ -203,20 +230,22 @@ def stacked_tables(grid: DataFrame, settings: Settings) -> DataFrame:
     return per_sheet.where(F.size("t") > 1).select(*SHEET, table.alias("stacked"))
 
 
-def empty_columns(grid: DataFrame, headers: DataFrame, settings: Settings) -> DataFrame:
-    """Columns with neither a header nor a value in the rows right below it."""
+def used_columns(grid: DataFrame, headers: DataFrame, settings: Settings) -> DataFrame:
+    """``(workbook, sheet, used)``: columns with a value in the rows right below the header."""
     reach = settings.header_search_max_rows + EMPTY_LOOKAHEAD
     near = grid.where((F.col("r") <= reach) & (F.col("c") <= settings.max_scan_cols)).select(*SHEET, "r", "c")
-    below = (
+    return (
         near.join(headers.select(*SHEET, "header_row"), SHEET)
         .where(F.col("r").between(F.col("header_row") + 1, F.col("header_row") + EMPTY_LOOKAHEAD))
         .groupBy(*SHEET)
         .agg(F.collect_set("c").alias("used"))
     )
-    columns = F.transform("header_cells", lambda x: x["c"])
-    used = F.concat(columns, F.coalesce("used", F.array().cast("array<int>")))
-    empties = F.array_except(F.sequence(F.lit(1), F.array_max(columns)), used)
-    return headers.join(below, SHEET, "left").select(*SHEET, F.transform(empties, X.column_letters).alias("empty_columns"))
+
+
+def empty_columns() -> Column:
+    """Columns with neither a header nor a value below, up to the last header."""
+    filled = F.concat("header_columns", F.coalesce("used", F.array().cast("array<int>")))
+    return F.transform(F.array_except(F.sequence(F.lit(1), "last_col"), filled), X.column_letters)
 
 
 def header_list(settings: Settings) -> Column:
@@ -250,7 +279,8 @@ def profile_sheets(
     full = (
         bounds.join(headers, SHEET, "left")
         .join(stacked_tables(grid, settings), SHEET, "left")
-        .join(empty_columns(grid, headers, settings), SHEET, "left")
+        .join(used_columns(grid, headers, settings), SHEET, "left")
+        .withColumn("empty_columns", empty_columns())
     )
     found = F.col("header_row").isNotNull()
     side = F.size("repeats") > 1

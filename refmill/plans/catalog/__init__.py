@@ -1,6 +1,6 @@
 """All registered queries, by name."""
 
-from . import cleaning, drops, history, sheets  # noqa: F401
+from . import cleaning, drops, history, sheets, structure  # noqa: F401
 from .base import REGISTERED, Query
 
 __all__ = ["REGISTERED", "Query"]
