@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -34,12 +35,14 @@ def shared_dir(spark: SparkSession) -> str | None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder.
 
-    A machine-local folder would be invisible to the other executors, so there is
-    no fallback to one: the caller has to configure ``spark.checkpoint.dir``.
+    A machine-local folder would be invisible to the other executors, so it is used
+    only where none is set and everything runs in one process, as in tests.
     """
     root = shared_dir(spark)
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is needed to stage data")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is needed to stage data")
+        root = tempfile.mkdtemp(prefix="refmill-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
