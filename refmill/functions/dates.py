@@ -19,29 +19,44 @@ _YMD = "(?:^|[^0-9])((?:19|20|21)[0-9]{6})(?:[^0-9]|$)"
 _DMY = "(?:^|[^0-9])([0-9]{4}(?:19|20|21)[0-9]{2})(?:[^0-9]|$)"
 
 
-def _found(text: Column, pattern: str, fmt: str) -> Column:
-    digits = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    day = F.try_to_date(digits, fmt)
-    return F.when(F.year(day).between(1990, 2100), day)
+def _digits(text: Column, pattern: str) -> Column:
+    return F.regexp_extract(text, pattern, 1)
 
 
-def name_date(folder: Column, name: Column) -> Column:
-    """``struct(day, method)`` of a file, from its name or else its folder.
+def _day(digits: Column, year_first: bool) -> Column:
+    """Eight digits → date, or null. Put together as ISO text, so a bad date is a null cast."""
+    at = (1, 5, 7) if year_first else (5, 3, 1)
+    year, month, day = (F.substring(digits, p, n) for p, n in zip(at, (4, 2, 2)))
+    in_range = (F.length(digits) == 8) & year.between("1990", "2100")
+    return F.when(in_range, F.concat_ws("-", year, month, day).try_cast("date"))
 
-    Eight digits may read both ways; year-first wins. Years outside 1990-2100 are
-    taken as a number that is not a date.
+
+def date_digits(folder: Column, name: Column) -> dict[str, Column]:
+    """The digit groups that may be a date: year-first, day-first, of the parent folder."""
+    return {
+        "ymd": _digits(name, _YMD),
+        "dmy": _digits(name, _DMY),
+        "parent": _digits(F.substring_index(F.translate(folder, "\\", "/"), "/", -1), _YMD),
+    }
+
+
+def date_candidates(digits: dict[str, Column]) -> dict[str, Column]:
+    return {k: _day(v, k != "dmy") for k, v in digits.items()}
+
+
+def pick_date(days: dict[str, Column]) -> tuple[Column, Column]:
+    """``(day, method)``. Eight digits may read both ways; year-first wins.
+
+    Years outside 1990-2100 are taken as a number that is not a date.
     """
-    ymd = _found(name, _YMD, "yyyyMMdd")
-    dmy = _found(name, _DMY, "ddMMyyyy")
-    parent = _found(F.element_at(F.split(folder, r"[/\\]"), -1), _YMD, "yyyyMMdd")
-    return F.struct(
-        F.coalesce(ymd, dmy, parent).alias("day"),
-        F.when(ymd.isNotNull(), BY_NAME_YMD)
-        .when(dmy.isNotNull(), BY_NAME_DMY)
-        .when(parent.isNotNull(), BY_FOLDER)
+    day = F.coalesce(days["ymd"], days["dmy"], days["parent"])
+    method = (
+        F.when(days["ymd"].isNotNull(), BY_NAME_YMD)
+        .when(days["dmy"].isNotNull(), BY_NAME_DMY)
+        .when(days["parent"].isNotNull(), BY_FOLDER)
         .otherwise(BY_NOTHING)
-        .alias("method"),
     )
+    return day, method
 
 
 def size_mb(total_bytes: Column) -> Column:

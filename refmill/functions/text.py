@@ -24,7 +24,9 @@ _NUMBER = r"^[+-]?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?$"
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Ends stripped; the character-set trim only runs where an end is not plain ASCII."""
+    plain_ends = F.ascii(text).between(33, 126) & F.ascii(F.right(text, F.lit(1))).between(33, 126)
+    return F.when(plain_ends, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def squeeze(text: Column) -> Column:
@@ -60,12 +62,13 @@ def number_text(text: Column, thousands: str = ",", decimal: str = ".") -> Colum
     plain = F.replace(t, F.lit(thousands), F.lit("")) if thousands else t
     if decimal and decimal != ".":
         plain = F.replace(plain, F.lit(decimal), F.lit("."))
-    return F.when(~t.rlike(_CODE) & plain.rlike(_NUMBER), plain)
+    is_code = t.startswith("0") & t.rlike(_CODE)
+    return F.when(~is_code & plain.rlike(_NUMBER), plain)
 
 
 def is_whole_text(number: Column) -> Column:
     """True for number text without a fraction or exponent."""
-    return ~number.rlike("[.eE]")
+    return ~(number.contains(".") | number.contains("e") | number.contains("E"))
 
 
 def number_double(number: Column) -> Column:

@@ -25,6 +25,9 @@ PII_PATTERNS = {
     "UK_POSTCODE": (0.5, r"\b[A-Z]{1,2}[0-9][A-Z0-9]? [0-9][A-Z]{2}\b"),
 }
 
+# A character every match holds; texts without it skip the pattern.
+PII_HINTS = {"EMAIL": "@"}
+
 CONTRACT_DDL = "dataset_id string, version int, ordinal int, name string, type string, nullable boolean"
 RULES_DDL = "rule_id string, kind string, column string, min double, max double, values array<string>"
 
@@ -153,9 +156,10 @@ def pii_scan(
     texts = df.select(*[F.col(f"`{c}`") for c in columns])
     if sample_rows is not None:
         texts = texts.limit(sample_rows)
-    detectors: dict[str, tuple[float, Column]] = {
-        name: (score, F.col("text").rlike(pattern)) for name, (score, pattern) in PII_PATTERNS.items()
-    }
+    detectors: dict[str, tuple[float, Column]] = {}
+    for name, (score, pattern) in PII_PATTERNS.items():
+        hit = F.col("text").rlike(pattern)
+        detectors[name] = (score, F.col("text").contains(PII_HINTS[name]) & hit if name in PII_HINTS else hit)
     for name, (score, detect) in (extra or {}).items():
         detectors[name] = (score, detect(F.col("text")))
     if len(columns) == 1:

@@ -23,10 +23,13 @@ def matching_files(files: DataFrame, keyword: str | None = None, name_filter: st
 
 
 def dated_files(files: DataFrame) -> DataFrame:
-    """Add ``file_day`` and ``method``."""
-    return files.withColumn("_d", D.name_date(F.col("folder"), F.col("name"))).select(
-        *files.columns, F.col("_d.day").alias("file_day"), F.col("_d.method").alias("method")
-    )
+    """Add ``file_day`` and ``method``: digits, then dates, then the pick, each computed once."""
+    digits = D.date_digits(F.col("folder"), F.col("name"))
+    found = files.select("*", *[v.alias(f"_{k}") for k, v in digits.items()])
+    days = D.date_candidates({k: F.col(f"_{k}") for k in digits})
+    found = found.select(*files.columns, *[v.alias(f"_{k}") for k, v in days.items()])
+    day, method = D.pick_date({k: F.col(f"_{k}") for k in days})
+    return found.select(*files.columns, day.alias("file_day"), method.alias("method"))
 
 
 def per_day(dated: DataFrame) -> DataFrame:

@@ -77,31 +77,56 @@ def blocks_of(sheet: Mapping[str, Any]) -> list[Block]:
     return [Block(number=0, name=None, start_col=start, end_col=None, columns=listed, **common)]
 
 
+def _disjoint(blocks: Sequence[Block]) -> bool:
+    """True when no cell can lie in two blocks: closed column spans that do not overlap."""
+    spans = sorted((b.start_col, b.end_col or 0) for b in blocks)
+    closed = all(b.end_col is not None for b in blocks)
+    return len(blocks) == 1 or (closed and all(a[1] < b[0] for a, b in zip(spans, spans[1:])))
+
+
 def with_blocks(cells: DataFrame, blocks: Sequence[Block], inside: Column | None = None) -> DataFrame:
     """Attach every block whose columns (and rows from its first header on) hold the cell.
 
-    A narrow step: the block list is a literal taken apart per row, no join.
+    A narrow step: the blocks are literals in the expression, no join. Cells outside
+    all blocks are filtered out at the scan.
     """
-    literal = F.array(
-        *[
-            F.struct(
-                F.lit(b.number).alias("block"),
-                F.lit(b.start_col).alias("start_col"),
-                F.lit(b.end_col).cast("int").alias("end_col"),
-                F.array(*[F.lit(r) for r in b.header_rows]).alias("header_rows"),
-                F.lit(b.data_start).alias("data_start"),
-                F.lit(b.data_end).cast("int").alias("data_end"),
-            )
-            for b in blocks
-        ]
+
+    def holds(b: Block) -> Column:
+        at = (F.col("r") >= min(b.data_start, *b.header_rows)) & (F.col("c") >= b.start_col)
+        if b.end_col is not None:
+            at = at & (F.col("c") <= b.end_col)
+        # Below a given last row only header rows could follow.
+        if b.data_end is not None:
+            at = at & (F.col("r") <= max(b.data_end, *b.header_rows))
+        return at
+
+    numbers = [F.when(holds(b), F.lit(b.number)) for b in blocks]
+    if _disjoint(blocks):
+        found = cells.withColumn("block", F.coalesce(*numbers)).where(F.col("block").isNotNull())
+    else:
+        found = cells.select("*", F.explode(F.array_compact(F.array(*numbers))).alias("block"))
+
+    def of_block(value, kind: str) -> Column:
+        """An attribute of the cell's block, as one literal where all blocks agree."""
+        values = {b.number: value(b) for b in blocks}
+        if len(set(values.values())) == 1:
+            return _literal(next(iter(values.values()))).cast(kind)
+        pairs = F.create_map(*[x for n, v in values.items() for x in (F.lit(n), _literal(v).cast(kind))])
+        return F.try_element_at(pairs, F.col("block"))
+
+    found = found.select(
+        "*",
+        of_block(lambda b: b.start_col, "int").alias("start_col"),
+        of_block(lambda b: b.end_col, "int").alias("end_col"),
+        of_block(lambda b: b.header_rows, "array<int>").alias("header_rows"),
+        of_block(lambda b: b.data_start, "int").alias("data_start"),
+        of_block(lambda b: b.data_end, "int").alias("data_end"),
     )
+    return found if inside is None else found.where(inside)
 
-    def holds(b: Column) -> Column:
-        from_first_row = F.col("r") >= F.least(b["data_start"], F.array_min(b["header_rows"]))
-        return from_first_row & (F.col("c") >= b["start_col"]) & (b["end_col"].isNull() | (F.col("c") <= b["end_col"]))
 
-    found = cells.select("*", F.inline(F.filter(literal, holds)))
-    return found if inside is None else found.where(inside)
+def _literal(value) -> Column:
+    return F.array(*[F.lit(v) for v in value]) if isinstance(value, tuple) else F.lit(value)
 
 
 def _in_scan(settings: Settings) -> Column:
@@ -150,9 +175,17 @@ def header_labels(
 
 
 def unique_labels(labels: Column) -> Column:
-    """Later repeats get ``_2``, ``_3`` …; a suffix already in use is skipped."""
+    """Later repeats get ``_2``, ``_3`` …; a suffix already in use is skipped.
+
+    Counting earlier equals gives the names unless a label itself looks like a
+    suffixed one; only then the labels are folded one by one.
+    """
     size = F.size(labels)
 
+    def numbered(label: Column, i: Column) -> Column:
+        earlier = F.size(F.filter(F.slice(labels, F.lit(1), i), lambda x: x == label))
+        return F.when(earlier > 0, F.concat(label, F.lit("_"), (earlier + 1).cast("string"))).otherwise(label)
+
     def free_name(out: Column, label: Column) -> Column:
         tries = F.transform(F.sequence(F.lit(2), size + 1), lambda k: F.concat(label, F.lit("_"), k.cast("string")))
         return F.element_at(F.filter(tries, lambda t: ~F.array_contains(out, t)), 1)
@@ -161,8 +194,13 @@ def unique_labels(labels: Column) -> Column:
         name = F.when(F.array_contains(out, label), free_name(out, label)).otherwise(label)
         return F.concat(out, F.array(name))
 
+    counted = F.transform(labels, numbered)
     folded = F.aggregate(labels, F.lit([]).cast("array<string>"), step)
-    return F.when(F.size(F.array_distinct(labels)) == size, labels).otherwise(folded)
+    return (
+        F.when(F.size(F.array_distinct(labels)) == size, labels)
+        .when(F.size(F.array_distinct(counted)) == size, counted)
+        .otherwise(folded)
+    )
 
 
 def explicit_labels(cells: DataFrame, block: Block) -> DataFrame:

@@ -17,31 +17,56 @@ from ..functions import text as X
 # --- fixed values: overrides a config may name per column
 OVERRIDES = ("string", "int", "float", "number", "keep")
 
-COUNTS = (
-    "filled", "texts", "parsed", "parsed_whole", "parsed_big", "numbers", "numbers_whole", "bools", "dates",
-)
+# --- fixed values: what a filled cell can be, as far as typing is concerned
+CLASSES = {
+    "text": 0, "whole_text": 1, "fraction_text": 2, "big_text": 3,
+    "whole_number": 4, "fraction_number": 5, "flag": 6, "date": 7,
+}
 
 
-def column_counts(value: Column, kind: Column, thousands: str = ",", decimal: str = ".") -> dict[str, Column]:
-    """Aggregates over one column (or, grouped, over many)."""
-    number = X.number_text(value, thousands, decimal)
-    is_text = (kind == "string") & value.isNotNull()
-    is_number = (kind == "number") & value.isNotNull()
+def cell_class(value: Column, kind: Column, number: Column) -> Column:
+    """Class code of a cell; ``number`` is its number text where it has one. Null when empty."""
     whole = X.number_bigint(number).isNotNull()
-    too_big = number.isNotNull() & X.is_whole_text(number) & number.try_cast("bigint").isNull()
+    big = X.is_whole_text(number) & number.try_cast("bigint").isNull()
+    return (
+        F.when(value.isNull(), None)
+        .when(
+            kind == "string",
+            F.when(number.isNull(), CLASSES["text"])
+            .when(big, CLASSES["big_text"])
+            .when(whole, CLASSES["whole_text"])
+            .otherwise(CLASSES["fraction_text"]),
+        )
+        .when(kind == "number", F.when(whole, CLASSES["whole_number"]).otherwise(CLASSES["fraction_number"]))
+        .when(kind == "bool", CLASSES["flag"])
+        .otherwise(CLASSES["date"])
+    )
+
+
+def class_counts() -> dict[str, Column]:
+    """The counts that :func:`decide_type` needs, from rows ``(class, n)`` of one column."""
+
+    def of(*names: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("class").isin([CLASSES[n] for n in names]), F.col("n"))), F.lit(0))
+
     return {
-        "filled": F.count(value),
-        "texts": F.count_if(is_text),
-        "parsed": F.count_if(is_text & number.isNotNull()),
-        "parsed_whole": F.count_if(is_text & whole),
-        "parsed_big": F.count_if(is_text & too_big),
-        "numbers": F.count_if(is_number),
-        "numbers_whole": F.count_if(is_number & X.number_bigint(value).isNotNull()),
-        "bools": F.count_if((kind == "bool") & value.isNotNull()),
-        "dates": F.count_if((kind == "date") & value.isNotNull()),
+        "filled": F.coalesce(F.sum(F.when(F.col("class").isNotNull(), F.col("n"))), F.lit(0)),
+        "texts": of("text", "whole_text", "fraction_text", "big_text"),
+        "parsed": of("whole_text", "fraction_text", "big_text"),
+        "parsed_whole": of("whole_text"),
+        "parsed_big": of("big_text"),
+        "numbers": of("whole_number", "fraction_number"),
+        "numbers_whole": of("whole_number"),
+        "bools": of("flag"),
+        "dates": of("date"),
     }
 
 
+COUNTS = (
+    "filled", "texts", "parsed", "parsed_whole", "parsed_big", "numbers", "numbers_whole", "bools", "dates",
+)
+
+
 def decide_type(mode: Column, override: Column, count: Mapping[str, Column] | None = None) -> Column:
     """Result type of a column, from its counts: a plain expression over one row per column.
 
@@ -81,35 +106,29 @@ def decide_type(mode: Column, override: Column, count: Mapping[str, Column] | No
     )
 
 
+def plain_number(value: Column, kind: Column, thousands: str = ",", decimal: str = ".") -> Column:
+    """Number text of a cell of any kind: texts are parsed, flags count as 1 and 0."""
+    flag = F.when(F.lower(value) == "true", "1").otherwise("0")
+    text = X.number_text(value, thousands, decimal)
+    return F.when(kind == "string", text).when(kind == "bool", flag).when(kind == "number", value)
+
+
 def typed_value(
-    value: Column,
-    kind: Column,
-    target: str,
-    parse: bool = False,
-    as_float: bool = False,
-    thousands: str = ",",
-    decimal: str = ".",
+    value: Column, kind: Column, number: Column, target: str, parse: bool = False, as_float: bool = False
 ) -> Column:
-    """Project one column to its decided type."""
-    number = X.number_text(value, thousands, decimal)
-    flag = F.when(F.lower(value) == "true", "1").otherwise("0")
-    plain = F.when(kind == "string", number).when(kind == "bool", flag).otherwise(value)
+    """Project one column to its decided type; ``number`` is its :func:`plain_number`."""
     if target == "bigint":
-        return X.number_bigint(plain)
+        return X.number_bigint(number)
     if target == "double":
-        return X.number_double(plain)
-    if target == "boolean":
-        return value.try_cast("boolean")
-    if target == "timestamp":
-        return value.try_cast("timestamp")
+        return X.number_double(number)
+    if target in ("boolean", "timestamp"):
+        return value.try_cast(target)
     if not parse:
         return value
     # Aggressive parsing that left text behind: numbers in canonical spelling, as text.
+    whole = X.is_whole_text(number)
     as_double = number.try_cast("double").cast("string")
-    canonical = as_double if as_float else F.coalesce(
-        F.when(X.is_whole_text(number), number.try_cast("bigint").cast("string")),
-        F.when(~X.is_whole_text(number), as_double),
-    )
+    canonical = as_double if as_float else F.when(whole, number.try_cast("bigint").cast("string")).otherwise(as_double)
     return F.when(kind == "string", F.coalesce(canonical, value)).otherwise(value)
 
 
@@ -123,20 +142,42 @@ def type_plan(
 ) -> DataFrame:
     """One row per column: ``name``, its counts, and the decided ``type``.
 
-    One pass and one tiny shuffle; the row count equals the number of columns.
+    Each cell is parsed once and reduced to a class code; the codes are counted per
+    column before the shuffle, which carries at most nine rows per column and task.
     """
-    per_column = [
-        F.struct(
-            F.lit(name).alias("name"),
-            F.lit(overrides.get(name)).cast("string").alias("override"),
-            *[e.alias(k) for k, e in column_counts(
-                F.col(f"`{name}`.value"), F.col(f"`{name}`.kind"), thousands, decimal
-            ).items()],
+
+    def number(name: str) -> Column:
+        return plain_number(F.col(f"`{name}`.value"), F.col(f"`{name}`.kind"), thousands, decimal)
+
+    parsed = wide.select(
+        *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)],
+        *[number(c).alias(f"n{i}") for i, c in enumerate(columns)],
+    )
+    coded = parsed.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("at"),
+                        cell_class(F.col(f"v{i}.value"), F.col(f"v{i}.kind"), F.col(f"n{i}")).alias("class"),
+                    )
+                    for i in range(len(columns))
+                ]
+            )
         )
-        for name in columns
-    ]
-    flat = wide.agg(F.array(*per_column).alias("plan")).select(F.inline("plan"))
-    return flat.withColumn("type", decide_type(F.lit(mode), F.col("override")))
+    )
+    per_class = coded.groupBy("at", "class").agg(F.count(F.lit(1)).alias("n"))
+    counted = per_class.groupBy("at").agg(*[e.alias(k) for k, e in class_counts().items()])
+    # Columns of a table without rows still get a type.
+    names = F.array(
+        *[
+            F.struct(F.lit(i).alias("at"), F.lit(c).alias("name"), F.lit(overrides.get(c)).cast("string").alias("override"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    listed = wide.sparkSession.range(1).select(F.inline(names))
+    full = listed.join(counted, "at", "left").fillna(0, list(COUNTS))
+    return full.withColumn("type", decide_type(F.lit(mode), F.col("override"))).drop("at")
 
 
 def apply_types(
@@ -147,20 +188,32 @@ def apply_types(
     thousands: str = ",",
     decimal: str = ".",
 ) -> DataFrame:
-    """Struct columns → typed columns, by the collected plan ``name → type``."""
+    """Struct columns → typed columns, by the collected plan ``name → type``.
+
+    The number text of a cell is projected first, so that it is worked out once.
+    """
 
     def parse(name: str) -> bool:
         rule = overrides.get(name)
         return rule in ("int", "float", "number") or (mode == "aggressive" and rule not in ("string", "keep"))
 
+    needs = {n: i for i, n in enumerate(plan) if plan[n] in ("bigint", "double") or (plan[n] == "string" and parse(n))}
+    parsed = wide.select(
+        "*",
+        *[
+            plain_number(F.col(f"`{n}`.value"), F.col(f"`{n}`.kind"), thousands, decimal).alias(f"_number_{i}")
+            for n, i in needs.items()
+        ],
+    )
+
     def project(name: str) -> Column:
         if name not in plan:
             return F.col(f"`{name}`")
         value, kind = F.col(f"`{name}`.value"), F.col(f"`{name}`.kind")
-        as_float = overrides.get(name) == "float"
-        return typed_value(value, kind, plan[name], parse(name), as_float, thousands, decimal).alias(name)
+        number = F.col(f"_number_{needs[name]}") if name in needs else F.lit(None)
+        return typed_value(value, kind, number, plan[name], parse(name), overrides.get(name) == "float").alias(name)
 
-    return wide.select(*[project(c) for c in wide.columns])
+    return parsed.select(*[project(c) for c in wide.columns])
 
 
 def table_profile(df: DataFrame, table: str | None = None) -> DataFrame:

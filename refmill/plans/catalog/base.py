@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...session import spread, stage
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,8 +43,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def select(spark: SparkSession, sf_dir: str, source: str, columns: dict[str, str], where: str | None = None) -> DataFrame:
+def select(
+    spark: SparkSession,
+    sf_dir: str,
+    source: str,
+    columns: dict[str, str],
+    where: str | None = None,
+    wide_work: bool = False,
+) -> DataFrame:
+    """Projection of a table. ``wide_work`` spreads a small file before costly expressions."""
     df = table(spark, sf_dir, source)
+    if wide_work:
+        used = [c for c in df.columns if any(c in e for e in [*columns.values(), where or ""])]
+        df = spread(df.select(*used))
     df = df.where(where) if where else df
     return df.select(*[F.expr(e).alias(n) for n, e in columns.items()])
 
@@ -84,11 +97,15 @@ class Grid:
                 for x in self.cells
             ]
         )
-        return (
-            table(spark, sf_dir, self.source)
-            .select(F.expr(self.workbook).alias("workbook"), F.expr(self.sheet).alias("sheet"), F.inline(entries))
-            .where("value IS NOT NULL")
-        )
+        texts = [self.workbook, self.sheet, *[t for x in self.cells for t in (x.r, x.c, x.value, x.when)]]
+        df = table(spark, sf_dir, self.source)
+        df = spread(df.select(*[c for c in df.columns if any(c in t for t in texts)]))
+        cells = df.select(F.expr(self.workbook).alias("workbook"), F.expr(self.sheet).alias("sheet"), F.inline(entries))
+        return cells.where("value IS NOT NULL")
+
+    def staged(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The cells as the stored table they are for operators that read them more than once."""
+        return stage(self.spark(spark, sf_dir))
 
     def sql(self) -> str:
         parts = [

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ...operators import extract as X
 from ...operators import merges as M
-from ...session import scratch_path
+from ...session import scratch_path, stage
 from ...sources.config import Settings
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory
@@ -135,7 +135,7 @@ def workbook_merges(spark, sf_dir):
 def workbook_to_table(spark, sf_dir):
     """From files to one typed table: scan, merged banner, two header rows, types."""
     books = parse_workbooks(book_files(spark, sf_dir))
-    grid = M.fill_merged(books.cells, books.merges)
+    grid = stage(M.fill_merged(books.cells, books.merges))
     sheet = {
         "sheet_name": "Parts", "output_name": "parts", "table_type": "simple", "header_rows": [1, 2],
         "data_start_row": 3, "index_columns": ["Item | Key"],

@@ -21,7 +21,7 @@ CLEAN_HEADER = "nullif(trim(regexp_replace(regexp_replace(trim(raw, ' ' || chr(9
 
 @query("clean_headers", f"SELECT p_partkey, {CLEAN_HEADER} AS header FROM ({select_sql('part', HEADERS)})")
 def clean_headers(spark, sf_dir):
-    return select(spark, sf_dir, "part", HEADERS).select("p_partkey", X.clean_header(F.col("raw")).alias("header"))
+    return select(spark, sf_dir, "part", HEADERS, wide_work=True).select("p_partkey", X.clean_header(F.col("raw")).alias("header"))
 
 
 @query(
@@ -66,7 +66,7 @@ CLEANED_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, " + ", ".join(
 
 
 def cleaned(spark, sf_dir):
-    df = select(spark, sf_dir, "lineitem", VALUES)
+    df = select(spark, sf_dir, "lineitem", VALUES, wide_work=True)
     return df.withColumns({c: X.clean_value(F.col(c)) for c in ("quantity", "flag", "status")})
 
 
@@ -113,7 +113,7 @@ _WHOLE = "NOT contains(n, '.') AND NOT contains(n, 'e')"
     """,
 )
 def parse_numbers(spark, sf_dir):
-    n = select(spark, sf_dir, "orders", NUMBERS).select("o_orderkey", X.number_text(F.col("raw")).alias("n"))
+    n = select(spark, sf_dir, "orders", NUMBERS, wide_work=True).select("o_orderkey", X.number_text(F.col("raw")).alias("n"))
     return n.select(
         "o_orderkey",
         F.col("n").alias("number_text"),
@@ -185,7 +185,7 @@ def _type_case(mode: str, overrides: dict[str, str]) -> str:
 
 
 def _plan(spark, sf_dir, mode, overrides):
-    wide = as_cells(select(spark, sf_dir, "orders", TYPED))
+    wide = as_cells(select(spark, sf_dir, "orders", TYPED, wide_work=True))
     return TY.type_plan(wide, wide.columns, mode, overrides).select("name", "filled", "parsed", "parsed_whole", "type")
 
 
@@ -213,7 +213,7 @@ def typed_column_plan_overrides(spark, sf_dir):
 )
 def typed_columns(spark, sf_dir):
     """Columns projected to the types that the plan of the same data decides."""
-    wide = as_cells(select(spark, sf_dir, "orders", TYPED))
+    wide = as_cells(select(spark, sf_dir, "orders", TYPED, wide_work=True))
     plan = {p["name"]: p["type"] for p in TY.type_plan(wide, wide.columns, "safe", {}).collect()}
     return TY.apply_types(wide, plan, "safe", {})
 
@@ -226,7 +226,7 @@ def typed_columns(spark, sf_dir):
     """,
 )
 def typed_columns_aggressive(spark, sf_dir):
-    wide = as_cells(select(spark, sf_dir, "orders", TYPED))
+    wide = as_cells(select(spark, sf_dir, "orders", TYPED, wide_work=True))
     plan = {p["name"]: p["type"] for p in TY.type_plan(wide, wide.columns, "aggressive", _OVERRIDES).collect()}
     return TY.apply_types(wide, plan, "aggressive", _OVERRIDES)
 
@@ -312,7 +312,7 @@ def table_profile(spark, sf_dir):
     "SELECT 'empty' AS column_name, 'string' AS data_type, count(*) AS rows, count(*) AS nulls FROM orders",
 )
 def all_null_columns(spark, sf_dir):
-    return TY.all_null_columns(TY.table_profile(select(spark, sf_dir, "orders", TYPED)))
+    return TY.all_null_columns(TY.table_profile(select(spark, sf_dir, "orders", TYPED, wide_work=True)))
 
 
 @query(

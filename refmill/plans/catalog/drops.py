@@ -36,7 +36,7 @@ DAYS_SQL = f"SELECT folder, file_day, count(*) AS files, CAST(sum(bytes) AS BIGI
 
 
 def files(spark, sf_dir):
-    return select(spark, sf_dir, "orders", FILES)
+    return select(spark, sf_dir, "orders", FILES, wide_work=True)
 
 
 def dated(spark, sf_dir):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ...operators import gates as G
 from ...operators import ordered as O
-from ...session import scratch_path
+from ...session import scratch_path, spread
 from ...sources import files as FS
 from .. import audit as A
 from .. import extraction as E
@@ -81,7 +81,7 @@ ORDER_CONTRACT = (
 )
 def contract_drift(spark, sf_dir):
     """Casts that fail and nulls that must not be, counted for all columns in one pass."""
-    return G.drift_violations(select(spark, sf_dir, "orders", RAW_ORDERS), ORDER_CONTRACT)
+    return G.drift_violations(select(spark, sf_dir, "orders", RAW_ORDERS, wide_work=True), ORDER_CONTRACT)
 
 
 def _contract_rows(spark, sf_dir, version: int):
@@ -128,7 +128,7 @@ def _pii_sql(source: str, columns: tuple[str, ...]) -> str:
 @query("pii_scan", _pii_sql("documents", ("text", "lang", "source")))
 def pii_scan(spark, sf_dir):
     """Whole texts of all documents against every pattern."""
-    return G.pii_scan(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+    return G.pii_scan(spread(table(spark, sf_dir, "documents").select("text", "lang", "source")))
 
 
 _MESSAGES = "(SELECT concat('to ', role, conv_id, '@example.org: ', text) AS text FROM conversations)"
@@ -138,7 +138,7 @@ _MESSAGES = "(SELECT concat('to ', role, conv_id, '@example.org: ', text) AS tex
 def pii_tripwire(spark, sf_dir):
     """Findings that block a load: messages with an address line put before them."""
     text = F.concat(F.lit("to "), "role", F.col("conv_id").cast("string"), F.lit("@example.org: "), "text")
-    return G.blocking(G.pii_scan(table(spark, sf_dir, "conversations").select(text.alias("text"))))
+    return G.blocking(G.pii_scan(spread(table(spark, sf_dir, "conversations")).select(text.alias("text"))))
 
 
 @query(
@@ -151,7 +151,7 @@ def pii_tripwire(spark, sf_dir):
 def pii_detector_hook(spark, sf_dir):
     """A caller's own detector next to the built-in ones."""
     extra = {"SECRET": (0.8, lambda text: F.contains(text, F.lit("password")))}
-    found = G.pii_scan(table(spark, sf_dir, "documents").select("text"), extra=extra)
+    found = G.pii_scan(spread(table(spark, sf_dir, "documents").select("text")), extra=extra)
     return found.where(F.col("entity") == "SECRET")
 
 

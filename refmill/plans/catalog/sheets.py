@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ...operators import extract as X
 from ...operators import layout as L
 from ...operators import merges as M
+from ...session import stage
 from ...sources.config import Settings
 from .base import Cell, Grid, chunk, chunk_name, query, select
 
@@ -57,7 +58,7 @@ SIMPLE = {
 )
 def cells_to_table(spark, sf_dir):
     """Headers cleaned and made unique, blank header skipped, columns typed, table end found."""
-    t = X.extract_table(CUSTOMERS.spark(spark, sf_dir), SIMPLE, Settings(), provenance=True)
+    t = X.extract_table(CUSTOMERS.staged(spark, sf_dir), SIMPLE, Settings(), provenance=True)
     return t.frame.drop("sheet", "block")
 
 
@@ -74,7 +75,7 @@ def cells_to_table(spark, sf_dir):
 )
 def cells_to_records(spark, sf_dir):
     """The long form alone: one plan, no driver round trip."""
-    recs = X.records(CUSTOMERS.spark(spark, sf_dir), SIMPLE, Settings())
+    recs = X.records(CUSTOMERS.staged(spark, sf_dir), SIMPLE, Settings())
     return recs.select("workbook", "r", "header", "value")
 
 
@@ -99,7 +100,7 @@ EXPLICIT = {
 )
 def explicit_columns(spark, sf_dir):
     """Named columns, payload test, and the whole post-processing chain."""
-    return X.extract_table(CUSTOMERS.spark(spark, sf_dir), EXPLICIT, Settings()).frame
+    return X.extract_table(CUSTOMERS.staged(spark, sf_dir), EXPLICIT, Settings()).frame
 
 
 # --------------------------------------------------------------------------- end of table
@@ -181,7 +182,7 @@ SIDE_BY_SIDE = {
     """,
 )
 def side_by_side(spark, sf_dir):
-    return X.extract_table(ORDERS.spark(spark, sf_dir), SIDE_BY_SIDE, Settings()).frame
+    return X.extract_table(ORDERS.staged(spark, sf_dir), SIDE_BY_SIDE, Settings()).frame
 
 
 @query(
@@ -199,7 +200,7 @@ def side_by_side(spark, sf_dir):
 )
 def side_by_side_unpivot(spark, sf_dir):
     """The tidy form of the same sheets, forced over the config."""
-    return X.extract_table(ORDERS.spark(spark, sf_dir), SIDE_BY_SIDE, Settings(), unpivot_mode="force_unpivot").frame
+    return X.extract_table(ORDERS.staged(spark, sf_dir), SIDE_BY_SIDE, Settings(), unpivot_mode="force_unpivot").frame
 
 
 # --------------------------------------------------------------------------- stacked
@@ -248,7 +249,7 @@ STACKED = {
     """,
 )
 def stacked(spark, sf_dir):
-    cells = STACK_CUSTOMERS.spark(spark, sf_dir).unionByName(STACK_SUPPLIERS.spark(spark, sf_dir))
+    cells = STACK_CUSTOMERS.staged(spark, sf_dir).unionByName(STACK_SUPPLIERS.spark(spark, sf_dir))
     return X.extract_table(cells, STACKED, Settings()).frame
 
 
@@ -289,7 +290,7 @@ MERGE_RANGES = {
     """,
 )
 def merge_fill(spark, sf_dir):
-    cells = MERGE_CELLS.spark(spark, sf_dir)
+    cells = MERGE_CELLS.staged(spark, sf_dir)
     ranges = select(spark, sf_dir, "customer", MERGE_RANGES)
     return M.fill_merged(cells, ranges).select("sheet", "r", "c", "value", "origin")
 
@@ -321,7 +322,7 @@ PART_HEADERS = Grid(
 def multi_row_header(spark, sf_dir):
     """Three header rows folded into one label per column, equal neighbours once."""
     sheet = {**SIMPLE, "sheet_name": "H", "header_row": None, "header_rows": [1, 2, 3], "data_start_row": 4}
-    labels = L.header_labels(PART_HEADERS.spark(spark, sf_dir), L.blocks_of(sheet), Settings())
+    labels = L.header_labels(PART_HEADERS.staged(spark, sf_dir), L.blocks_of(sheet), Settings())
     return labels.select("workbook", "c", "header")
 
 
@@ -333,7 +334,7 @@ def multi_row_header(spark, sf_dir):
 )
 def table_width(spark, sf_dir):
     sheet = {**SIMPLE, "sheet_name": "H", "header_row": 1, "data_start_row": 4}
-    widths = L.block_widths(PART_HEADERS.spark(spark, sf_dir), L.blocks_of(sheet), Settings())
+    widths = L.block_widths(PART_HEADERS.staged(spark, sf_dir), L.blocks_of(sheet), Settings())
     return widths.select("workbook", "last_col")
 
 
@@ -348,7 +349,7 @@ def sheet_presence(spark, sf_dir):
     """Configured sheets that a workbook does not have."""
     from ...operators.constraints import missing_names
 
-    cells = CUSTOMERS.spark(spark, sf_dir)
+    cells = CUSTOMERS.staged(spark, sf_dir)
     present = cells.select("workbook", "sheet").distinct()
     wanted = present.select("workbook").distinct().select("workbook", F.explode(F.array(F.lit("Data"), F.lit("Summary"))).alias("sheet"))
     return missing_names(wanted, present, ["workbook", "sheet"])

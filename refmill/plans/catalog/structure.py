@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ... import ENGINE_VERSION
 from ...operators import profiling as P
 from ...sources import config as CFG
+from ...session import stage
 from ...sources.config import Settings
 from .base import Cell, Grid, chunk, chunk_name, query
 
@@ -91,7 +92,7 @@ def grid_of(spark, sf_dir, *grids):
     out = grids[0].spark(spark, sf_dir)
     for g in grids[1:]:
         out = out.unionByName(g.spark(spark, sf_dir))
-    return out
+    return stage(out)
 
 
 @query(

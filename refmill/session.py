@@ -46,6 +46,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where a small unsplittable file would be read and worked on by few.
+
+    A scan that already has a partition per core, as any large table has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Materialise a frame that several later actions read.
 

@@ -175,7 +175,7 @@ def parse_workbooks(files: DataFrame) -> Workbooks:
     )
     broken = events.where("what = 'error'").select("workbook", F.col("text").alias("error"))
     sheets = _sheets(events)
-    return Workbooks(_cells(events, sheets), _merges(events, sheets), sheets.drop("part"), refused.unionByName(broken))
+    return Workbooks(stage(_cells(events, sheets)), _merges(events, sheets), sheets.drop("part"), refused.unionByName(broken))
 
 
 def _sheets(events: DataFrame) -> DataFrame:
