@@ -33,11 +33,16 @@ def dated_files(files: DataFrame) -> DataFrame:
 
 
 def per_day(dated: DataFrame) -> DataFrame:
-    """``(folder, file_day, files, bytes)`` of the dated files."""
+    """``(folder, file_day, files, bytes)`` of the dated files.
+
+    Undated files are dropped after counting: a filter on the day itself would be
+    pushed to the scan together with the whole date search, and that run twice.
+    """
     return (
-        dated.where(F.col("file_day").isNotNull())
-        .groupBy("folder", "file_day")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
+        dated.groupBy("folder", "file_day")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.max("file_day").alias("_day"))
+        .where(F.col("_day").isNotNull())
+        .drop("_day")
     )
 
 

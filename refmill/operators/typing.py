@@ -146,26 +146,23 @@ def type_plan(
     column before the shuffle, which carries at most nine rows per column and task.
     """
 
-    def number(name: str) -> Column:
-        return plain_number(F.col(f"`{name}`.value"), F.col(f"`{name}`.kind"), thousands, decimal)
-
-    parsed = wide.select(
-        *[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(columns)],
-        *[number(c).alias(f"n{i}") for i, c in enumerate(columns)],
-    )
-    coded = parsed.select(
+    cells = wide.select(
         F.inline(
             F.array(
                 *[
                     F.struct(
                         F.lit(i).alias("at"),
-                        cell_class(F.col(f"v{i}.value"), F.col(f"v{i}.kind"), F.col(f"n{i}")).alias("class"),
+                        F.col(f"`{c}`.value").alias("value"),
+                        F.col(f"`{c}`.kind").alias("kind"),
                     )
-                    for i in range(len(columns))
+                    for i, c in enumerate(columns)
                 ]
             )
         )
     )
+    value, kind = F.col("value"), F.col("kind")
+    parsed = cells.select("at", "value", "kind", plain_number(value, kind, thousands, decimal).alias("number"))
+    coded = parsed.select("at", cell_class(value, kind, F.col("number")).alias("class"))
     per_class = coded.groupBy("at", "class").agg(F.count(F.lit(1)).alias("n"))
     counted = per_class.groupBy("at").agg(*[e.alias(k) for k, e in class_counts().items()])
     # Columns of a table without rows still get a type.

@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call sites of every column expression cost more than planning does on wide tables.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -58,13 +60,14 @@ def spread(df: DataFrame) -> DataFrame:
 def stage(df: DataFrame) -> DataFrame:
     """Materialise a frame that several later actions read.
 
-    With a shared checkpoint folder the lineage is cut there and survives the loss
-    of executors. Without one the blocks are persisted and recomputed on loss.
+    With a shared folder it becomes a written table there: the lineage is cut, the
+    loss of executors costs nothing, and later steps read only the columns and row
+    groups they need, with real sizes for the planner. Without one the blocks are
+    persisted and recomputed on loss.
     """
-    root = shared_dir(df.sparkSession)
-    if root:
-        sc = df.sparkSession.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(root)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    if not shared_dir(spark):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
