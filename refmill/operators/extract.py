@@ -48,20 +48,15 @@ def records(
     broadcasts them when their measured size allows, else splits a hot workbook.
     """
     blocks = L.blocks_of(sheet)
+    ends = L.ends_by_sheet(L.table_ends(cells, blocks, settings, end_from_first_block))
+    bounded = cells.join(ends, ["workbook", "sheet"])
     if blocks[0].columns:
         labels = L.explicit_labels(cells, blocks[0])
-        in_span = with_any_column(cells, blocks)
+        in_span = with_any_column(bounded, blocks[0])
     else:
         labels = L.header_labels(cells, blocks, settings, sheet.get("header_join") or " | ")
-        in_span = L.with_blocks(cells, blocks)
-    ends = L.table_ends(cells, blocks, settings, end_from_first_block)
-    data = (
-        in_span.where(F.col("r") >= F.col("data_start"))
-        .join(ends, L.BLOCK_KEY)
-        .where(F.col("r") <= F.col("end_row"))
-        .join(labels, [*L.BLOCK_KEY, "c"])
-    )
-    return data.select(
+        in_span = L.with_blocks(bounded, blocks, ends="ends")
+    return in_span.join(labels, [*L.BLOCK_KEY, "c"]).select(
         *ROW_KEY,
         "c",
         "header",
@@ -70,13 +65,11 @@ def records(
     )
 
 
-def with_any_column(cells: DataFrame, blocks: list[L.Block]) -> DataFrame:
-    """Explicit columns may lie left of the block's first column."""
-    block = blocks[0]
+def with_any_column(cells: DataFrame, block: L.Block) -> DataFrame:
+    """Data cells of explicit columns, which may lie left of the block's first column."""
     columns = [c for c, _ in block.columns]
-    return cells.where(F.col("c").isin(columns)).select(
-        "*", F.lit(block.number).alias("block"), F.lit(block.data_start).alias("data_start")
-    )
+    rows = F.col("r").between(F.lit(block.data_start), F.try_element_at("ends", F.lit(block.number)))
+    return cells.where(F.col("c").isin(columns) & rows).withColumn("block", F.lit(block.number))
 
 
 def wide_rows(recs: DataFrame, headers: list[str]) -> DataFrame:

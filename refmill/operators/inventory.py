@@ -98,14 +98,21 @@ def method_counts(dated: DataFrame) -> DataFrame:
 def year_compare(dated: DataFrame) -> DataFrame:
     """Files and size by the year in the name next to the year of modification."""
 
-    def by(year, prefix: str) -> DataFrame:
+    def by(day: str, prefix: str) -> DataFrame:
+        year = F.year(day)
+        # The null year goes after counting, for the reason given at per_day.
         return (
             dated.groupBy(year.alias("year"))
-            .agg(F.count(F.lit(1)).alias(f"{prefix}_count"), F.sum("bytes").alias(f"{prefix}_bytes"))
-            .where(F.col("year").isNotNull())
+            .agg(
+                F.count(F.lit(1)).alias(f"{prefix}_count"),
+                F.sum("bytes").alias(f"{prefix}_bytes"),
+                F.max(day).alias("_day"),
+            )
+            .where(F.col("_day").isNotNull())
+            .drop("_day")
         )
 
-    both = by(F.year("file_day"), "fn").join(by(F.year("modified_at"), "md"), "year", "full_outer")
+    both = by("file_day", "fn").join(by("modified_at", "md"), "year", "full_outer")
 
     def count(prefix: str):
         return F.coalesce(f"{prefix}_count", F.lit(0).cast("bigint")).alias(f"{prefix}_count")

@@ -84,11 +84,15 @@ def _disjoint(blocks: Sequence[Block]) -> bool:
     return len(blocks) == 1 or (closed and all(a[1] < b[0] for a, b in zip(spans, spans[1:])))
 
 
-def with_blocks(cells: DataFrame, blocks: Sequence[Block], inside: Column | None = None) -> DataFrame:
+def with_blocks(
+    cells: DataFrame, blocks: Sequence[Block], inside: Column | None = None, ends: str | None = None
+) -> DataFrame:
     """Attach every block whose columns (and rows from its first header on) hold the cell.
 
     A narrow step: the blocks are literals in the expression, no join. Cells outside
-    all blocks are filtered out at the scan.
+    all blocks are filtered out at the scan. ``ends`` names a map column block → last
+    row; with it only data rows up to that row count, so a cell of a stacked sheet is
+    not handed to all the blocks above it.
     """
 
     def holds(b: Block) -> Column:
@@ -98,6 +102,8 @@ def with_blocks(cells: DataFrame, blocks: Sequence[Block], inside: Column | None
         # Below a given last row only header rows could follow.
         if b.data_end is not None:
             at = at & (F.col("r") <= max(b.data_end, *b.header_rows))
+        if ends is not None:
+            at = at & (F.col("r") >= b.data_start) & (F.col("r") <= F.try_element_at(ends, F.lit(b.number)))
         return at
 
     numbers = [F.when(holds(b), F.lit(b.number)) for b in blocks]
@@ -259,6 +265,12 @@ def end_rows(
     return ranges.groupBy(*keys).agg(F.coalesce(F.min(stop), F.max("last_r")).cast("int").alias("end_row"))
 
 
+def ends_by_sheet(ends: DataFrame) -> DataFrame:
+    """``(workbook, sheet, ends)`` with a map block → end row; as long as the config's block list."""
+    entry = F.map_from_entries(F.collect_list(F.struct("block", "end_row")))
+    return ends.groupBy("workbook", "sheet").agg(entry.alias("ends"))
+
+
 def table_ends(
     cells: DataFrame,
     blocks: Sequence[Block],

@@ -47,12 +47,18 @@ def pending(files: DataFrame, registry: DataFrame, history: DataFrame) -> DataFr
     The run id is derived from dataset, path, size and modification time, so a batch
     that is replayed after a failure finds the loads it already made.
     """
-    home = F.concat(F.rtrim("quarantine_path", F.lit("/")), F.lit("/"))
+    home = F.rtrim("quarantine_path", F.lit("/"))
     where = registry.where(F.coalesce("active", F.lit(True))).select("dataset_id", home.alias("home"))
     plain = F.regexp_replace("path", "^file:/+", "/")
+    # A file belongs to the dataset whose folder is one of its ancestors: an equi-join
+    # on each ancestor, not a prefix comparison of every file with every dataset.
+    depth = F.size(F.split("plain", "/"))
     placed = (
         files.withColumn("plain", plain)
-        .join(where, F.startswith("plain", "home") & ~F.contains("plain", F.lit("/_rejected/")))
+        .where(~F.contains("plain", F.lit("/_rejected/")))
+        .select("*", F.explode(F.sequence(F.lit(1), depth - 1)).alias("level"))
+        .withColumn("home", F.expr("substring_index(plain, '/', level)"))
+        .join(where, "home")
         .withColumn("run_id", F.sha2(F.concat_ws("|", "dataset_id", "plain", "bytes", F.unix_micros("modified_at")), 256))
     )
     done = history.where(F.col("status").isin("SUCCESS", "REJECTED")).select("run_id")
