@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -186,7 +185,3 @@ def lint_configs(configs: DataFrame, keys: Sequence[str], config: str = "config"
         )
     )
     return configs.select(*keys, F.inline(F.concat(own, each(cfg["sheets"], sheet_issues))))
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -48,14 +48,18 @@ def records(
     broadcasts them when their measured size allows, else splits a hot workbook.
     """
     blocks = L.blocks_of(sheet)
-    ends = L.ends_by_sheet(L.table_ends(cells, blocks, settings, end_from_first_block))
-    bounded = cells.join(ends, ["workbook", "sheet"])
+    ends = L.table_ends(cells, blocks, settings, end_from_first_block)
     if blocks[0].columns:
         labels = L.explicit_labels(cells, blocks[0])
-        in_span = with_any_column(bounded, blocks[0])
+        in_span = with_any_column(cells, blocks[0]).join(ends, L.BLOCK_KEY).where(F.col("r") <= F.col("end_row"))
     else:
         labels = L.header_labels(cells, blocks, settings, sheet.get("header_join") or " | ")
-        in_span = L.with_blocks(bounded, blocks, ends="ends")
+        if L.disjoint(blocks):
+            in_span = L.with_blocks(cells, blocks, F.col("r") >= F.col("data_start"))
+            in_span = in_span.join(ends, L.BLOCK_KEY).where(F.col("r") <= F.col("end_row"))
+        else:
+            bounded = cells.join(L.ends_by_sheet(ends), ["workbook", "sheet"])
+            in_span = L.with_blocks(bounded, blocks, ends="ends")
     return in_span.join(labels, [*L.BLOCK_KEY, "c"]).select(
         *ROW_KEY,
         "c",
@@ -68,8 +72,8 @@ def records(
 def with_any_column(cells: DataFrame, block: L.Block) -> DataFrame:
     """Data cells of explicit columns, which may lie left of the block's first column."""
     columns = [c for c, _ in block.columns]
-    rows = F.col("r").between(F.lit(block.data_start), F.try_element_at("ends", F.lit(block.number)))
-    return cells.where(F.col("c").isin(columns) & rows).withColumn("block", F.lit(block.number))
+    found = cells.where(F.col("c").isin(columns) & (F.col("r") >= block.data_start))
+    return found.withColumn("block", F.lit(block.number))
 
 
 def wide_rows(recs: DataFrame, headers: list[str]) -> DataFrame:

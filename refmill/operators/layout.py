@@ -77,7 +77,7 @@ def blocks_of(sheet: Mapping[str, Any]) -> list[Block]:
     return [Block(number=0, name=None, start_col=start, end_col=None, columns=listed, **common)]
 
 
-def _disjoint(blocks: Sequence[Block]) -> bool:
+def disjoint(blocks: Sequence[Block]) -> bool:
     """True when no cell can lie in two blocks: closed column spans that do not overlap."""
     spans = sorted((b.start_col, b.end_col or 0) for b in blocks)
     closed = all(b.end_col is not None for b in blocks)
@@ -107,7 +107,7 @@ def with_blocks(
         return at
 
     numbers = [F.when(holds(b), F.lit(b.number)) for b in blocks]
-    if _disjoint(blocks):
+    if disjoint(blocks):
         found = cells.withColumn("block", F.coalesce(*numbers)).where(F.col("block").isNotNull())
     else:
         found = cells.select("*", F.explode(F.array_compact(F.array(*numbers))).alias("block"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stage
 from ..sources.config import Settings
 from .ordered import RANGE_WIDTH
 
@@ -166,7 +167,10 @@ def stacked_titles(grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH
     is carried by one summary row per range.
     """
     cells = grid.where((F.col("r") <= settings.max_scan_rows) & (F.col("c") <= settings.max_scan_cols))
-    rows = cells.groupBy(*SHEET, "r").agg(F.count(F.lit(1)).alias("filled"), F.min_by("value", "c").alias("text"))
+    # Numbers only, so that the rows are counted by hash; the few titles fetch their text later.
+    rows = cells.groupBy(*SHEET, "r").agg(
+        F.count(F.lit(1)).alias("filled"), F.max(F.length("value")).alias("length")
+    )
     order = Window.partitionBy(*SHEET, "part").orderBy("r")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -206,14 +210,14 @@ def stacked_titles(grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH
         F.max("last_full").over(earlier).alias("far_full"),
         F.max(F.greatest("last_open", "first_opens")).over(earlier).alias("far_open"),
     )
-    lone = local.where((F.col("filled") == 1) & (F.length("text") > TITLE_MIN_LENGTH))
+    lone = local.where((F.col("filled") == 1) & (F.col("length") > TITLE_MIN_LENGTH))
     seen = lone.join(edges, [*SHEET, "part"])
     full = F.coalesce("full_before", "far_full")
     run_start = F.coalesce("opened", "first_opens", "far_open")
     below_r, below_filled = F.coalesce("next_r", "far_r"), F.coalesce("next_filled", "far_filled")
     title = (below_r == F.col("r") + 1) & (below_filled >= 2) & (full.isNull() | (full < run_start))
-    return seen.where(title).select(
-        *SHEET, F.col("r").alias("title_row"), F.left("text", F.lit(TITLE_KEEP)).alias("name")
+    return cells.join(seen.where(title).select(*SHEET, "r"), [*SHEET, "r"]).select(
+        *SHEET, F.col("r").alias("title_row"), F.left("value", F.lit(TITLE_KEEP)).alias("name")
     )
 
 
@@ -275,7 +279,8 @@ def profile_sheets(
     bounds = sheet_bounds(grid)
     headers = with_sections(with_banner(header_rows(top_rows(grid, settings, merges), settings)), settings, index_keyword)
     start = F.array_min(F.filter("header_columns", lambda c: c <= START_COLUMNS))
-    headers = headers.withColumn("start_index", F.coalesce(start, F.lit(1)))
+    # One row per sheet, read by two joins below.
+    headers = stage(headers.withColumn("start_index", F.coalesce(start, F.lit(1))).drop("header_filled"))
     full = (
         bounds.join(headers, SHEET, "left")
         .join(stacked_tables(grid, settings), SHEET, "left")

@@ -9,7 +9,7 @@ from ...operators import layout as L
 from ...operators import merges as M
 from ...session import stage
 from ...sources.config import Settings
-from .base import Cell, Grid, chunk, chunk_name, query, select
+from .base import Cell, Grid, chunk_name, query, select
 
 # --------------------------------------------------------------------------- one block per sheet
 CUSTOMER_BOOK = chunk_name("customers_", "c_custkey", 100)
@@ -249,7 +249,7 @@ STACKED = {
     """,
 )
 def stacked(spark, sf_dir):
-    cells = STACK_CUSTOMERS.staged(spark, sf_dir).unionByName(STACK_SUPPLIERS.spark(spark, sf_dir))
+    cells = stage(STACK_CUSTOMERS.spark(spark, sf_dir).unionByName(STACK_SUPPLIERS.spark(spark, sf_dir)))
     return X.extract_table(cells, STACKED, Settings()).frame
 
 
