@@ -80,8 +80,8 @@ def wide_rows(recs: DataFrame, headers: list[str]) -> DataFrame:
     """One row per (workbook, sheet, block, r); a struct ``{value, kind}`` per header.
 
     A row's cells are gathered once (a row is at most as wide as a legal sheet) and
-    then read off by name, so the work per cell does not grow with the width, and
-    with the headers named there is no pivot pre-pass.
+    then read off by name: one aggregate whatever the width, and with the headers
+    named no pivot pre-pass.
     """
     entry = F.struct("header", F.struct("value", "kind"))
     rows = recs.groupBy(*ROW_KEY).agg(

@@ -51,10 +51,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores where a small unsplittable file would be read and worked on by few.
 
-    A scan that already has a partition per core, as any large table has, is left alone.
+    A scan that already keeps half of the cores busy, as any large table does, is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
 
 
 def stage(df: DataFrame) -> DataFrame:
