@@ -208,9 +208,14 @@ def test_explicit_end_and_footer_setting(grid):
 
 def test_explicit_columns_need_payload(grid):
     lines = [["x", "y", "z"], ["1", None, "a"], [None, None, "b"], ["3", "4", None]]
-    cfg = config(header_row=1, data_start_row=2, columns=[{"col": "C", "name": "z"}, {"col": "A", "name": "x"}], index_columns=["z"])
-    t = run(grid({"s": lines}), cfg)
-    assert t.columns == ("z", "x") and tuples(t.frame) == [("a", 1), (None, 3)]
+    base = dict(header_row=1, data_start_row=2, index_columns=["z"])
+    x, z = {"col": "A", "name": "x"}, {"col": "C", "name": "z"}
+    # Row 3 has no value outside the index. The table's end is looked for from the first
+    # listed column on: from C, row 4 is blank and ends it; from A it is part of it.
+    t = run(grid({"s": lines}), config(**base, columns=[z, x]))
+    assert t.columns == ("z", "x") and tuples(t.frame) == [("a", 1)]
+    t = run(grid({"s": lines}), config(**base, columns=[x, z]))
+    assert t.columns == ("x", "z") and tuples(t.frame) == [(1, "a"), (3, None)]
 
 
 def test_post_processing_order(grid):
