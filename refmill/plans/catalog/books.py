@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from ...operators import extract as X
 from ...operators import merges as M
-from ...session import scratch_path, stage
+from ...session import scratch_path, ship_by_value, stage
 from ...sources.config import Settings
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory
 from .base import chunk_name, query, table
 
+ship_by_value(__name__)
+
 _ROWS = 200
 BOOK = chunk_name("/books/parts_", "p_partkey", _ROWS)
 _HEAD = '<?xml version="1.0" encoding="UTF-8"?>'

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
 from pyspark import StorageLevel
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this package builds itself; a cluster's own values win.
@@ -34,6 +36,14 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+def ship_by_value(module_name: str) -> None:
+    """Send the functions of a module to Python workers whole, not as an import.
+
+    Executors need not have this package installed, and the driver may run anywhere.
+    """
+    register_pickle_by_value(sys.modules[module_name])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder.
 

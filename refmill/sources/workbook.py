@@ -20,11 +20,13 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import ship_by_value, stage
 
 if TYPE_CHECKING:
     import pandas as pd
 
+ship_by_value(__name__)
+
 SUFFIXES = ("xlsx", "xlsm")
 BATCH = 20_000
 CHUNK = 1 << 20
