@@ -405,3 +405,20 @@ def test_parse_accepts_content_rows(spark, tmp_path):
     book(tmp_path / "a.xlsx")
     raw = spark.createDataFrame([("mem/a.xlsm", (tmp_path / "a.xlsx").read_bytes())], "path string, content binary")
     assert parse_workbooks(raw).cells.count() == 9
+
+
+def test_worker_functions_need_no_package_on_the_executor(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from refmill.plans.catalog import books as B
+    from refmill.sources import workbook as W
+
+    code = "import pickle, sys; print([f.__name__ for f in pickle.loads(sys.stdin.buffer.read())])"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    sent = cloudpickle.dumps([W._unpack, W._parse, B._zip])
+    done = subprocess.run([sys.executable, "-c", code], input=sent, capture_output=True, cwd=tmp_path, env=env, timeout=60)
+    assert done.returncode == 0, done.stderr.decode()
