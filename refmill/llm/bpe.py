@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,8 +34,9 @@ LEAF_BYTES = 16_384
 WINDOW = 64  # first radius around a join, in bytes
 UNBROKEN = 512  # radius from which one pretoken over the whole window is spliced inside
 
-#: white space by which texts are cut into words before encoding, and any other
-_WORDS = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+#: words as texts are cut for encoding, with their leading white space and, after letters, without closing marks;
+#: any other white space
+_WORDS = re.compile(r"[ \t\n\r]*(?:[A-Za-zÀ-ÖØ-öø-ſ]+(?=[,.!?])|[^ \t\n\r]+)|[ \t\n\r]+")
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
 
 
@@ -74,8 +76,8 @@ class Codec:
         return state.get(("codec", path)) or state.setdefault(("codec", path), cls(path))
 
     def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [(np.array(e.ids, "<u4").tobytes(), self.decode(e.ids)) for e in made]
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [(struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)) for ids in made]
 
     def decode(self, ids) -> bytes:
         """Bytes of the tokens, special ones included; not yet checked to be UTF-8."""
@@ -84,8 +86,8 @@ class Codec:
     def encode_text(self, text: str) -> tuple[bytes, bytes]:
         """Ids as little-endian 32-bit integers, and the decoded bytes, of a whole text.
 
-        Where plain white space follows another character, a pretoken ends whatever
-        stands around it, so words with their leading white space are encoded one by one.
+        Where plain white space follows another character, or a closing mark a letter, a pretoken ends
+        whatever stands around it, so words with their leading white space are encoded one by one.
         """
         if _OTHER_SPACE.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids

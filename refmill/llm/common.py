@@ -42,26 +42,26 @@ def load_tokenizer(path: str):
 
 
 class ChunkCache:
-    """Value of each distinct chunk of text, made in batches; emptied when ``limit`` is reached.
+    """Value of each distinct chunk of text, made in batches; the first ``limit`` chunks are kept.
 
-    ``make`` maps a list of unseen chunks to their values. Corpora repeat their words, so
-    most lookups never reach the tokenizer. Chunks over ``longest`` characters aren't kept.
+    ``make`` maps a list of unseen chunks to their values. Corpora repeat their words and
+    the frequent ones come early, so most lookups never reach the tokenizer. Chunks over
+    ``longest`` characters aren't kept.
     """
 
-    def __init__(self, make: Callable[[list[str]], list], limit: int = 150_000, longest: int = 64):
+    def __init__(self, make: Callable[[list[str]], list], limit: int = 300_000, longest: int = 32):
         self.make, self.limit, self.longest = make, limit, longest
         self.known: dict = {}
 
     def values(self, chunks: list[str]) -> list:
         known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if not missing:
-            return [known[c] for c in chunks]
+        found = list(map(known.get, chunks))
+        if None not in found:
+            return found
+        missing = list(dict.fromkeys([c for c, v in zip(chunks, found) if v is None]))
         made = dict(zip(missing, self.make(missing)))
-        found = [known[c] if c in known else made[c] for c in chunks]
-        if len(known) + len(made) > self.limit:
-            known.clear()
-        if len(made) <= self.limit:
+        found = [made[c] if v is None else v for c, v in zip(chunks, found)]
+        if len(known) < self.limit:
             known.update((c, v) for c, v in made.items() if len(c) <= self.longest)
         return found
 

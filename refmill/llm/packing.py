@@ -10,6 +10,7 @@ tokenises, counts and ranks; the plan says for each run of ranks where it lies.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
@@ -112,7 +113,8 @@ class Words:
         return state.get(("words", path)) or state.setdefault(("words", path), cls(path))
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in made]
 
     def ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids. No token crosses white space, so words are encoded one by one."""
