@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import ChunkCache, column_list, load_tokenizer, read_table, worker_state
+from .common import ChunkCache, column_list, load_tokenizer, read_table, slices, worker_state
 
 ship_by_value(__name__)
 
 LEAF_BYTES = 16_384
 WINDOW = 64  # first radius around a join, in bytes
+_TEXT_CHARS = 1 << 20  # characters of short texts encoded together
 UNBROKEN = 512  # radius from which one pretoken over the whole window is spliced inside
 
 #: words as texts are cut for encoding, with their leading white space and, after letters, without closing marks;
@@ -83,17 +84,22 @@ class Codec:
         """Bytes of the tokens, special ones included; not yet checked to be UTF-8."""
         return b"".join(map(self.piece.__getitem__, ids))
 
-    def encode_text(self, text: str) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit integers, and the decoded bytes, of a whole text.
+    def encode_texts(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids as little-endian 32-bit integers, and the decoded bytes, of whole texts.
 
         Where plain white space follows another character, or a closing mark a letter, a pretoken ends
         whatever stands around it, so words with their leading white space are encoded one by one.
         """
-        if _OTHER_SPACE.search(text):
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes(), self.decode(ids)
-        found = self.words.values(_WORDS.findall(text))
-        return b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+        words = [[] if _OTHER_SPACE.search(t) else _WORDS.findall(t) for t in texts]
+        known = self.words.fill(words)
+        found = []
+        for text, parts in zip(texts, words):
+            if text and not parts:
+                found += self._encode_words([text])
+            else:
+                pairs = [known[w] for w in parts]
+                found.append((b"".join([p[0] for p in pairs]), b"".join([p[1] for p in pairs])))
+        return found
 
     def encode(self, text: bytes) -> Encoded:
         made = self.tokenizer.encode(text.decode(), add_special_tokens=False)
@@ -222,10 +228,10 @@ def _encode_short(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                pairs = zip(column_list(part, "doc_id"), column_list(part, "text"))
-                yield _result([(d, *codec.encode_text(t or "")) for d, t in pairs], digests)
+            pairs = zip(column_list(batch, "doc_id"), column_list(batch, "text"))
+            for part in slices([(d, t or "") for d, t in pairs], lambda p: len(p[1]) + 100, _TEXT_CHARS):
+                coded = codec.encode_texts([t for _, t in part])
+                yield _result([(d, *c) for (d, _), c in zip(part, coded)], digests)
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
@@ -52,18 +53,35 @@ class ChunkCache:
     def __init__(self, make: Callable[[list[str]], list], limit: int = 300_000, longest: int = 32):
         self.make, self.limit, self.longest = make, limit, longest
         self.known: dict = {}
+        self.passing: list[str] = []
 
-    def values(self, chunks: list[str]) -> list:
+    def fill(self, texts: list[list[str]]) -> dict:
+        """Values of all chunks of the given texts; those beyond the limit go at the next call."""
         known = self.known
-        found = list(map(known.get, chunks))
-        if None not in found:
-            return found
-        missing = list(dict.fromkeys([c for c, v in zip(chunks, found) if v is None]))
-        made = dict(zip(missing, self.make(missing)))
-        found = [made[c] if v is None else v for c, v in zip(chunks, found)]
-        if len(known) < self.limit:
-            known.update((c, v) for c, v in made.items() if len(c) <= self.longest)
-        return found
+        for chunk in self.passing:
+            del known[chunk]
+        unseen = list(set().union(*texts).difference(known))
+        keep = [c for c in unseen if len(c) <= self.longest][: max(0, self.limit - len(known))]
+        self.passing = list(set(unseen).difference(keep))
+        for at in range(0, len(unseen), 10_000):
+            some = unseen[at : at + 10_000]
+            known.update(zip(some, self.make(some)))
+        return known
+
+
+_CUT = re.compile(r"(?<=\S)[ \t\n\r]")
+
+
+def segments(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """A text in parts of about ``size`` characters, cut only where plain white space follows another character."""
+    at = 0
+    while len(text) - at > size:
+        cut = _CUT.search(text, at + size)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 def column_list(batch: pa.RecordBatch, name: str) -> list:

@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value, stage
-from .common import ChunkCache, column_list, load_tokenizer, read_table, worker_state
+from .common import ChunkCache, column_list, load_tokenizer, read_table, segments, slices, worker_state
 
 ship_by_value(__name__)
 
 #: characters that str.split() takes for white space and vocabularies don't
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: characters with rules of their own for case and composition, and the start of special tokens
+_NOT_PLAIN = re.compile(r"[^\x00-\xff]|<\|")
+_TEXT_CHARS = 1 << 20  # characters of texts tokenised together
 
 
 class OpenSequences:
@@ -116,11 +119,23 @@ class Words:
         made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         return [struct.pack(f"<{len(ids)}I", *ids) for ids in made]
 
-    def ids(self, text: str) -> bytes:
-        """Little-endian 32-bit ids. No token crosses white space, so words are encoded one by one."""
-        if _SEPARATORS.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(self.cache.values(text.split()))
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of whole texts. No token crosses white space, so words are encoded one by one."""
+        parts = [[_words(s) for s in segments(t)] for t in texts]
+        if max(map(len, parts), default=0) > 1:  # a long text: one part of it at a time
+            return [b"".join(self._joined(p) for p in ps) for ps in parts]
+        known = self.cache.fill([p for ps in parts for p in ps])
+        return [b"".join(map(known.__getitem__, ps[0])) for ps in parts]
+
+    def _joined(self, words: list[str]) -> bytes:
+        return b"".join(map(self.cache.fill([words]).__getitem__, words))
+
+
+def _words(text: str) -> list[str]:
+    """Words of a text, in lower case where any two ways of lowering agree."""
+    if _SEPARATORS.search(text):
+        return [text]
+    return text.split() if _NOT_PLAIN.search(text) else text.lower().split()
 
 
 def _tokenise(path: str, end_id: int, window: int, digests: bool):
@@ -134,11 +149,11 @@ def _tokenise(path: str, end_id: int, window: int, digests: bool):
         seen: Counter = Counter()
         windows = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            pairs = zip(column_list(batch, "doc_id"), column_list(batch, "text"))
+            for part in slices([(d, t or "") for d, t in pairs], lambda p: len(p[1]) + 100, _TEXT_CHARS):
                 rows = []
-                for doc_id, text in zip(column_list(part, "doc_id"), column_list(part, "text")):
-                    ids = words.ids(text or "") + end
+                for (doc_id, _), ids in zip(part, words.ids([t for _, t in part])):
+                    ids += end
                     pieces = [ids[i : i + 4 * window] for i in range(0, len(ids), 4 * window)]
                     n = len(ids) // 4
                     tail = n % window
