@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import ChunkCache, column_list, load_tokenizer, read_table, slices, worker_state
+from .common import MARKS, ChunkCache, byte_of_symbol, column_list, load_tokenizer, model_ids, read_table, slices, worker_state
 
 ship_by_value(__name__)
 
@@ -35,10 +35,11 @@ WINDOW = 64  # first radius around a join, in bytes
 _TEXT_CHARS = 1 << 20  # characters of short texts encoded together
 UNBROKEN = 512  # radius from which one pretoken over the whole window is spliced inside
 
-#: words as texts are cut for encoding, with their leading white space and, after letters, without closing marks;
-#: any other white space
-_WORDS = re.compile(r"[ \t\n\r]*(?:[A-Za-zÀ-ÖØ-öø-ſ]+(?=[,.!?])|[^ \t\n\r]+)|[ \t\n\r]+")
+#: words as texts are cut for encoding, with their leading white space; any other white space;
+#: words of which every group is one pretoken
+_WORDS = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
+_PLAIN_WORD = re.compile(rf"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)?( ?{MARKS}+)?")
 
 
 class Encoded(NamedTuple):
@@ -50,13 +51,6 @@ class Encoded(NamedTuple):
     opens: np.ndarray
 
 
-def byte_of_symbol() -> dict[str, int]:
-    """The printable symbol that stands for each byte in a byte-level vocabulary, inverted."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -77,8 +71,8 @@ class Codec:
         return state.get(("codec", path)) or state.setdefault(("codec", path), cls(path))
 
     def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return [(struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)) for ids in made]
+        coded = model_ids(self.tokenizer, words, _PLAIN_WORD)
+        return [(struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)) for ids in coded]
 
     def decode(self, ids) -> bytes:
         """Bytes of the tokens, special ones included; not yet checked to be UTF-8."""
@@ -87,8 +81,8 @@ class Codec:
     def encode_texts(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids as little-endian 32-bit integers, and the decoded bytes, of whole texts.
 
-        Where plain white space follows another character, or a closing mark a letter, a pretoken ends
-        whatever stands around it, so words with their leading white space are encoded one by one.
+        Where plain white space follows another character, a pretoken ends whatever
+        stands around it, so words with their leading white space are encoded one by one.
         """
         words = [[] if _OTHER_SPACE.search(t) else _WORDS.findall(t) for t in texts]
         known = self.words.fill(words)

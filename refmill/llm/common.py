@@ -42,6 +42,41 @@ def load_tokenizer(path: str):
     return state[key]
 
 
+def byte_of_symbol() -> dict[str, int]:
+    """The printable symbol that stands for each byte in a byte-level vocabulary, inverted."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+#: class of ASCII marks that stand for themselves in byte-level vocabularies and begin no contraction or special token
+MARKS = r"[!-&(-/:;=-@\[-`{-~]"
+_SYMBOLS = {ord(" "): "\u0120", ord("\n"): "\u010a"}
+
+
+def model_ids(tokenizer, words: list[str], plain: re.Pattern) -> list[list[int]]:
+    """Ids of words. Those that match ``plain`` need no scan for pretokens: every group of it is one."""
+    if not tokenizer_symbols:
+        symbol = {b: s for s, b in byte_of_symbol().items()}
+        tokenizer_symbols.update(_SYMBOLS)
+        tokenizer_symbols.update({c: "".join(symbol[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
+    tokenize, found, rest = tokenizer.model.tokenize, [], []
+    for n, word in enumerate(words):
+        match = plain.fullmatch(word)
+        if match:
+            parts = [p if p.isascii() and p.isalnum() else p.translate(tokenizer_symbols) for p in match.groups() if p]
+            found.append([t.id for p in parts for t in tokenize(p)])
+        else:
+            found.append(None)
+            rest.append(n)
+    for n, made in zip(rest, tokenizer.encode_batch_fast([words[n] for n in rest], add_special_tokens=False)):
+        found[n] = made.ids
+    return found
+
+
+tokenizer_symbols: dict[int, str] = {}
+
+
 class ChunkCache:
     """Value of each distinct chunk of text, made in batches; the first ``limit`` chunks are kept.
 

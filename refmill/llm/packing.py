@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value, stage
-from .common import ChunkCache, column_list, load_tokenizer, read_table, segments, slices, worker_state
+from .common import MARKS, ChunkCache, column_list, load_tokenizer, model_ids, read_table, segments, slices, worker_state
 
 ship_by_value(__name__)
 
@@ -29,6 +29,8 @@ ship_by_value(__name__)
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: characters with rules of their own for case and composition, and the start of special tokens
 _NOT_PLAIN = re.compile(r"[^\x00-\xff]|<\|")
+#: words whose groups are one pretoken each and change neither case nor composition
+_PLAIN_WORD = re.compile(rf"([a-zà-öø-ÿ]+)?({MARKS}+)?")
 _TEXT_CHARS = 1 << 20  # characters of texts tokenised together
 
 
@@ -116,8 +118,7 @@ class Words:
         return state.get(("words", path)) or state.setdefault(("words", path), cls(path))
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in made]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in model_ids(self.tokenizer, words, _PLAIN_WORD)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of whole texts. No token crosses white space, so words are encoded one by one."""
