@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import ann, bpe, chat, langid, packing, pivots, quality, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        quality.op1_weak_label_quality,
         bpe.op2_bpe_tree_concatenation,
+        urls.op3_path_template_tree,
         packing.op4_best_fit_packing,
+        warc.op5_merkle_fixity,
+        chat.op6_snapshot_collapse,
+        ann.op7_block_matrix_join,
+        pivots.op8_pivot_distance,
+        simhash.op9_gray_simhash,
+        langid.op10_ftrl_language,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_merkle_fixity": warc.OP5_SQL, "op6_snapshot_collapse": chat.OP6_SQL}

@@ -59,17 +59,18 @@ def _fingerprints(words_per_shingle: int):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 prints = [shingle_fingerprint(t or "", words_per_shingle) for t in column_list(part, "text")]
-                signed = np.array(prints, np.uint64).view(np.int64)
-                doc_ids = part.column(part.schema.get_field_index("doc_id"))
-                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(signed, pa.int64())], ["doc_id", "print"])
+                signed = pa.array(np.array(prints, np.uint64).view(np.int64), pa.int64())
+                kept = [n for n in part.schema.names if n != "text"]
+                columns = [part.column(part.schema.get_field_index(n)) for n in kept]
+                yield pa.RecordBatch.from_arrays([*columns, signed], [*kept, "print"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
-    """``doc_id, print`` (64 bits as a signed long) of every row of ``(doc_id, text)``."""
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return docs.mapInArrow(_fingerprints(words_per_shingle), "doc_id bigint, print bigint")
+def fingerprints(rows: DataFrame, words_per_shingle: int = 4) -> DataFrame:
+    """``text`` of every row replaced by ``print``: 64 bits as a signed long."""
+    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
+    return rows.mapInArrow(_fingerprints(words_per_shingle), f"{head}, print bigint")
 
 
 # ---- shards
@@ -319,6 +320,14 @@ def near_edges(distinct: DataFrame, differ: int, shard_rows: int = SHARD_ROWS) -
     return edges.unionByName(met.groupBy(*shard, "a", "b").applyInArrow(_link_chunks(differ), _EDGES))
 
 
+def print_components(prints: DataFrame, differ: int, shard_rows: int) -> DataFrame:
+    """``print, root``: every distinct fingerprint of ``prints`` with one that stands for its component."""
+    distinct = stage(prints.select("print").distinct())
+    roots = connected_components(near_edges(distinct, differ, shard_rows))
+    linked = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left")
+    return linked.select("print", F.coalesce("root", "print").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, differ: int = 4, words_per_shingle: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row of ``(doc_id, text)``.
 
@@ -327,16 +336,34 @@ def near_duplicates(docs: DataFrame, differ: int = 4, words_per_shingle: int = 4
     fingerprint zero and are linked like any other; repeated rows are linked with each other.
     Equal fingerprints are compared once, whatever the number of rows that share them.
     """
-    prints = stage(fingerprints(docs, words_per_shingle))
-    distinct = stage(prints.groupBy("print").agg(F.min("doc_id").alias("first_doc")))
-    roots = connected_components(near_edges(distinct, differ, shard_rows))
-    linked = distinct.join(roots.withColumnRenamed("node", "print"), "print", "left")
-    linked = linked.select("print", "first_doc", F.coalesce("root", "print").alias("root"))
-    least = linked.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = linked.select("print", "root").join(least, "root").select("print", "component_id")
+    prints = stage(fingerprints(docs.select(F.col("doc_id").cast("bigint"), "text"), words_per_shingle))
+    roots = stage(print_components(prints, differ, shard_rows))
+    first = prints.groupBy("print").agg(F.min("doc_id").alias("first_doc"))
+    least = roots.join(first, "print").groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    named = roots.join(least, "root").select("print", "component_id")
     return prints.join(named, "print").select("doc_id", hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def first_of_groups(docs: DataFrame, differ: int = 4, words_per_shingle: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies: of each component the row of the smallest doc_id stays.
+
+    Of rows repeated under one doc_id one stays. Texts without words are no copies of each other and all stay.
+    """
+    names = docs.columns
+    numbered = stage(docs.select(*names, F.monotonically_increasing_id().alias(_ROW)))
+    words = numbered.where(F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    prints = stage(fingerprints(words.select(F.col("doc_id").cast("bigint"), F.col(_ROW).alias("row_no"), "text"), words_per_shingle))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_no")
+    first = stage(prints.groupBy("print").agg(F.min(order).alias("first")))
+    roots = print_components(prints, differ, shard_rows)
+    kept = roots.join(first, "print").groupBy("root").agg(F.min("first")["row_no"].alias("row_no"))
+    dropped = prints.select(F.col("row_no").alias(_ROW)).join(kept.withColumnRenamed("row_no", _ROW), _ROW, "left_anti")
+    return numbered.join(dropped, _ROW, "left_anti").select(*names)
+
+
+_ROW = "row_of_this_table"
+
+
 def hexadecimal(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
