@@ -1,7 +1,8 @@
 """Quality of texts from weak labels: overlapping heuristics, expectation-maximisation, a hashed linear scorer.
 
-Ten heuristics vote good, bad or nothing on each text. How often each is right is not
-known; it is estimated from the votes of the whole corpus, counted by vote pattern, with two latent classes
+Heuristics vote good, bad or unsure on each text, or are silent where it is too short for them. They overlap:
+what repeats itself, say, also compresses well. How often each is right is not known; it is estimated
+from the votes of the whole corpus, counted by vote pattern, with two latent classes
 in which labellers err independently. The posterior of a text's pattern is its soft label,
 and a linear scorer over hashed features learns these labels on a bounded hash sample.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +28,7 @@ ship_by_value(__name__)
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 20_000  # expected size of the sample the scorer is fitted on
-GOOD, BAD, NONE = 2, 0, 1
+BAD, UNSURE, GOOD, SILENT = range(4)
 
 SPACE, LOWER, UPPER, DIGIT, MARK, BREAK, SYMBOL = range(7)
 
@@ -52,6 +54,7 @@ LABELLERS = (
     Labeller("sentence_ends", 0.015, 0.04),
     Labeller("repeated_lines", 0.3, 0.1),
     Labeller("digits", 0.25, 0.1),
+    Labeller("compressed", 0.25, 0.33),
 )
 
 
@@ -94,14 +97,16 @@ def measures(text: str) -> dict[str, float]:
         found["symbols"], found["digits"] = count[SYMBOL] / shown, count[DIGIT] / shown
     if letters >= 20:
         found["capitals"] = count[UPPER] / letters
-    if n >= 10:
+    if n:
+        found["shouts"] = text.count("!") / n
+    if n >= 40:
         bare = [w.strip(".,;:!?%$&*#|") for w in words]
         counts = Counter(bare)
         found["echoes"] = sum(map(str.__eq__, bare, bare[1:])) / n
         found["top_word"] = counts.most_common(1)[0][1] / n
         found["distinct"] = len(counts) / min(n, 300)
         found["word_length"] = shown / n
-        found["shouts"] = text.count("!") / n
+        found["compressed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / len(text)
         found["sentence_ends"] = sum(w[-1] in ".!?…" for w in words) / n
     lines = [x for x in text.split("\n") if x.strip()]
     if len(lines) >= 4:
@@ -114,17 +119,17 @@ def votes(found: dict[str, float]) -> list[int]:
     for x in LABELLERS:
         value = found.get(x.measure)
         if value is None:
-            cast.append(NONE)
+            cast.append(SILENT)
         elif x.bad > x.good:
-            cast.append(BAD if value > x.bad else GOOD if value <= x.good else NONE)
+            cast.append(BAD if value > x.bad else GOOD if value <= x.good else UNSURE)
         else:
-            cast.append(BAD if value < x.bad else GOOD if value >= x.good else NONE)
+            cast.append(BAD if value < x.bad else GOOD if value >= x.good else UNSURE)
     return cast
 
 
 def pattern(cast: list[int]) -> int:
-    """Votes as one number, at most three to the number of labellers."""
-    return sum(v * 3**i for i, v in enumerate(cast))
+    """Votes as one number, below four to the number of labellers."""
+    return sum(v * 4**i for i, v in enumerate(cast))
 
 
 # ---- accuracies of the labellers
@@ -132,33 +137,34 @@ def pattern(cast: list[int]) -> int:
 
 @dataclass(frozen=True)
 class Accuracies:
-    """Share of good texts, and how often each labeller casts each vote on bad and good ones."""
+    """Share of good texts, and how often each labeller that isn't silent casts each vote on bad and good ones."""
 
     good: float
-    cast: np.ndarray  # labeller × class × vote
+    cast: np.ndarray  # labeller × class × vote; 1 for silence, which says nothing
 
     def posterior(self, ballots: np.ndarray) -> np.ndarray:
         """Probability of being good for rows of votes."""
-        total = np.log(np.array([1 - self.good, self.good]))[None, :].repeat(len(ballots), axis=0)
-        for i in range(self.cast.shape[0]):
-            total += np.log(self.cast[i][:, ballots[:, i]]).T
-        return 1 / (1 + np.exp(np.clip(total[:, 0] - total[:, 1], -700, 700)))
+        ratio = np.log(self.cast[:, 1]) - np.log(self.cast[:, 0])  # labeller × vote, for being good
+        total = math.log(self.good / (1 - self.good)) + ratio[np.arange(len(ratio)), ballots].sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(total, -700, 700)))
 
 
 def ballots_of(patterns: np.ndarray) -> np.ndarray:
-    return np.stack([patterns // 3**i % 3 for i in range(len(LABELLERS))], axis=1)
+    return np.stack([patterns // 4**i % 4 for i in range(len(LABELLERS))], axis=1)
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Accuracies:
     """Expectation-maximisation over counted vote patterns, from a text being bad if any labeller says so."""
     ballots = ballots_of(patterns)
     p = np.where((ballots == BAD).any(axis=1), 0.1, 0.9)
-    found = Accuracies(0.5, np.full((len(LABELLERS), 2, 3), 1 / 3))
+    found = Accuracies(0.5, np.ones((len(LABELLERS), 2, 4)))
     for _ in range(rounds):
         share = np.stack([counts * (1 - p), counts * p])
-        cast = np.stack([[[share[c, ballots[:, i] == v].sum() + 0.5 for v in range(3)] for c in range(2)] for i in range(len(LABELLERS))])
-        good = (share[1].sum() + 1) / (counts.sum() + 2)
-        found = Accuracies(float(good), cast / cast.sum(axis=2, keepdims=True))
+        cast = np.ones((len(LABELLERS), 2, 4))
+        for i, c in np.ndindex(len(LABELLERS), 2):
+            said = np.array([share[c, ballots[:, i] == v].sum() + 0.5 for v in (BAD, UNSURE, GOOD)])
+            cast[i, c, :3] = said / said.sum()
+        found = Accuracies(float((share[1].sum() + 1) / (counts.sum() + 2)), cast)
         new = found.posterior(ballots)
         if np.abs(new - p).max() < 1e-6:
             break
@@ -258,7 +264,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     repeated as a whole count once in it.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), "text")
-    # at most 3^10 rows whatever the corpus
+    # bounded by the votes the labellers can cast, whatever the corpus; hundreds of rows in practice
     counted = docs.select("text").mapInArrow(_count_patterns, "pattern bigint, texts bigint").groupBy("pattern").agg(F.sum("texts").alias("texts"))
     seen = sorted((r.pattern, r.texts) for r in counted.collect())
     if not seen:
@@ -298,9 +304,9 @@ def _score(model):
 def classify(docs: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``doc_id, votes, weak_label, score, keep`` of every row of ``(doc_id, text)``.
 
-    ``votes`` are 0 bad, 1 none, 2 good, in the order of ``LABELLERS``; ``weak_label`` is their
+    ``votes`` are 0 bad, 1 unsure, 2 good, 3 silent, in the order of ``LABELLERS``; ``weak_label`` is their
     posterior, ``score`` the scorer's probability of a good text, ``keep`` whether it reaches
-    ``least``. Null and empty texts get no votes and are never kept. Repeated rows get equal results.
+    ``least``. On null and empty texts all labellers are silent, and they are never kept. Repeated rows get equal results.
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, train_rows))
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", (F.coalesce(F.length(F.trim("text")), F.lit(0)) > 0).alias("filled"))

@@ -98,7 +98,7 @@ def lead_with(prints: np.ndarray, mask: int) -> np.ndarray:
     """Bits of the mask moved to the top, the others below, each in order."""
     order = [b for b in range(BITS) if not mask >> b & 1] + [b for b in range(BITS) if mask >> b & 1]
     bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(bits[:, order], axis=1, bitorder="little").view("<u8").ravel()
+    return np.ascontiguousarray(np.packbits(bits[:, order], axis=1, bitorder="little")).reshape(-1).view("<u8")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
