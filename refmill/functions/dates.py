@@ -15,12 +15,12 @@ BY_NOTHING = "None"
 STALE = "STALE — SLA breached"
 FRESH = "OK"
 
-_YMD = "(?:^|[^0-9])((?:19|20|21)[0-9]{6})(?:[^0-9]|$)"
-_DMY = "(?:^|[^0-9])([0-9]{4}(?:19|20|21)[0-9]{2})(?:[^0-9]|$)"
+_YMD = "(?<![0-9])(?:19|20|21)[0-9]{6}(?![0-9])"
+_DMY = "(?<![0-9])[0-9]{4}(?:19|20|21)[0-9]{2}(?![0-9])"
 
 
 def _digits(text: Column, pattern: str) -> Column:
-    return F.regexp_extract(text, pattern, 1)
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def _day(digits: Column, year_first: bool) -> Column:
@@ -32,7 +32,7 @@ def _day(digits: Column, year_first: bool) -> Column:
 
 
 def date_digits(folder: Column, name: Column) -> dict[str, Column]:
-    """The digit groups that may be a date: year-first, day-first, of the parent folder."""
+    """All digit groups that may be a date, in order: year-first, day-first, of the parent folder."""
     return {
         "ymd": _digits(name, _YMD),
         "dmy": _digits(name, _DMY),
@@ -41,7 +41,13 @@ def date_digits(folder: Column, name: Column) -> dict[str, Column]:
 
 
 def date_candidates(digits: dict[str, Column]) -> dict[str, Column]:
-    return {k: _day(v, k != "dmy") for k, v in digits.items()}
+    """The first group of each kind that is a date."""
+
+    def first(groups: Column, year_first: bool) -> Column:
+        days = F.transform(groups, lambda g: _day(g, year_first))
+        return F.get(F.filter(days, lambda d: d.isNotNull()), F.lit(0))
+
+    return {k: first(v, k != "dmy") for k, v in digits.items()}
 
 
 def pick_date(days: dict[str, Column]) -> tuple[Column, Column]:

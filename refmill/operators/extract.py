@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -22,7 +22,7 @@ from . import reshape as R
 from . import typing as TY
 
 ROW_KEY = ["workbook", "sheet", "block", "r"]
-MAX_COLUMNS = 16_384  # widest legal sheet; more distinct headers mean a wrong config
+CELL_TYPE = "struct<value: string, kind: string>"
 
 
 @dataclass(frozen=True)
@@ -77,17 +77,28 @@ def with_any_column(cells: DataFrame, block: L.Block) -> DataFrame:
 
 
 def wide_rows(recs: DataFrame, headers: list[str]) -> DataFrame:
-    """One row per (workbook, sheet, block, r); a struct ``{value, kind}`` per header.
+    """One row per (workbook, sheet, block, r) with an array ``cells``: ``{value, kind}`` per header.
 
-    A row's cells are gathered once (a row is at most as wide as a legal sheet) and
-    then read off by name: one aggregate whatever the width, and with the headers
-    named no pivot pre-pass.
+    ``filled`` lists the row's cells with their places. A row's cells are gathered
+    once, sorted by place, and each is followed by the nulls up to the next, so the
+    work is in proportion to the width; a row is at most as wide as a legal sheet.
     """
-    entry = F.struct("header", F.struct("value", "kind"))
-    rows = recs.groupBy(*ROW_KEY).agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), entry))).alias("cells")
+    places = recs.sparkSession.createDataFrame(list(enumerate(headers)), "at int, header string")
+    entry = F.struct("at", F.struct("value", "kind").alias("cell"))
+    rows = recs.join(places, "header").groupBy(*ROW_KEY).agg(
+        F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), entry))).alias("filled")
     )
-    return rows.select(*ROW_KEY, *[F.try_element_at("cells", F.lit(h)).alias(h) for h in headers])
+    width = F.lit(len(headers))
+
+    def blanks(n: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast(CELL_TYPE), n)
+
+    def followed(x: Column, i: Column) -> Column:
+        until = F.coalesce(F.get("filled", i + 1)["at"], width)
+        return F.concat(F.array(x["cell"]), blanks(until - x["at"] - 1))
+
+    ahead = blanks(F.coalesce(F.get("filled", F.lit(0))["at"], width))
+    return rows.withColumn("cells", F.concat(ahead, F.flatten(F.transform("filled", followed))))
 
 
 def rightmost(recs: DataFrame) -> DataFrame:
@@ -97,19 +108,22 @@ def rightmost(recs: DataFrame) -> DataFrame:
     )
 
 
-def header_order(recs: DataFrame, blocks: list[L.Block]) -> list[str]:
-    """Distinct headers in sheet order. Bounded by the width of a legal sheet."""
+def header_order(recs: DataFrame, blocks: list[L.Block]) -> tuple[list[str], int]:
+    """Distinct headers in sheet order, and how many of them the first block brings.
+
+    Bounded by the width of a legal sheet, for each of the config's blocks.
+    """
     found = (
         recs.groupBy("header")
         .agg(F.min(F.struct("block", "c")).alias("at"))
         .orderBy("at", "header")
-        .limit(MAX_COLUMNS + 1)
         .collect()
     )
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} distinct headers for one table")
     listed = [name for b in blocks for _, name in b.columns]
-    return listed or [row["header"] for row in found]
+    if listed:
+        return listed, len(listed)
+    first = sum(row["at"]["block"] == found[0]["at"]["block"] for row in found)
+    return [row["header"] for row in found], first
 
 
 def extract_table(
@@ -132,41 +146,47 @@ def extract_table(
     grid = cells.where(F.col("sheet") == sheet["sheet_name"])
     found = records(grid, sheet, settings, end_from_first_block)
     recs = stage(found if settings.dedupe_headers and not blocks[0].columns else rightmost(found))
-    headers = header_order(recs, blocks)
+    headers, first = header_order(recs, blocks)
     if not headers:
         return Table(recs.select(*(ROW_KEY if provenance else [])).limit(0), (), {}, _empty_blocks(recs, grid, blocks))
     index = [c for c in sheet.get("index_columns") or [] if c]
 
     wide = wide_rows(recs, headers)
     if keep_blank_rows and not index and not blocks[0].columns:
-        wide = _with_blank_rows(wide, grid, blocks, settings, end_from_first_block)
+        wide = _with_blank_rows(wide, grid, blocks, settings, end_from_first_block, len(headers))
     else:
-        wide = _keep_filled(wide, headers, index or [])
-    wide, columns = _block_columns(wide, headers, blocks, sheet)
+        at = [i for i, h in enumerate(headers) if h in set(index)]
+        wide = wide.where(F.exists("filled", lambda x: ~x["at"].isin(at)) if at else F.size("filled") > 0)
+    wide, columns = _block_columns(wide.drop("filled"), headers, first, blocks, sheet)
     frame, columns, types = post_process(wide, columns, sheet, settings, unpivot_mode)
     lead = ["workbook", "sheet", "block", "r"] if provenance else []
-    shaped = frame.select(*lead, *[F.col(f"`{c}`") for c in columns])
+    shaped = frame.selectExpr(*lead, *[TY.quoted(c) for c in columns])
     return Table(shaped, tuple(columns), types, _empty_blocks(recs, grid, blocks))
 
 
-def _keep_filled(wide: DataFrame, headers: list[str], index: list[str]) -> DataFrame:
-    payload = [h for h in headers if h not in set(index)]
-    if not payload:
-        return wide.where(F.lit(False))
-    return wide.where(F.coalesce(*[F.col(f"`{h}`") for h in payload]).isNotNull())
-
-
-def _with_blank_rows(wide, grid, blocks, settings, end_from_first_block) -> DataFrame:
+def _with_blank_rows(wide, grid, blocks, settings, end_from_first_block, width: int) -> DataFrame:
     ends = L.table_ends(grid, blocks, settings, end_from_first_block)
     start = F.element_at(F.create_map(*[F.lit(x) for b in blocks for x in (b.number, b.data_start)]), F.col("block"))
     rows = ends.where(start <= F.col("end_row")).select(
         *L.BLOCK_KEY, F.explode(F.sequence(start, F.col("end_row"))).alias("r")
     )
-    return rows.join(wide, ROW_KEY, "left")
+    blank = F.array_repeat(F.lit(None).cast(CELL_TYPE), width)
+    return rows.join(wide, ROW_KEY, "left").withColumn("cells", F.coalesce("cells", blank))
 
 
-def _block_columns(wide, headers, blocks, sheet) -> tuple[DataFrame, list[str]]:
-    """Section name (side by side) and per-table constants (stacked), as text cells."""
+def constant_cell(value: Any) -> Column:
+    """A configured value as a cell of its own kind; null stays null."""
+    if value is None:
+        return F.lit(None).cast(CELL_TYPE)
+    kind = "bool" if isinstance(value, bool) else "number" if isinstance(value, (int, float)) else "string"
+    return F.struct(F.lit(str(value)).alias("value"), F.lit(kind).alias("kind"))
+
+
+def _block_columns(wide, headers, first, blocks, sheet) -> tuple[DataFrame, list[tuple[int, str]]]:
+    """Section name (side by side) and per-table constants (stacked), as further cells.
+
+    They are listed behind the columns of the first block.
+    """
     added: dict[str, Any] = {}
     if sheet["table_type"] == "side_by_side":
         name = sheet.get("section_column_name") or "Section"
@@ -175,46 +195,54 @@ def _block_columns(wide, headers, blocks, sheet) -> tuple[DataFrame, list[str]]:
         for key, value in b.statics.items():
             if value is not None:
                 added.setdefault(key, {})[b.number] = value
-    for name, by_block in added.items():
-        pairs = F.create_map(*[F.lit(x) for k, v in by_block.items() for x in (k, str(v))])
-        text = F.try_element_at(pairs, F.col("block"))
-        wide = wide.withColumn(
-            name, F.when(text.isNotNull(), F.struct(text.alias("value"), F.lit("string").alias("kind")))
-        )
-    return wide, headers + [n for n in added if n not in headers]
+    more = []
+    for by_block in added.values():
+        found = F.lit(None).cast(CELL_TYPE)
+        for number, value in by_block.items():
+            found = F.when(F.col("block") == number, constant_cell(value)).otherwise(found)
+        more.append(found)
+    place = {h: i for i, h in enumerate(headers)} | {n: len(headers) + i for i, n in enumerate(added)}
+    order = dict.fromkeys([*headers[:first], *added, *headers[first:]])
+    return _with_cells(wide, more), [(place[n], n) for n in order]
+
+
+def _with_cells(wide: DataFrame, more: list[Column]) -> DataFrame:
+    return wide.withColumn("cells", F.concat("cells", F.array(*more))) if more else wide
 
 
 def post_process(
     wide: DataFrame,
-    columns: list[str],
+    columns: list[tuple[int, str]],
     sheet: Mapping[str, Any],
     settings: Settings,
     unpivot_mode: str = "as_configured",
 ) -> tuple[DataFrame, list[str], dict[str, str]]:
     """Drop → drop all-null → rename → constants → types → unpivot, in this order.
 
-    One profile aggregate serves both the all-null test and the type decision: the
-    names it reports are the renamed ones, and constants take part in typing.
+    ``columns`` are places in the array ``cells`` with their names; dropping and
+    renaming change that list only. One profile of the cells serves both the all-null
+    test and the type decision: the names it reports are the renamed ones, and
+    constants take part in typing.
     """
-    gone = R.columns_to_drop(columns, sheet.get("drop_columns") or [])
-    kept = [c for c in columns if c not in gone]
-    renames = R.rename_map(kept, sheet.get("rename_columns") or {})
-    wide = wide.drop(*gone).withColumnsRenamed(renames)
-    kept = [renames.get(c, c) for c in kept]
+    present = [n for _, n in columns]
+    gone = set(R.columns_to_drop(present, sheet.get("drop_columns") or []))
+    renames = R.rename_map([n for n in present if n not in gone], sheet.get("rename_columns") or {})
+    kept = [(i, renames.get(n, n)) for i, n in columns if n not in gone]
     constants = dict(sheet.get("static_columns") or {})
-    cell = {
-        k: F.struct(F.lit(str(v)).alias("value"), F.lit("string").alias("kind")) for k, v in constants.items()
-    }
-    wide = wide.withColumns(cell) if cell else wide
-    names = kept + [k for k in constants if k not in kept]
+    width = max((i for i, _ in columns), default=-1) + 1
+    wide = _with_cells(wide, [constant_cell(v) for v in constants.values()])
+    at = {n: i for i, n in kept} | {k: width + j for j, k in enumerate(constants)}
+    picked = [(i, n) for n, i in at.items()]
     overrides = {k: v for k, v in (sheet.get("column_types") or {}).items() if v}
     mode, thousands, decimal = settings.type_inference, settings.thousands_sep, settings.decimal_sep
 
-    plan = TY.type_plan(wide, names, mode, overrides, thousands, decimal).select("name", "filled", "type").collect()
-    filled = {p["name"] for p in plan if p["filled"] > 0 or p["name"] in constants}
-    names = [n for n in names if n in filled]
-    types = {p["name"]: p["type"] for p in plan if p["name"] in filled}
-    typed = TY.apply_types(wide.drop(*[p["name"] for p in plan if p["name"] not in filled]), types, mode, overrides, thousands, decimal)
+    cells = wide.select(F.posexplode("cells").alias("at", "cell")).where(F.col("cell").isNotNull())
+    cells = cells.select("at", "cell.value", "cell.kind")
+    plan = TY.cell_plan(cells, picked, mode, overrides, thousands, decimal).select("name", "filled", "type").collect()
+    types = {p["name"]: p["type"] for p in plan if p["filled"] > 0 or p["name"] in constants}
+    picked = [(i, n) for i, n in picked if n in types]
+    names = [n for _, n in picked]
+    typed = TY.apply_cell_types(wide, picked, types, mode, overrides, thousands, decimal)
 
     wanted = bool(sheet.get("unpivot")) if unpivot_mode == "as_configured" else unpivot_mode == "force_unpivot"
     if not wanted or not names:

@@ -17,7 +17,6 @@ EXTRACT_FAILED = "EXTRACT_FAILED"
 
 # --- fixed values: personal-data patterns with their scores; findings from the threshold on block a load
 PII_THRESHOLD = 0.7
-PII_MAX_LISTED = 50
 PII_PATTERNS = {
     "EMAIL": (1.0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "UK_NINO": (0.9, r"\b[A-Z]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[A-D]\b"),
@@ -144,18 +143,15 @@ def pii_scan(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     extra: Mapping[str, tuple[float, Detector]] | None = None,
-    sample_rows: int | None = None,
 ) -> DataFrame:
     """``(column_name, entity, score, hits)`` — cells with a match, per text column.
 
-    Reads whole texts of all rows by default. ``sample_rows`` bounds the scan instead.
+    Reads whole texts of all rows.
     ``extra`` adds detectors such as a name model: entity → (score, text → boolean).
     The only shuffle carries one row per column and task.
     """
     columns = list(columns or [n for n, t in df.dtypes if t == "string"])
     texts = df.select(*[F.col(f"`{c}`") for c in columns])
-    if sample_rows is not None:
-        texts = texts.limit(sample_rows)
     detectors: dict[str, tuple[float, Column]] = {}
     for name, (score, pattern) in PII_PATTERNS.items():
         hit = F.col("text").rlike(pattern)

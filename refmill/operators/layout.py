@@ -170,27 +170,38 @@ def header_labels(
         F.array_sort(F.collect_list(F.when(F.col("header").isNotNull(), F.struct("c", "header")))).alias("cols"),
     )
     inside = F.filter("cols", lambda x: x["c"] <= F.col("width"))
-    names = F.transform(inside, lambda x: x["header"])
-    unique = unique_labels(names) if settings.dedupe_headers else names
-    return (
-        per_block.withColumn("inside", inside)
-        .withColumn("names", unique)
-        .select(*BLOCK_KEY, F.posexplode("names").alias("at", "header"), "inside")
-        .select(*BLOCK_KEY, F.element_at("inside", F.col("at") + 1)["c"].alias("c"), "header")
+    listed = per_block.select(*BLOCK_KEY, F.inline(inside))
+    return number_repeats(listed) if settings.dedupe_headers else listed
+
+
+def number_repeats(listed: DataFrame) -> DataFrame:
+    """``(workbook, sheet, block, c, header)`` with repeated headers numbered as in :func:`unique_labels`.
+
+    The n-th equal header of a block is named by a window, in time linear in the
+    columns. Only blocks where such a name meets a header of its own are folded.
+    """
+    nth = F.row_number().over(Window.partitionBy(*BLOCK_KEY, "header").orderBy("c"))
+    counted = F.when(nth > 1, F.concat_ws("_", "header", nth.cast("string"))).otherwise(F.col("header"))
+    named = listed.withColumn("name", counted)
+    taken = F.count(F.lit(1)).over(Window.partitionBy(*BLOCK_KEY, "name"))
+    marked = named.withColumn("taken", taken)
+    blocks = marked.groupBy(*BLOCK_KEY).agg(
+        F.max("taken").alias("most"), F.array_sort(F.collect_list(F.struct("c", "header", "name"))).alias("cols")
     )
+    labels = F.transform("cols", lambda x: x["header"])
+    names = F.when(F.col("most") > 1, folded_labels(labels)).otherwise(F.transform("cols", lambda x: x["name"]))
+    pairs = F.arrays_zip(F.transform("cols", lambda x: x["c"]).alias("c"), names.alias("header"))
+    return blocks.select(*BLOCK_KEY, pairs.alias("pairs")).select(*BLOCK_KEY, F.inline("pairs"))
 
 
 def unique_labels(labels: Column) -> Column:
-    """Later repeats get ``_2``, ``_3`` …; a suffix already in use is skipped.
+    """Later repeats get ``_2``, ``_3`` …; a suffix already in use is skipped."""
+    return F.when(F.size(F.array_distinct(labels)) == F.size(labels), labels).otherwise(folded_labels(labels))
 
-    Counting earlier equals gives the names unless a label itself looks like a
-    suffixed one; only then the labels are folded one by one.
-    """
-    size = F.size(labels)
 
-    def numbered(label: Column, i: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(labels, F.lit(1), i), lambda x: x == label))
-        return F.when(earlier > 0, F.concat(label, F.lit("_"), (earlier + 1).cast("string"))).otherwise(label)
+def folded_labels(labels: Column) -> Column:
+    """Labels made unique one by one, each against those before it."""
+    size = F.size(labels)
 
     def free_name(out: Column, label: Column) -> Column:
         tries = F.transform(F.sequence(F.lit(2), size + 1), lambda k: F.concat(label, F.lit("_"), k.cast("string")))
@@ -200,13 +211,7 @@ def unique_labels(labels: Column) -> Column:
         name = F.when(F.array_contains(out, label), free_name(out, label)).otherwise(label)
         return F.concat(out, F.array(name))
 
-    counted = F.transform(labels, numbered)
-    folded = F.aggregate(labels, F.lit([]).cast("array<string>"), step)
-    return (
-        F.when(F.size(F.array_distinct(labels)) == size, labels)
-        .when(F.size(F.array_distinct(counted)) == size, counted)
-        .otherwise(folded)
-    )
+    return F.aggregate(labels, F.lit([]).cast("array<string>"), step)
 
 
 def explicit_labels(cells: DataFrame, block: Block) -> DataFrame:

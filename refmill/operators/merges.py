@@ -13,7 +13,7 @@ def fill_merged(
     cells: DataFrame,
     merges: DataFrame,
     max_rows: int = 1_048_576,
-    max_cols: int = 1000,
+    max_cols: int = 16_384,
 ) -> DataFrame:
     """``cells`` plus the covered cells, with ``origin`` = ``cell`` or ``merge``.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..session import stage
 from ..sources.config import Settings
+from .layout import unique_labels
 from .ordered import RANGE_WIDTH
 
 SHEET = ["workbook", "sheet"]
@@ -334,10 +335,9 @@ def sheet_configs(
     """One config entry per profiled sheet; sheets without a header are left out.
 
     ``position`` orders the sheets of a workbook for the suffix on equal output
-    names (``_2``, ``_3`` …).
+    names (``_2``, ``_3`` …); a suffix already in use is skipped.
     """
     found = profiles.where(F.col("status").isNull()).withColumn("base", X.slug(F.col("sheet")))
-    nth = F.row_number().over(Window.partitionBy("workbook", "base").orderBy(position))
     side = (F.col("table_type") == "side_by_side") & (F.size("sections") > 0)
     stack = F.col("stacked_tables").isNotNull()
 
@@ -368,10 +368,12 @@ def sheet_configs(
         F.when(side, F.col("sections")).alias("sections"),
         F.when(stack, F.transform("stacked_tables", table)).alias("tables"),
     )
-    named = found.withColumn("nth", nth).withColumn(
-        "output_name",
-        F.when(F.col("nth") > 1, F.concat_ws("_", "base", F.col("nth").cast("string"))).otherwise(F.col("base")),
-    )
+    order = F.struct(F.col(position).alias("at"), "sheet", "base")
+    books = found.groupBy("workbook").agg(F.array_sort(F.collect_list(order)).alias("order"))
+    free = unique_labels(F.transform("order", lambda x: x["base"]))
+    pairs = F.arrays_zip(F.transform("order", lambda x: x["sheet"]).alias("sheet"), free.alias("output_name"))
+    names = books.select("workbook", pairs.alias("pairs")).select("workbook", F.inline("pairs"))
+    named = found.join(names, ["workbook", "sheet"])
     keep = ["workbook", "sheet", *([position] if position != "sheet" else [])]
     return named.select(*keep, entry.alias("entry"))
 

@@ -7,6 +7,7 @@ single aggregate; its result has one row per column and decides the projection.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -160,23 +161,94 @@ def type_plan(
             )
         )
     )
+    return cell_plan(cells, list(enumerate(columns)), mode, overrides, thousands, decimal)
+
+
+def cell_plan(
+    cells: DataFrame,
+    columns: Sequence[tuple[int, str]],
+    mode: str,
+    overrides: Mapping[str, str],
+    thousands: str = ",",
+    decimal: str = ".",
+) -> DataFrame:
+    """The plan of the ``(at, name)`` columns from their cells in long form, ``at, value, kind``."""
     value, kind = F.col("value"), F.col("kind")
     parsed = cells.select("at", "value", "kind", plain_number(value, kind, thousands, decimal).alias("number"))
     coded = parsed.select("at", cell_class(value, kind, F.col("number")).alias("class"))
     per_class = coded.groupBy("at", "class").agg(F.count(F.lit(1)).alias("n"))
     counted = per_class.groupBy("at").agg(*[e.alias(k) for k, e in class_counts().items()])
     # Columns of a table without rows still get a type.
-    names = F.array(
-        *[
-            F.struct(F.lit(i).alias("at"), F.lit(c).alias("name"), F.lit(overrides.get(c)).cast("string").alias("override"))
-            for i, c in enumerate(columns)
-        ]
+    listed = cells.sparkSession.createDataFrame(
+        [(i, c, overrides.get(c)) for i, c in columns], "at int, name string, override string"
     )
-    listed = wide.sparkSession.range(1).select(F.inline(names))
     full = listed.join(counted, "at", "left").fillna(0, list(COUNTS))
     return full.withColumn("type", decide_type(F.lit(mode), F.col("override"))).drop("at")
 
 
+def parses(name: str, mode: str, overrides: Mapping[str, str]) -> bool:
+    """Whether texts of a column are read as numbers where they can be."""
+    rule = overrides.get(name)
+    return rule in ("int", "float", "number") or (mode == "aggressive" and rule not in ("string", "keep"))
+
+
+# How a cell of an array becomes a column: the field of the typed cell, by code.
+_FIELDS = {"bigint": (1, "whole"), "double": (2, "fraction"), "boolean": (3, "flag"), "timestamp": (4, "time"), "string": (0, "text")}
+_CANONICAL, _CANONICAL_FLOAT = 5, 6
+
+
+def apply_cell_types(
+    rows: DataFrame,
+    picked: Sequence[tuple[int, str]],
+    plan: Mapping[str, str],
+    mode: str,
+    overrides: Mapping[str, str],
+    thousands: str = ",",
+    decimal: str = ".",
+) -> DataFrame:
+    """Array column ``cells`` → one typed column per picked ``(at, name)``, other columns kept.
+
+    Cells are typed inside the array, by a code per position, so the plan holds one
+    short expression per column, whatever the number of columns.
+    """
+    codes: dict[int, int] = {}
+    for at, name in picked:
+        code = _FIELDS[plan[name]][0]
+        if code == 0 and parses(name, mode, overrides):
+            code = _CANONICAL_FLOAT if overrides.get(name) == "float" else _CANONICAL
+        codes[at] = code
+    listed = [codes.get(i, -1) for i in range(max(codes, default=-1) + 1)]
+    by_place = F.from_json(F.lit(json.dumps(listed)), "array<int>")
+
+    def with_number(x: Column) -> Column:
+        number = plain_number(x["value"], x["kind"], thousands, decimal)
+        return F.struct(x["value"].alias("value"), x["kind"].alias("kind"), number.alias("number"))
+
+    def typed(x: Column, i: Column) -> Column:
+        code = F.get(by_place, i)
+        value, kind, number = x["value"], x["kind"], x["number"]
+
+        def text(as_float: bool) -> Column:
+            return typed_value(value, kind, number, "string", True, as_float)
+
+        return F.struct(
+            F.when(code == 1, typed_value(value, kind, number, "bigint")).alias("whole"),
+            F.when(code == 2, typed_value(value, kind, number, "double")).alias("fraction"),
+            F.when(code == 3, typed_value(value, kind, number, "boolean")).alias("flag"),
+            F.when(code == 4, typed_value(value, kind, number, "timestamp")).alias("time"),
+            F.when(code == 0, value).when(code == _CANONICAL, text(False)).when(code == _CANONICAL_FLOAT, text(True)).alias("text"),
+        )
+
+    numbered = F.transform("cells", lambda x: F.when(x.isNotNull(), with_number(x)))
+    done = rows.withColumn("cells", F.transform(numbered, lambda x, i: F.when(x.isNotNull(), typed(x, i))))
+    keep = [f"`{c}`" for c in rows.columns if c != "cells"]
+    return done.selectExpr(*keep, *[f"get(cells, {at}).{_FIELDS[plan[n]][1]} AS {quoted(n)}" for at, n in picked])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def apply_types(
     wide: DataFrame,
     plan: Mapping[str, str],
@@ -190,11 +262,7 @@ def apply_types(
     The number text of a cell is projected first, so that it is worked out once.
     """
 
-    def parse(name: str) -> bool:
-        rule = overrides.get(name)
-        return rule in ("int", "float", "number") or (mode == "aggressive" and rule not in ("string", "keep"))
-
-    needs = {n: i for i, n in enumerate(plan) if plan[n] in ("bigint", "double") or (plan[n] == "string" and parse(n))}
+    needs = {n: i for i, n in enumerate(plan) if plan[n] in ("bigint", "double") or (plan[n] == "string" and parses(n, mode, overrides))}
     parsed = wide.select(
         "*",
         *[
@@ -208,7 +276,7 @@ def apply_types(
             return F.col(f"`{name}`")
         value, kind = F.col(f"`{name}`.value"), F.col(f"`{name}`.kind")
         number = F.col(f"_number_{needs[name]}") if name in needs else F.lit(None)
-        return typed_value(value, kind, number, plan[name], parse(name), overrides.get(name) == "float").alias(name)
+        return typed_value(value, kind, number, plan[name], parses(name, mode, overrides), overrides.get(name) == "float").alias(name)
 
     return parsed.select(*[project(c) for c in wide.columns])
 

@@ -35,10 +35,11 @@ def clean_headers(spark, sf_dir):
 def dedupe_headers(spark, sf_dir):
     """Labels of sheets that are 200 columns wide, made unique per sheet."""
     parts = select(spark, sf_dir, "part", {"sheet": chunk("p_partkey", 200), "p_partkey": "p_partkey", "p_name": "p_name"})
-    rows = parts.groupBy("sheet").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))).alias("cols"))
-    names = L.unique_labels(F.transform("cols", lambda x: x["p_name"]))
-    both = F.arrays_zip(F.transform("cols", lambda x: x["p_partkey"]).alias("p_partkey"), names.alias("header"))
-    return rows.select(F.inline(both)).toDF("p_partkey", "header")
+    listed = parts.select(
+        F.lit("b").alias("workbook"), F.col("sheet").cast("string").alias("sheet"), F.lit(0).alias("block"),
+        F.col("p_partkey").alias("c"), F.col("p_name").alias("header"),
+    )
+    return L.number_repeats(listed).select(F.col("c").alias("p_partkey"), "header")
 
 
 @query(

@@ -13,23 +13,32 @@ KEYWORD = "datadrop"
 
 FILES = {
     "folder": f"CASE WHEN o_orderkey % 6 = 2 THEN concat({ROOT}, '/', {YMD}) ELSE {ROOT} END",
-    "name": f"""CASE o_orderkey % 6 WHEN 0 THEN concat('NG_Output_', {YMD}, '.psv') WHEN 1 THEN concat('NG-x_', {DMY}, '.psv')
+    "name": f"""CASE WHEN o_orderkey % 11 = 6 THEN concat('NG_', substr({DAY}, 1, 4), '9999_', {YMD}, '.psv')
+                WHEN o_orderkey % 11 = 7 THEN concat('NG_99992099_', {DMY}, '.psv') ELSE
+                CASE o_orderkey % 6 WHEN 0 THEN concat('NG_Output_', {YMD}, '.psv') WHEN 1 THEN concat('NG-x_', {DMY}, '.psv')
                 WHEN 2 THEN 'NG_x.psv' WHEN 3 THEN 'NG_part_12345678.psv' WHEN 4 THEN concat('XNG_', {YMD})
-                ELSE concat('NG_', substr({DAY}, 1, 4), '1399_', {DMY}) END""",
+                ELSE concat('NG_', substr({DAY}, 1, 4), '1399_', {DMY}) END END""",
     "bytes": "CAST(floor(o_totalprice * 1000) AS BIGINT)",
     "modified_at": "CAST(o_orderdate AS DATE) + CAST(o_custkey % 400 AS INT)",
 }
 FILES_SQL = select_sql("orders", FILES)
-_YMD_RE = "(?:^|[^0-9])((?:19|20|21)[0-9]{6})(?:[^0-9]|$)"
-_DMY_RE = "(?:^|[^0-9])([0-9]{4}(?:19|20|21)[0-9]{2})(?:[^0-9]|$)"
+
+
+def _first_day(text: str, groups: str, form: str) -> str:
+    """The first run of eight digits of a form that is a date; runs are set apart by two marks, as each match takes one on either side."""
+    runs = f"regexp_extract_all(regexp_replace(concat('_', {text}, '_'), '[^0-9]+', '__', 'g'), '_({groups})_', 1)"
+    return f"list_filter(list_transform({runs}, lambda g: CAST(try_strptime(g, '{form}') AS DATE)), lambda d: d IS NOT NULL)[1]"
+
+
+_YMD_RE, _DMY_RE = "(?:19|20|21)[0-9]{6}", "[0-9]{4}(?:19|20|21)[0-9]{2}"
 DATED_SQL = f"""
   SELECT *, coalesce(d1, d2, d3) AS file_day,
          CASE WHEN d1 IS NOT NULL THEN 'FN_YYYYMMDD' WHEN d2 IS NOT NULL THEN 'FN_DDMMYYYY'
               WHEN d3 IS NOT NULL THEN 'FolderName' ELSE 'None' END AS method
   FROM (SELECT *,
-          CAST(try_strptime(regexp_extract(name, '{_YMD_RE}', 1), '%Y%m%d') AS DATE) AS d1,
-          CAST(try_strptime(regexp_extract(name, '{_DMY_RE}', 1), '%d%m%Y') AS DATE) AS d2,
-          CAST(try_strptime(regexp_extract(split_part(folder, '/', -1), '{_YMD_RE}', 1), '%Y%m%d') AS DATE) AS d3
+          {_first_day("name", _YMD_RE, "%Y%m%d")} AS d1,
+          {_first_day("name", _DMY_RE, "%d%m%Y")} AS d2,
+          {_first_day("split_part(folder, '/', -1)", _YMD_RE, "%Y%m%d")} AS d3
         FROM ({FILES_SQL}) WHERE regexp_matches(name, '^NG[_-]') AND contains(lower(folder), '{KEYWORD}'))
 """
 DAYS_SQL = f"SELECT folder, file_day, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM ({DATED_SQL}) WHERE file_day IS NOT NULL GROUP BY ALL"

@@ -366,10 +366,9 @@ def load_rejected(spark, sf_dir):
     """Documents with addresses in them are stopped, recorded, and reported to the owner."""
     root = scratch_path(spark, "reject")
     landing = f"{root}/landing/messages"
-    one_line = F.regexp_replace("text", '[\\n\\r"]', " ")
-    text = F.concat(F.lit("to "), "role", F.lit("@example.org: "), one_line)
+    text = F.concat(F.lit("to "), "role", F.lit("@example.org: "), "text")
     df = table(spark, sf_dir, "conversations").withColumn("text", text)
-    df.select("conv_id", "turn", "role", "text").write.option("header", True).csv(landing)
+    df.select("conv_id", "turn", "role", "text").write.option("header", True).option("escape", '"').csv(landing)
     columns = (("conv_id", "bigint"), ("turn", "int"), ("role", "string"), ("text", "string"))
     contract = [G.ContractColumn(i + 1, n, t) for i, (n, t) in enumerate(columns)]
     store = Store(spark, f"{root}/store")

@@ -72,7 +72,7 @@ def extract_all(
     ]
     cells = books.cells.where(F.col("sheet").isin([s["sheet_name"] for s in chosen]))
     if settings.resolve_merged_cells:
-        cells = fill_merged(cells, books.merges, settings.max_scan_rows)
+        cells = fill_merged(cells, books.merges, settings.max_scan_rows, settings.max_scan_cols)
     grid = stage(cells)
     out = []
     for sheet in chosen:

@@ -49,6 +49,13 @@ class Store:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).parquet(path)
 
+    def remove(self, path: str) -> None:
+        """A folder of this store's own, with all in it, if it is there."""
+        if not path.startswith(self.root + "/"):
+            raise ValueError(f"{path} is not in the store")
+        fs, target = _file_system(self.spark, path)
+        fs.delete(target, True)
+
     def append(self, name: str, rows: DataFrame) -> None:
         rows.coalesce(1).write.mode("append").parquet(self.path(name))
 

@@ -72,7 +72,7 @@ class Settings:
     decimal_sep: str = "."
     thousands_sep: str = ","
     header_search_max_rows: int = 25
-    max_scan_cols: int = 1000
+    max_scan_cols: int = 16_384
     max_scan_rows: int = 1_048_576
     stop_on_blank_rows: int = 1
     footer_markers: tuple[str, ...] = ()
@@ -125,3 +125,15 @@ def config_hash(config: Mapping[str, Any]) -> str:
 def text_hash(json_text: Column) -> Column:
     """The same short hash over JSON text that is already key-sorted."""
     return F.substring(F.sha2(json_text, 256), 1, 16)
+
+
+def flat_hash(json_text: Column) -> Column:
+    """The short hash of flat JSON objects of texts, whatever the order of their keys."""
+
+    def quoted(text: Column) -> Column:
+        listed = F.to_json(F.array(text))
+        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+    entries = F.array_sort(F.map_entries(F.from_json(json_text, "map<string, string>")))
+    pairs = F.transform(entries, lambda e: F.concat(quoted(e["key"]), F.lit(": "), quoted(e["value"])))
+    return text_hash(F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}")))

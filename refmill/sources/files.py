@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest file whose bytes fit one row; above it a file has no content hash.
+from ..session import ship_by_value
+
+# Largest file whose bytes fit one row; a larger one is read in pieces.
 MAX_CONTENT = 2_147_483_647 - 64
+_PIECE = 8 << 20
+
+ship_by_value(__name__)
 
 FILES_DDL = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -32,25 +41,46 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def hash_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, name, bytes, sha256)``; files beyond the row limit get a null hash.
+def _hash_in_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hashes of files read piece by piece in constant memory, from any file system Arrow knows."""
+    import hashlib
+
+    from pyarrow import fs
+
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
+            system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+            digest = hashlib.sha256()
+            with system.open_input_stream(place) as stream:
+                while piece := stream.read(_PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield batch.assign(sha256=found)
 
-    One task reads one file at a time, so hashing spreads over the files.
+
+def hash_files(spark: SparkSession, path: str, max_content: int = MAX_CONTENT) -> DataFrame:
+    """``(path, name, bytes, sha256)`` of all files below ``path``, of any size.
+
+    One task reads one file at a time, so hashing spreads over the files. Files of over
+    ``max_content`` bytes don't fit a row and are read in pieces.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1).alias("name")
-    small = files.where(F.col("length") <= MAX_CONTENT).select(
+    small = files.where(F.col("length") <= max_content).select(
         "path", name, F.col("length").alias("bytes"), content_hash(F.col("content")).alias("sha256")
     )
-    large = files.where(F.col("length") > MAX_CONTENT).select(
-        "path", name, F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256")
-    )
-    return small.unionByName(large)
+    large = files.where(F.col("length") > max_content).select("path", name, F.col("length").alias("bytes"))
+    return small.unionByName(large.mapInPandas(_hash_in_pieces, "path string, name string, bytes bigint, sha256 string"))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header row, every column text; types come later, from the contract."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """Header row, every column text; types come later, from the contract.
+
+    Quoted values may hold line breaks and doubled quotes; each file is read by one task.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
+    return reader.option("escape", '"').csv(path)
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:

@@ -106,7 +106,7 @@ def _walk(data: bytes, method: int) -> Iterator[tuple]:
             elif tag == "xf" and path and path[-1].tag.endswith("}cellXfs"):
                 yield "style", ordinal, None, None, int(el.get("numFmtId") or 0), None
                 ordinal += 1
-            elif tag == "numFmt":
+            elif tag == "numFmt" and path and path[-1].tag.endswith("}numFmts"):
                 yield "format", int(el.get("numFmtId")), None, None, 0, el.get("formatCode")
             elif tag == "mergeCell":
                 yield "merge", 0, el.get("ref"), None, 0, None
@@ -207,7 +207,7 @@ def _merges(events: DataFrame, sheets: DataFrame) -> DataFrame:
 def _date_styles(events: DataFrame) -> DataFrame:
     """``(workbook, style)`` of the cell styles that show dates."""
     styles = events.where("what = 'style'").select("workbook", F.col("r").alias("style"), F.col("style").alias("format"))
-    codes = events.where("what = 'format'").select("workbook", F.col("r").alias("format"), F.col("text").alias("code"))
+    codes = events.where("what = 'format'").groupBy("workbook", F.col("r").alias("format")).agg(F.max("text").alias("code"))
     bare = F.regexp_replace("code", r'"[^"]*"|\\.|\[[^\]]*\]|_.', "")
     shows_date = F.col("format").isin(*DATE_FORMAT_IDS) | F.coalesce(F.lower(bare).rlike("[dmhysDMHYS]"), F.lit(False))
     return styles.join(codes, ["workbook", "format"], "left").where(shows_date).select(

@@ -67,7 +67,7 @@ SIDE_CONFIG = dict(
 
 def test_side_by_side(grid):
     t = run(grid({"s": SIDE}), config(**SIDE_CONFIG))
-    assert t.columns == ("Year", "Gas", "Oil", "Coal", "Industry_sector")
+    assert t.columns == ("Year", "Gas", "Oil", "Industry_sector", "Coal")
     rows = tuples(t.frame, "Year", "Gas", "Oil", "Industry_sector", "Coal")
     assert rows == [(2020, 1, 2, "Road", None), (2020, 5, None, "Rail", 6), (2021, 3, None, "Road", None), (2021, 7, None, "Rail", 8)]
 
