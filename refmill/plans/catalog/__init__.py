@@ -1,6 +1,6 @@
 """All registered queries, by name."""
 
-from . import books, cleaning, drops, governance, history, sheets, structure  # noqa: F401
+from . import books, cleaning, drops, governance, history, jobs, sheets, structure  # noqa: F401
 from .base import REGISTERED, Query
 
 __all__ = ["REGISTERED", "Query"]

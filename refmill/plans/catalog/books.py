@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from ...operators import extract as X
 from ...operators import merges as M
-from ...session import scratch_path, ship_by_value, stage
+from ...session import ship_by_value, stage
 from ...sources.config import Settings
 from ...sources.workbook import parse_workbooks
-from ...streaming.arrivals import watch_inventory
 from .base import chunk_name, query, table
 
 ship_by_value(__name__)
@@ -143,11 +142,3 @@ def workbook_to_table(spark, sf_dir):
         "data_start_row": 3, "index_columns": ["Item | Key"],
     }
     return X.extract_table(grid, sheet, Settings()).frame
-
-
-@query("arrival_inventory")
-def arrival_inventory(spark, sf_dir):
-    """The table files themselves as arriving files, streamed into an inventory table."""
-    root = scratch_path(spark, "arrivals")
-    watch_inventory(spark, sf_dir, f"{root}/files", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/files").select("name", "bytes")

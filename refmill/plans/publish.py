@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .audit import expired_versions, live_versions
+from .audit import APPENDING, expired_versions, live_versions
 
 PUBLICATIONS_DDL = """
   dataset_id string, version bigint, label string, path string, `rows` bigint, sha256 string,
@@ -57,7 +57,8 @@ class Store:
         fs.delete(target, True)
 
     def append(self, name: str, rows: DataFrame) -> None:
-        rows.coalesce(1).write.mode("append").parquet(self.path(name))
+        with APPENDING:
+            rows.coalesce(1).write.mode("append").parquet(self.path(name))
 
     # ------------------------------------------------------------------ versions
     def publications(self, dataset_id: str | None = None) -> DataFrame:
