@@ -48,13 +48,21 @@ def records(
     broadcasts them when their measured size allows, else splits a hot workbook.
     """
     blocks = L.blocks_of(sheet)
-    ends = L.table_ends(cells, blocks, settings, end_from_first_block)
+    given = all(b.data_end is not None for b in blocks) and not end_from_first_block
+    ends = None if given else L.table_ends(cells, blocks, settings, end_from_first_block)
     if blocks[0].columns:
         labels = L.explicit_labels(cells, blocks[0])
-        in_span = with_any_column(cells, blocks[0]).join(ends, L.BLOCK_KEY).where(F.col("r") <= F.col("end_row"))
+        in_span = with_any_column(cells, blocks[0])
+        if given:
+            in_span = in_span.where(F.col("r") <= min(blocks[0].data_end, settings.max_scan_rows))
+        else:
+            in_span = in_span.join(ends, L.BLOCK_KEY).where(F.col("r") <= F.col("end_row"))
     else:
         labels = L.header_labels(cells, blocks, settings, sheet.get("header_join") or " | ")
-        if L.disjoint(blocks):
+        if given:  # ends from the config are predicates: nothing to look for, nothing to join
+            last = F.least("data_end", F.lit(settings.max_scan_rows))
+            in_span = L.with_blocks(cells, blocks, F.col("r").between(F.col("data_start"), last))
+        elif L.disjoint(blocks):
             in_span = L.with_blocks(cells, blocks, F.col("r") >= F.col("data_start"))
             in_span = in_span.join(ends, L.BLOCK_KEY).where(F.col("r") <= F.col("end_row"))
         else:

@@ -7,7 +7,7 @@ wider groupings; only those day rows are expanded, compared or rolled up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -16,10 +16,14 @@ from ..functions import dates as D
 NAME_FILTER = "^NG[_-]"
 
 
+def matches(keyword: str | None = None, name_filter: str = NAME_FILTER) -> Column:
+    """Whether a file is of interest; the folder keyword is compared without case."""
+    named = F.col("name").rlike(name_filter)
+    return named & F.contains(F.lower("folder"), F.lit(keyword.lower())) if keyword else named
+
+
 def matching_files(files: DataFrame, keyword: str | None = None, name_filter: str = NAME_FILTER) -> DataFrame:
-    """Files of interest; the folder keyword is compared without case."""
-    found = files.where(F.col("name").rlike(name_filter))
-    return found.where(F.contains(F.lower("folder"), F.lit(keyword.lower()))) if keyword else found
+    return files.where(matches(keyword, name_filter))
 
 
 def dated_files(files: DataFrame) -> DataFrame:
@@ -76,12 +80,9 @@ def rollup(days: DataFrame) -> DataFrame:
     )
 
 
-def folder_counts(folders: DataFrame, matched: DataFrame) -> DataFrame:
-    """Every folder found with its number of matching files, zero included."""
-    counts = matched.groupBy("folder").agg(F.count(F.lit(1)).alias("files"))
-    return folders.select("folder").distinct().join(counts, "folder", "left").select(
-        "folder", F.coalesce("files", F.lit(0).cast("bigint")).alias("files")
-    )
+def folder_counts(files: DataFrame, keyword: str | None = None, name_filter: str = NAME_FILTER) -> DataFrame:
+    """Every folder found with its number of matching files, zero included; one pass over the files."""
+    return files.groupBy("folder").agg(F.count_if(matches(keyword, name_filter)).alias("files"))
 
 
 def report_totals(counts: DataFrame) -> DataFrame:
@@ -98,21 +99,17 @@ def method_counts(dated: DataFrame) -> DataFrame:
 def year_compare(dated: DataFrame) -> DataFrame:
     """Files and size by the year in the name next to the year of modification."""
 
-    def by(day: str, prefix: str) -> DataFrame:
-        year = F.year(day)
-        # The null year goes after counting, for the reason given at per_day.
-        return (
-            dated.groupBy(year.alias("year"))
-            .agg(
-                F.count(F.lit(1)).alias(f"{prefix}_count"),
-                F.sum("bytes").alias(f"{prefix}_bytes"),
-                F.max(day).alias("_day"),
-            )
-            .where(F.col("_day").isNotNull())
-            .drop("_day")
+    # One pass over the files: each counts for the year of its name and for that of its modification.
+    years = F.array(*[F.struct(F.year(d).alias("year"), F.lit(p).alias("of")) for d, p in (("file_day", "fn"), ("modified_at", "md"))])
+    sides = dated.select("bytes", F.inline(years))
+    both = (
+        sides.groupBy("year")
+        .agg(
+            *[F.count_if(F.col("of") == p).alias(f"{p}_count") for p in ("fn", "md")],
+            *[F.sum(F.when(F.col("of") == p, F.col("bytes"))).alias(f"{p}_bytes") for p in ("fn", "md")],
         )
-
-    both = by("file_day", "fn").join(by("modified_at", "md"), "year", "full_outer")
+        .where(F.col("year").isNotNull())
+    )
 
     def count(prefix: str):
         return F.coalesce(f"{prefix}_count", F.lit(0).cast("bigint")).alias(f"{prefix}_count")

@@ -27,6 +27,14 @@ START_COLUMNS = 5
 EMPTY_LOOKAHEAD = 200
 NO_HEADER = "NO_HEADER_DETECTED"
 
+# --- fixed values: texts of the report
+ADVICE_SIDES = "side_by_side with %d sections"
+ADVICE_STACK = "stacked with %d tables"
+ADVICE_SIMPLE = "simple (single table)"
+ADVICE_NONE = "Skip (metadata/cover) or define manually"
+DESCRIBED = "Auto-detected: "
+BOOK_DESCRIBED = "Auto-generated config for "
+
 
 def is_label(value: Column, kind: Column, settings: Settings) -> Column:
     """A genuine text: not empty, not a null marker, not a number."""
@@ -293,9 +301,9 @@ def profile_sheets(
     stacked = F.when(~side, F.col("stacked"))
     kind = F.when(side, "side_by_side").when(F.col("stacked").isNotNull(), "stacked").otherwise("simple")
     advice = (
-        F.when(side, F.format_string("side_by_side with %d sections", F.size("sections")))
-        .when(F.col("stacked").isNotNull(), F.format_string("stacked with %d tables", F.size("stacked")))
-        .otherwise("simple (single table)")
+        F.when(side, F.format_string(ADVICE_SIDES, F.size("sections")))
+        .when(F.col("stacked").isNotNull(), F.format_string(ADVICE_STACK, F.size("stacked")))
+        .otherwise(ADVICE_SIMPLE)
     )
     sections = F.transform(
         "sections",
@@ -322,7 +330,7 @@ def profile_sheets(
         F.when(side, sections).alias("sections"),
         F.when(found, stacked).alias("stacked_tables"),
         F.when(found, kind).alias("table_type"),
-        F.when(~found, "Skip (metadata/cover) or define manually").otherwise(advice).alias("recommendation"),
+        F.when(~found, ADVICE_NONE).otherwise(advice).alias("recommendation"),
     )
 
 
@@ -353,7 +361,7 @@ def sheet_configs(
     entry = F.struct(
         F.col("sheet").alias("sheet_name"),
         "table_type",
-        F.concat(F.lit("Auto-detected: "), "recommendation").alias("description"),
+        F.concat(F.lit(DESCRIBED), "recommendation").alias("description"),
         "output_name",
         F.when(~stack, F.col("header_row")).alias("header_row"),
         F.when(~stack, F.col("data_start_row")).alias("data_start_row"),
@@ -394,7 +402,7 @@ def generate_configs(
         F.regexp_replace(name, r"\.[^.]*$", "").alias("config_name"),
         F.lit("2.0").alias("config_version"),
         F.lit(engine_version).alias("engine_version"),
-        F.concat(F.lit("Auto-generated config for "), name).alias("description"),
+        F.concat(F.lit(BOOK_DESCRIBED), name).alias("description"),
         F.struct(
             name.alias("original_file"),
             F.lit("profile").alias("generated_by"),

@@ -98,7 +98,7 @@ def inventory_year_compare(spark, sf_dir):
     """,
 )
 def inventory_folder_counts(spark, sf_dir):
-    return I.folder_counts(files(spark, sf_dir), dated(spark, sf_dir))
+    return I.folder_counts(files(spark, sf_dir), KEYWORD)
 
 
 @query(
@@ -106,7 +106,7 @@ def inventory_folder_counts(spark, sf_dir):
     f"SELECT (SELECT count(DISTINCT folder) FROM ({FILES_SQL})) AS folders_found, (SELECT count(*) FROM ({DATED_SQL})) AS files_matched",
 )
 def inventory_totals(spark, sf_dir):
-    return I.report_totals(I.folder_counts(files(spark, sf_dir), dated(spark, sf_dir)))
+    return I.report_totals(I.folder_counts(files(spark, sf_dir), KEYWORD))
 
 
 @query(

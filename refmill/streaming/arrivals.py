@@ -13,6 +13,7 @@ from ..plans import audit as A
 from ..plans.load import LoadRules, load_file
 from ..plans.publish import Store
 from ..sources.files import FILES_DDL, shape_listing
+from ..sources.registry import effective_registry
 
 MAX_FILES = 100
 ARRIVALS_DDL = "path string, bytes bigint, modified_at timestamp"
@@ -51,9 +52,11 @@ def pending(files: DataFrame, registry: DataFrame, history: DataFrame) -> DataFr
     dataset's folder of rejected files are left alone.
     """
 
-    def folders(column: str, name: str) -> DataFrame:
+    datasets = effective_registry(registry)
+
+    def folders(column: str) -> DataFrame:
         home = F.rtrim(F.regexp_replace(column, "^file:/+", "/"), F.lit("/"))
-        return registry.select("dataset_id", home.alias(name), F.coalesce("active", F.lit(True)).alias("active"))
+        return datasets.select("dataset_id", home.alias("home")).where("home <> ''")
 
     plain = F.regexp_replace("path", "^file:/+", "/")
     # A file belongs to the dataset whose folder is one of its ancestors: an equi-join
@@ -64,8 +67,8 @@ def pending(files: DataFrame, registry: DataFrame, history: DataFrame) -> DataFr
         .select("*", F.explode(F.sequence(F.lit(1), depth - 1)).alias("level"))
         .withColumn("home", F.expr("substring_index(plain, '/', level)"))
     )
-    refused = placed.join(folders("rejected_path", "home").select("home").where("home <> ''"), "home").select("plain").distinct()
-    owned = placed.join(folders("quarantine_path", "home").where("active").drop("active"), "home").join(refused, "plain", "left_anti")
+    refused = placed.join(folders("rejected_path").select("home"), "home").select("plain").distinct()
+    owned = placed.join(folders("quarantine_path"), "home").join(refused, "plain", "left_anti")
     run_id = F.sha2(F.concat_ws("|", "dataset_id", "plain", "bytes", F.unix_micros("modified_at")), 256)
     done = history.where(F.col("status").isin("SUCCESS", "REJECTED")).select("run_id")
     found = owned.withColumn("run_id", run_id).join(done, "run_id", "left_anti")
