@@ -24,7 +24,6 @@ BANNER_MIN_COLUMN = 5
 TITLE_MIN_LENGTH = 10
 TITLE_KEEP = 50
 START_COLUMNS = 5
-EMPTY_LOOKAHEAD = 200
 NO_HEADER = "NO_HEADER_DETECTED"
 
 # --- fixed values: texts of the report
@@ -166,7 +165,9 @@ def with_sections(headers: DataFrame, settings: Settings, index_keyword: str = "
     )
 
 
-def stacked_titles(grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH) -> DataFrame:
+def stacked_titles(
+    grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH, title_keep: int = TITLE_KEEP
+) -> DataFrame:
     """Title rows of stacked tables: ``(workbook, sheet, title_row, name)``.
 
     A title is a lone text of more than ten characters with a filled row right below
@@ -226,13 +227,13 @@ def stacked_titles(grid: DataFrame, settings: Settings, width: int = RANGE_WIDTH
     below_r, below_filled = F.coalesce("next_r", "far_r"), F.coalesce("next_filled", "far_filled")
     title = (below_r == F.col("r") + 1) & (below_filled >= 2) & (full.isNull() | (full < run_start))
     return cells.join(seen.where(title).select(*SHEET, "r"), [*SHEET, "r"]).select(
-        *SHEET, F.col("r").alias("title_row"), F.left("value", F.lit(TITLE_KEEP)).alias("name")
+        *SHEET, F.col("r").alias("title_row"), F.left("value", F.lit(title_keep)).alias("name")
     )
 
 
-def stacked_tables(grid: DataFrame, settings: Settings) -> DataFrame:
+def stacked_tables(grid: DataFrame, settings: Settings, title_keep: int = TITLE_KEEP) -> DataFrame:
     """Sheets with two or more titles, their tables in row order."""
-    titles = stacked_titles(grid, settings)
+    titles = stacked_titles(grid, settings, title_keep=title_keep)
     per_sheet = titles.groupBy(*SHEET).agg(F.array_sort(F.collect_list(F.struct("title_row", "name"))).alias("t"))
     table = F.transform(
         "t",
@@ -244,15 +245,13 @@ def stacked_tables(grid: DataFrame, settings: Settings) -> DataFrame:
 
 
 def used_columns(grid: DataFrame, headers: DataFrame, settings: Settings) -> DataFrame:
-    """``(workbook, sheet, used)``: columns with a value in the rows right below the header."""
-    reach = settings.header_search_max_rows + EMPTY_LOOKAHEAD
-    near = grid.where((F.col("r") <= reach) & (F.col("c") <= settings.max_scan_cols)).select(*SHEET, "r", "c")
-    return (
-        near.join(headers.select(*SHEET, "header_row"), SHEET)
-        .where(F.col("r").between(F.col("header_row") + 1, F.col("header_row") + EMPTY_LOOKAHEAD))
-        .groupBy(*SHEET)
-        .agg(F.collect_set("c").alias("used"))
-    )
+    """``(workbook, sheet, used)``: columns with a value anywhere below the header.
+
+    Counted over whole columns: one row per column and task is shuffled.
+    """
+    lowest = grid.where(F.col("c") <= settings.max_scan_cols).groupBy(*SHEET, "c").agg(F.max("r").alias("r"))
+    below = lowest.join(headers.select(*SHEET, "header_row"), SHEET).where(F.col("r") > F.col("header_row"))
+    return below.groupBy(*SHEET).agg(F.collect_set("c").alias("used"))
 
 
 def empty_columns() -> Column:
@@ -280,19 +279,23 @@ def profile_sheets(
     settings: Settings,
     index_keyword: str = "year",
     merges: DataFrame | None = None,
+    start_columns: int = START_COLUMNS,
+    title_keep: int = TITLE_KEEP,
 ) -> DataFrame:
     """One row per sheet: dimensions, header, sections or stacked tables, layout.
 
-    ``grid`` is the filled grid (``origin`` tells written cells from filled ones).
+    ``grid`` is the filled grid (``origin`` tells written cells from filled ones). A table is
+    taken to start in one of the first ``start_columns``, headers are looked for in the first
+    ``header_search_max_rows`` of the settings, and ``title_keep`` characters name a stacked table.
     """
     bounds = sheet_bounds(grid)
     headers = with_sections(with_banner(header_rows(top_rows(grid, settings, merges), settings)), settings, index_keyword)
-    start = F.array_min(F.filter("header_columns", lambda c: c <= START_COLUMNS))
+    start = F.array_min(F.filter("header_columns", lambda c: c <= start_columns))
     # One row per sheet, read by two joins below.
     headers = stage(headers.withColumn("start_index", F.coalesce(start, F.lit(1))).drop("header_filled"))
     full = (
         bounds.join(headers, SHEET, "left")
-        .join(stacked_tables(grid, settings), SHEET, "left")
+        .join(stacked_tables(grid, settings, title_keep), SHEET, "left")
         .join(used_columns(grid, headers, settings), SHEET, "left")
         .withColumn("empty_columns", empty_columns())
     )

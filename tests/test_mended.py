@@ -150,3 +150,27 @@ def test_history_is_read_by_month(spark, world):  # noqa: F811
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(started_month" in plan
     assert [tuple(r) for r in recent.collect()] == [("d", 1, 0)]
+
+
+# --- fixed values: one month of a published inventory, megabytes by day
+JUNE_2024 = {
+    3: 1315.1, 4: 820.7, 5: 584.26, 6: 604.72, 7: 553.1, 10: 1283.41, 11: 599.12, 12: 525.03, 13: 560.11, 14: 544.02,
+    17: 1271.98, 18: 507.55, 19: 668.28, 20: 641.78, 21: 525.23, 24: 1202.69, 25: 625.57, 26: 538.06, 27: 586.57, 28: 526.18,
+}
+
+
+def test_a_published_month(spark):
+    rows = [("/d", f"NG_x_202406{d:02d}.psv", round(mb * 1048576)) for d, mb in JUNE_2024.items()]
+    files = spark.createDataFrame(rows, "folder string, name string, bytes bigint")
+    days = I.per_day(I.dated_files(I.matching_files(files)))
+    month = I.rollup(days).where("level = 'month'").first()
+    assert (month["year"], month["month"], month["files"]) == (2024, 6, 20)
+    assert month["size_mb"] == pytest.approx(14483.45, abs=0.02)
+    assert sorted(r["missing_day"] for r in I.missing_days(days).collect()) == [1, 2, 8, 9, 15, 16, 22, 23, 29, 30]
+    assert sorted(r["missing_month"] for r in I.missing_months(days).collect()) == [m for m in range(1, 13) if m != 6]
+
+
+def test_values_far_below_the_header_fill_a_column(grid):
+    lines = [["a", "b", None, "d"], ["1", "2", None, "4"], ["1", "2"]] + [["1", "2"]] * 400 + [["1", "2", "late"]]
+    profile = P.profile_sheets(grid({"s": lines}), Settings()).first()
+    assert profile["empty_columns"] is None
