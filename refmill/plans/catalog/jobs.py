@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...operators import extract as X
 from ...operators import gates as G
-from ...session import scratch_path
+from ...session import scratch_path, stage
 from ...sources import config as CFG
 from ...sources.files import read_native
 from ...sources.registry import REGISTRY_DDL, lookup
@@ -105,10 +105,13 @@ def dated_snapshot(spark, sf_dir):
 
 @query(
     "written_tables",
-    """SELECT 'parts' AS "table", 'ok' AS status, count(*) AS "rows", 6 AS columns, count(*) AS stored FROM part""",
+    """
+    SELECT 'parts' AS "table", 'ok' AS status, count(*) AS "rows", 6 AS columns, count(*) AS stored FROM part
+    UNION ALL SELECT 'ambiguous', 'error', NULL, NULL, NULL
+    """,
 )
 def written_tables(spark, sf_dir):
-    """Tables written with their manifest; a sheet that isn't there is skipped."""
+    """Tables written with their manifest; a config that fails doesn't stop the others, an absent sheet is skipped."""
     path = scratch_path(spark, "tables")
     common = {"sheet_name": "Parts", "table_type": "simple", "header_rows": [1, 2], "data_start_row": 3}
     config = {
@@ -116,9 +119,10 @@ def written_tables(spark, sf_dir):
         "sheets": [
             {**common, "output_name": "parts"},
             {**common, "sheet_name": "Nowhere", "output_name": "absent"},
+            {**common, "output_name": "ambiguous", "unpivot": True, "unpivot_var_name": "V", "unpivot_value_name": "V"},
         ],
     }
-    results, _ = E.extract_all(parse_workbooks(book_files(spark, sf_dir)), config)
+    results, _ = E.extract_all(parse_workbooks(stage(book_files(spark, sf_dir))), config)
     manifest = E.save_all(spark, results, config, path, "parquet", "part")
     stored = spark.read.parquet(f"{path}/parts").agg(F.count("*").alias("stored"))
     return manifest.join(stored, manifest["status"] == "ok", "left").select("table", "status", "rows", "columns", "stored")
