@@ -123,6 +123,13 @@ def column_list(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough to hold as Python objects, whatever the size of the texts around them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def slices(items: list, size_of: Callable, limit: int) -> Iterator[list]:
     """Consecutive items in lists of at most ``limit`` total size (one item may exceed it)."""
     part: list = []

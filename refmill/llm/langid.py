@@ -18,14 +18,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import column_list, read_table
+from .common import column_list, in_parts, read_table
 
 ship_by_value(__name__)
 
 BUCKETS = 1 << 15
 ORDERS = 3  # n-grams of 1 to 3 characters
-TRAIN_ROWS = 20_000  # expected size of the sample the weights are fitted on
+TRAIN_ROWS = 10_000  # expected size of the sample the weights are fitted on
 _BLOCK = 1024  # buckets summed in one group
+_PART = 1 << 20  # characters of a text worked on at a time
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -58,13 +59,15 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     line = _NOT_LETTERS.sub(" ", text.lower())
     if not any(map(str.isalpha, line)):
         return np.zeros(0, np.int64), np.zeros(0)
-    codes = np.frombuffer(f" {line.strip()} ".encode("utf-32-le", "replace"), np.uint32)
+    line = f" {line.strip()} "
     total = np.zeros(BUCKETS, np.int64)
     shift = np.uint32(32 - (BUCKETS - 1).bit_length())
-    gram = np.zeros(len(codes), np.uint32)
-    for n in range(ORDERS):
-        gram = gram[: len(codes) - n] * np.uint32(0x01000193) + codes[n:] + np.uint32(n + 1)
-        total += np.bincount((gram * np.uint32(0x9E3779B1)) >> shift, minlength=BUCKETS)
+    for at in range(0, len(line), _PART):
+        codes = np.frombuffer(line[at : at + _PART + ORDERS - 1].encode("utf-32-le", "replace"), np.uint32)
+        gram = np.zeros(len(codes), np.uint32)
+        for n in range(ORDERS):  # n-grams that begin in this part; the next one repeats what they reach into
+            gram = gram[: len(codes) - n] * np.uint32(0x01000193) + codes[n:] + np.uint32(n + 1)
+            total += np.bincount((gram[:_PART] * np.uint32(0x9E3779B1)) >> shift, minlength=BUCKETS)
     buckets = np.flatnonzero(total)
     return buckets, total[buckets].astype(float)
 
@@ -91,7 +94,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, settings:
 
     for _ in range(s.epochs):
         for buckets, values, language in rows:
-            at, x = np.append(buckets, BUCKETS), np.append(values, 1.0)
+            at, x = np.append(buckets, BUCKETS), np.append(values, 1.0).astype(float)
             zi, ni = z[at], n[at]
             w = leader(zi, ni)
             p = softmax(x @ w)
@@ -122,7 +125,7 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, texts = np.zeros(BUCKETS, np.int64), 0
-    for batch in batches:
+    for batch in in_parts(batches):
         for text in column_list(batch, "text"):
             total[ngram_counts(text)[0]] += 1
             texts += 1
@@ -141,7 +144,7 @@ def _sum_block(table: pa.Table) -> pa.Table:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         made = [ngram_counts(t) for t in column_list(batch, "text")]
         buckets = pa.array([b.astype(np.int32).tobytes() for b, _ in made], pa.binary())
         counts = pa.array([c.astype(np.float32).tobytes() for _, c in made], pa.binary())
@@ -154,12 +157,14 @@ def _fit_group(idf: np.ndarray, languages: list[str], settings: Settings):
     def run(table: pa.Table) -> pa.Table:
         import pickle
 
-        table = table.sort_by("pick")
+        order = np.argsort(table["pick"].to_numpy(), kind="stable")
+        langs, buckets, counts = (table[c].combine_chunks() for c in ("lang", "buckets", "counts"))
         rows = []
-        for lang, buckets, counts in zip(*[table[c].to_pylist() for c in ("lang", "buckets", "counts")]):
-            at = np.frombuffer(buckets, np.int32).astype(np.int64)
+        for i in order.tolist():  # views of the table's own memory, in single precision
+            at = np.frombuffer(buckets[i].as_buffer(), np.int32)
             if len(at):
-                rows.append((at, weighted(at, np.frombuffer(counts, np.float32).astype(float), idf), languages.index(lang)))
+                values = weighted(at, np.frombuffer(counts[i].as_buffer(), np.float32), idf).astype(np.float32)
+                rows.append((at, values, languages.index(langs[i].as_py())))
         apart, fitted = rows[::5], [r for i, r in enumerate(rows) if i % 5]
         weights, bias = fit(fitted or rows, len(languages), settings)
         logits = np.array([v @ weights[b] + bias for b, v, _ in apart]).reshape(-1, len(languages))
@@ -201,7 +206,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, settings: Settings = Se
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for batch in batches:
+        for batch in in_parts(batches):
             languages, scores = [], []
             for text in column_list(batch, "text"):
                 buckets, counts = ngram_counts(text or "")
@@ -244,7 +249,7 @@ def identify_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFra
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def confident(docs: DataFrame, least: float = 0.4, train_rows: int = TRAIN_ROWS) -> DataFrame:
+def confident(docs: DataFrame, least: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs``, all columns, whose language is recognised with a score of ``least`` or more.
 
     Repeated rows stay or go together. The text travels with its prediction, so no join is needed.
@@ -258,7 +263,7 @@ def _keep(model, least: float):
     predict = _predict(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             text = batch.schema.get_field_index("text")
             for found in predict(iter([pa.RecordBatch.from_arrays([batch.column(text)], ["text"])])):
                 keep = [lang != "und" and s >= least for lang, s in zip(found["lang_pred"].to_pylist(), found["score"].to_pylist())]

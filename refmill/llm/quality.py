@@ -22,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import column_list, read_table, worker_state
+from .common import column_list, in_parts, read_table, worker_state
 
 ship_by_value(__name__)
 
 BUCKETS = 1 << 16
-TRAIN_ROWS = 20_000  # expected size of the sample the scorer is fitted on
+TRAIN_ROWS = 10_000  # expected size of the sample the scorer is fitted on
 BAD, UNSURE, GOOD, SILENT = range(4)
+_PART = 1 << 20  # characters of a text worked on at a time
 
 SPACE, LOWER, UPPER, DIGIT, MARK, BREAK, SYMBOL = range(7)
 
@@ -80,9 +81,11 @@ def _classes() -> np.ndarray:
 
 
 def kinds_of(text: str) -> np.ndarray:
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    table = _classes()
-    return np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], SYMBOL)
+    table, found = _classes(), []
+    for at in range(0, len(text), _PART):
+        codes = np.frombuffer(text[at : at + _PART].encode("utf-32-le", "replace"), np.uint32)
+        found.append(np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], np.int8(SYMBOL)))
+    return np.concatenate(found) if found else np.zeros(0, np.int8)
 
 
 def measures(text: str) -> dict[str, float]:
@@ -182,8 +185,10 @@ def features(text: str, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray
     digest = xxhash.xxh32_intdigest
     binned = [f"{k}={math.floor(math.log2(v + 1e-4) * 2)}" for k, v in found.items()]
     buckets = [digest(b) % BUCKETS for b in binned]
-    kinds = kinds_of(text).astype(np.int64)
-    runs = np.bincount((kinds[:-2] * 49 + kinds[1:-1] * 7 + kinds[2:]), minlength=343) if len(kinds) > 2 else np.zeros(343)
+    kinds, runs = kinds_of(text), np.zeros(343, np.int64)
+    for at in range(0, len(kinds) - 2, _PART):
+        part = kinds[at : at + _PART + 2].astype(np.int64)
+        runs += np.bincount(part[:-2] * 49 + part[1:-1] * 7 + part[2:], minlength=343)
     at = np.flatnonzero(runs)
     words = Counter(text.lower().split())
     hashed = [digest(w, 1) % BUCKETS for w in words]
@@ -200,7 +205,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, float]], epochs: int = 3, rate:
     w, seen = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-3)
     for _ in range(epochs):
         for buckets, values, label in rows:
-            at, x = np.append(buckets, BUCKETS), np.append(values, 1.0)
+            at, x = np.append(buckets, BUCKETS), np.append(values, 1.0).astype(float)
             g = (_sigmoid(float(w[at] @ x)) - label) * x + decay * w[at]
             np.add.at(seen, at, g * g)
             np.add.at(w, at, -rate * g / np.sqrt(seen[at]))
@@ -220,7 +225,7 @@ class Model:
 
 def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
-    for batch in batches:
+    for batch in in_parts(batches):
         seen.update(pattern(votes(measures(t or ""))) for t in column_list(batch, "text"))
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["pattern", "texts"]
@@ -228,7 +233,7 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches):
         patterns, buckets, values = [], [], []
         for text in column_list(batch, "text"):
             found = measures(text or "")
@@ -245,11 +250,12 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _fit_group(accuracies: Accuracies):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("pick", "ascending"), ("buckets", "ascending")])
         labels = accuracies.posterior(ballots_of(table["pattern"].to_numpy()))
-        rows = [
-            (np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(float), float(y))
-            for b, v, y in zip(table["buckets"].to_pylist(), table["values"].to_pylist(), labels)
+        order = np.lexsort((table["pattern"].to_numpy(), table["pick"].to_numpy()))
+        buckets, values = (table[c].combine_chunks() for c in ("buckets", "values"))
+        rows = [  # views of the table's own memory, in single precision
+            (np.frombuffer(buckets[i].as_buffer(), np.int32), np.frombuffer(values[i].as_buffer(), np.float32), float(labels[i]))
+            for i in order.tolist()
         ]
         weights, bias = fit(rows)
         return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary()), "bias": pa.array([bias], pa.float64())})
@@ -283,7 +289,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for batch in batches:
+        for batch in in_parts(batches):
             ballots, scores = [], []
             for text in column_list(batch, "text"):
                 found = measures(text or "")
@@ -325,7 +331,7 @@ def _keep(model, least: float):
     score = _score(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             text = batch.column(batch.schema.get_field_index("text"))
             for found in score(iter([pa.RecordBatch.from_arrays([text], ["text"])])):
                 filled = [bool(t and t.strip(" ")) for t in text.to_pylist()]
