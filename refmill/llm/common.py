@@ -85,7 +85,7 @@ class ChunkCache:
     ``longest`` characters aren't kept.
     """
 
-    def __init__(self, make: Callable[[list[str]], list], limit: int = 300_000, longest: int = 32):
+    def __init__(self, make: Callable[[list[str]], list], limit: int = 100_000, longest: int = 32):
         self.make, self.limit, self.longest = make, limit, longest
         self.known: dict = {}
         self.passing: list[str] = []
