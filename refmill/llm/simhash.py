@@ -11,6 +11,7 @@ so as soon as they exceed ``d`` the whole pair of groups is dropped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,6 +30,7 @@ BITS = 64
 SEED = 42
 LEAF = 16  # fingerprints of a leaf, and nodes of an upper node
 SHARD_ROWS = 32_768  # fingerprints that one task compares with each other
+_SPACE = re.compile(rb"[ \t-\r]")
 _PAIRS = 2048  # pairs of nodes compared at a time
 
 
@@ -37,22 +39,41 @@ def shingle_fingerprint(text: str, words_per_shingle: int = 4) -> int:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    words = text.encode().lower().split()  # bytes: only A-Z and the six ASCII white-space characters count
-    if not words:
-        return 0
-    if len(words) <= words_per_shingle:
-        return digest(b" ".join(words), SEED)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = [0, *(ends[:-words_per_shingle] + 1).tolist()]
-    total, count = np.zeros(BITS, np.int64), len(starts)
-    for at in range(0, count, 65_536):
-        part = zip(starts[at : at + 65_536], ends[at + words_per_shingle - 1 : at + 65_536 + words_per_shingle - 1].tolist())
-        hashes = np.array([digest(line[a:b], SEED) for a, b in part], "<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    k = words_per_shingle
+    raw = text.encode().lower()  # bytes: only A-Z and the six ASCII white-space characters count
+    total, count, carried, seen = np.zeros(BITS, np.int64), 0, [], 0
+    for part in _byte_parts(raw):
+        words = part.split()
+        seen += len(words)
+        words = carried + words
+        carried = words[-(k - 1) :] if k > 1 else []
+        if len(words) < k:
+            continue
+        line = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = [0, *(ends[:-k] + 1).tolist()]
+        hashes = np.array([digest(line[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], "<u8")
+        for at in range(0, len(hashes), 65_536):
+            bits = np.unpackbits(hashes[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            total += bits.sum(axis=0, dtype=np.int64)
+        count += len(hashes)
+    if seen < k:
+        return digest(b" ".join(carried), SEED) if seen else 0
     return int.from_bytes(np.packbits(2 * total > count, bitorder="little").tobytes(), "little")
 
 
+def _byte_parts(raw: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, cut at white space."""
+    at = 0
+    while len(raw) - at > size:
+        cut = _SPACE.search(raw, at + size)
+        if not cut:
+            break
+        yield raw[at : cut.start()]
+        at = cut.start()
+    yield raw[at:]
+
+
 def _fingerprints(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -64,3 +64,11 @@ def test_penalty_makes_weights_sparse():
     rows = [(np.array([i % 2, 10 + rng.integers(1000)]), np.array([1.0, 0.1]), i % 2) for i in range(500)]
     weights, _ = langid.fit(rows, 2, langid.Settings(l1=0.5))
     assert weights[0, 0] > 0 > weights[0, 1] and (weights[10:] != 0).mean() < 0.05
+
+
+def test_parts_of_long_texts_count_the_same(monkeypatch):
+    text = "The house by the river, été größer " * 40
+    whole = [x.tolist() for x in langid.ngram_counts(text)]
+    for size in (2, 3, 50):
+        monkeypatch.setattr(langid, "_PART", size)
+        assert [x.tolist() for x in langid.ngram_counts(text)] == whole

@@ -78,3 +78,11 @@ def test_filter_keeps_rows_and_columns(docs):
 def test_empty_table(docs):
     assert quality.classify(docs([])).count() == 0
     assert quality.keep_good(docs([])).count() == 0
+
+
+def test_parts_of_long_texts_measure_the_same(monkeypatch):
+    text = prose(random.Random(3), 200) + " 🙂 | x"
+    found = quality.measures(text)
+    whole = [x.tolist() for x in quality.features(text, found)]
+    monkeypatch.setattr(quality, "_PART", 7)
+    assert quality.measures(text) == found and [x.tolist() for x in quality.features(text, found)] == whole

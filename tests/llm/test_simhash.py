@@ -51,6 +51,16 @@ def test_fingerprint(text):
     assert simhash.shingle_fingerprint(text) == slow_fingerprint(text)
 
 
+def test_parts_of_long_texts_join_exactly(monkeypatch):
+    rnd = random.Random(8)
+    text = " ".join(rnd.choice(["a", "bb", "CCC", "d\te", "é\n"]) for _ in range(500))
+    whole = slow_fingerprint(text)
+    parts = simhash._byte_parts
+    for size in (1, 7, 100):
+        monkeypatch.setattr(simhash, "_byte_parts", lambda raw, size=size: parts(raw, size))
+        assert simhash.shingle_fingerprint(text) == whole
+
+
 def test_gray_rank_puts_neighbours_one_bit_apart():
     ranks = simhash.gray_rank(np.arange(256, dtype=np.uint64))
     ordered = np.argsort(ranks)
