@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import struct
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import MARKS, ChunkCache, byte_of_symbol, column_list, load_tokenizer, model_ids, read_table, slices, worker_state
+from .common import MARKS, ChunkCache, byte_of_symbol, column_list, little_endian, load_tokenizer, model_ids, read_table, released, slices, worker_state
 
 ship_by_value(__name__)
 
 LEAF_BYTES = 16_384
 WINDOW = 64  # first radius around a join, in bytes
-_TEXT_CHARS = 1 << 20  # characters of short texts encoded together
+_TEXT_CHARS = 1 << 18  # characters of short texts encoded together
 UNBROKEN = 512  # radius from which one pretoken over the whole window is spliced inside
 
 #: words as texts are cut for encoding, with their leading white space; any other white space;
@@ -71,8 +70,8 @@ class Codec:
         return state.get(("codec", path)) or state.setdefault(("codec", path), cls(path))
 
     def _encode_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        coded = model_ids(self.tokenizer, words, _PLAIN_WORD)
-        return [(struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)) for ids in coded]
+        coded = model_ids(self.tokenizer, words, _PLAIN_WORD, any_case=True)
+        return [(little_endian(ids), self.decode(ids)) for ids in coded]
 
     def decode(self, ids) -> bytes:
         """Bytes of the tokens, special ones included; not yet checked to be UTF-8."""
@@ -221,7 +220,7 @@ def _result(rows: list[tuple], digests: bool) -> pa.RecordBatch:
 def _encode_short(path: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path)
-        for batch in batches:
+        for batch in released(batches):
             pairs = zip(column_list(batch, "doc_id"), column_list(batch, "text"))
             for part in slices([(d, t or "") for d, t in pairs], lambda p: len(p[1]) + 100, _TEXT_CHARS):
                 coded = codec.encode_texts([t for _, t in part])
@@ -267,14 +266,12 @@ def _join_leaves(path: str, digests: bool):
         codec = Codec.of(path)
         first = table.slice(0, 1).to_pylist()[0]
         by_leaf: dict[int, Encoded] = {}
-        copies = 0
         for leaf, text, ids, opens in zip(*[table[c].to_pylist() for c in ("leaf", "text", "ids", "opens")]):
-            copies += leaf == 0
             ids = np.frombuffer(ids, "<u4")
             by_leaf[leaf] = codec.placed(text, ids, np.unpackbits(np.frombuffer(opens, np.uint8), count=len(ids)).astype(bool))
         whole = codec.tree([by_leaf[i] for i in sorted(by_leaf)])
         row = (first["doc_id"], whole.ids.astype("<u4").tobytes(), codec.decode(whole.ids))
-        return pa.Table.from_batches([_result([row] * copies, digests)])
+        return pa.Table.from_batches([_result([row], digests)]).append_column("copies", table["copies"].slice(0, 1))
 
     return run
 
@@ -292,11 +289,14 @@ def encode_corpus(docs: DataFrame, path: str, digests: bool = False, leaf_bytes:
     long = F.coalesce(F.octet_length("text"), F.lit(0)) > 2 * leaf_bytes
     short = docs.where(~long).mapInArrow(_encode_short(path, digests), schema)
     leaves = docs.where(long).mapInArrow(_cut_long(leaf_bytes), "doc_id bigint, text_key binary, leaf int, text binary")
-    encoded = leaves.repartition("doc_id", "text_key", "leaf").mapInArrow(
-        _encode_leaves(path), "doc_id bigint, text_key binary, leaf int, text binary, ids binary, opens binary"
+    # a row repeated as a whole is encoded once, and counted
+    distinct = leaves.groupBy("doc_id", "text_key", "leaf").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    encoded = distinct.mapInArrow(
+        _encode_leaves(path), "doc_id bigint, text_key binary, leaf int, text binary, copies bigint, ids binary, opens binary"
     )
-    joined = encoded.groupBy("doc_id", "text_key").applyInArrow(_join_leaves(path, digests), schema)
-    return short.unionByName(joined)
+    joined = encoded.groupBy("doc_id", "text_key").applyInArrow(_join_leaves(path, digests), f"{schema}, copies bigint")
+    every = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*short.columns)
+    return short.unionByName(every)
 
 
 def op2_bpe_tree_concatenation(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
 
@@ -54,14 +55,23 @@ MARKS = r"[!-&(-/:;=-@\[-`{-~]"
 _SYMBOLS = {ord(" "): "\u0120", ord("\n"): "\u010a"}
 
 
-def model_ids(tokenizer, words: list[str], plain: re.Pattern) -> list[list[int]]:
-    """Ids of words. Those that match ``plain`` need no scan for pretokens: every group of it is one."""
+def model_ids(tokenizer, words: list[str], plain: re.Pattern, any_case: bool) -> list[list[int]]:
+    """Ids of words. Those that match ``plain`` need no scan for pretokens: every group of it is one.
+
+    Most are ASCII letters, perhaps behind a space; they are told without the pattern.
+    ``any_case`` says whether the vocabulary takes capitals as they are.
+    """
     if not tokenizer_symbols:
         symbol = {b: s for s, b in byte_of_symbol().items()}
         tokenizer_symbols.update(_SYMBOLS)
         tokenizer_symbols.update({c: "".join(symbol[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)})
     tokenize, found, rest = tokenizer.model.tokenize, [], []
     for n, word in enumerate(words):
+        if word.isascii():
+            body = word[1:] if word[0] == " " else word
+            if body.isalpha() and (any_case or body.islower()):
+                found.append([t.id for t in tokenize(word if body is word else "\u0120" + body)])
+                continue
         match = plain.fullmatch(word)
         if match:
             parts = [p if p.isascii() and p.isalnum() else p.translate(tokenizer_symbols) for p in match.groups() if p]
@@ -77,6 +87,14 @@ def model_ids(tokenizer, words: list[str], plain: re.Pattern) -> list[list[int]]
 tokenizer_symbols: dict[int, str] = {}
 
 
+def little_endian(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class ChunkCache:
     """Value of each distinct chunk of text, made in batches; the first ``limit`` chunks are kept.
 
@@ -85,7 +103,7 @@ class ChunkCache:
     ``longest`` characters aren't kept.
     """
 
-    def __init__(self, make: Callable[[list[str]], list], limit: int = 100_000, longest: int = 32):
+    def __init__(self, make: Callable[[list[str]], list], limit: int = 300_000, longest: int = 32):
         self.make, self.limit, self.longest = make, limit, longest
         self.known: dict = {}
         self.passing: list[str] = []
@@ -125,11 +143,19 @@ def column_list(batch: pa.RecordBatch, name: str) -> list:
 
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in batches small enough to hold as Python objects, whatever the size of the texts around them."""
-    for batch in batches:
+    for batch in released(batches):
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; after each, memory that Arrow keeps for later goes back, as workers outlive their tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def slices(items: list, size_of: Callable, limit: int) -> Iterator[list]:
     """Consecutive items in lists of at most ``limit`` total size (one item may exceed it)."""
     part: list = []

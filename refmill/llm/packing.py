@@ -10,7 +10,6 @@ tokenises, counts and ranks; the plan says for each run of ranks where it lies.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections import Counter, defaultdict, deque
 from collections.abc import Iterator
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value, stage
-from .common import MARKS, ChunkCache, column_list, load_tokenizer, model_ids, read_table, segments, slices, worker_state
+from .common import MARKS, ChunkCache, column_list, little_endian, load_tokenizer, model_ids, read_table, released, segments, slices, worker_state
 
 ship_by_value(__name__)
 
@@ -31,7 +30,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _NOT_PLAIN = re.compile(r"[^\x00-\xff]|<\|")
 #: words whose groups are one pretoken each and change neither case nor composition
 _PLAIN_WORD = re.compile(rf"([a-zà-öø-ÿ]+)?({MARKS}+)?")
-_TEXT_CHARS = 1 << 20  # characters of texts tokenised together
+_TEXT_CHARS = 1 << 18  # characters of texts tokenised together
 
 
 class OpenSequences:
@@ -118,7 +117,7 @@ class Words:
         return state.get(("words", path)) or state.setdefault(("words", path), cls(path))
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in model_ids(self.tokenizer, words, _PLAIN_WORD)]
+        return [little_endian(ids) for ids in model_ids(self.tokenizer, words, _PLAIN_WORD, any_case=False)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of whole texts. No token crosses white space, so words are encoded one by one."""
@@ -149,7 +148,7 @@ def _tokenise(path: str, end_id: int, window: int, digests: bool):
         end = np.array([end_id], "<u4").tobytes()
         seen: Counter = Counter()
         windows = 0
-        for batch in batches:
+        for batch in released(batches):
             pairs = zip(column_list(batch, "doc_id"), column_list(batch, "text"))
             for part in slices([(d, t or "") for d, t in pairs], lambda p: len(p[1]) + 100, _TEXT_CHARS):
                 rows = []
@@ -226,7 +225,8 @@ def pack_documents(docs: DataFrame, path: str, end_id: int, window: int = 4096,
     tail_offsets = per_task.select(
         "task", "tail", F.coalesce(F.sum("tails").over(earlier.partitionBy("tail")), F.lit(0)).alias("tail_offset")
     )
-    ranked = rows.join(tail_offsets, ["task", "tail"]).join(window_offsets, "task")
+    # offsets grow with the number of tasks, and more in memory than their files say: no broadcast
+    ranked = rows.join(tail_offsets.hint("merge"), ["task", "tail"]).join(window_offsets, "task")
     piece = ranked.select("*", F.posexplode("pieces").alias("number", "piece"))
     is_full = (F.col("number") + 1) * window <= F.col("doc_tokens")
     laid = piece.select(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value, stage
-from .common import column_list, read_table
+from .common import column_list, read_table, released
 from .components import connected_components, forest
 
 ship_by_value(__name__)
@@ -76,7 +76,7 @@ def _byte_parts(raw: bytes, size: int = 1 << 22) -> Iterator[bytes]:
 
 def _fingerprints(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 prints = [shingle_fingerprint(t or "", words_per_shingle) for t in column_list(part, "text")]
