@@ -5,7 +5,7 @@ wildcards. Level by level, from the root, the children of a node are compared wi
 one whose next segments are spread alike and whose share of good pages doesn't differ
 significantly is merged into a wildcard branch, as are the children of nodes with very many. What remains
 are templates. A template is rejected if its share of good pages, smoothed towards the
-share of all, is too low.
+share of all, lies significantly below that share and below ``PUREST``.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ CHILDREN = 32  # children beyond which a node's next segment counts as variable
 SPREAD = 0.3  # greatest distance between distributions that counts as alike
 SIGNIFICANT = 1.96  # standard errors
 SMOOTHING = 10.0  # pages of the overall share added to every template
-PUREST = 0.75  # purity from which a template is allowed
+PUREST = 0.75  # purity from which a template is allowed, whatever the share of all
+DOUBT = 2.58  # standard errors by which a rejected template falls short
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -108,7 +109,11 @@ def merge_level(tree: DataFrame, depth: int) -> DataFrame:
 
 
 def template_tree(pages: DataFrame) -> DataFrame:
-    """``host, general, template, purity`` for rows of ``host, general, good`` (1, 0, null: not labelled)."""
+    """``host, general, template, purity, pure`` for rows of ``host, general, good`` (1, 0, null: not labelled).
+
+    Not ``pure`` are templates that fall significantly short of the share of all, or of ``PUREST`` if that is less;
+    one without labels has the share of all and is pure.
+    """
     counted = pages.groupBy("host", "general").agg(
         F.count("*").alias("pages"), F.count("good").alias("labelled"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good")
     )
@@ -120,7 +125,9 @@ def template_tree(pages: DataFrame) -> DataFrame:
     overall = tree.agg(F.sum("good") / F.nullif(F.sum("labelled"), F.lit(0))).first()[0]
     overall = 1.0 if overall is None else overall
     purity = (F.sum("good") + SMOOTHING * overall) / (F.sum("labelled") + SMOOTHING)
-    templates = tree.select("*", template).groupBy("host", "template").agg(purity.alias("purity"))
+    error = F.sqrt(F.lit(overall * (1 - overall)) / (F.sum("labelled") + SMOOTHING))
+    pure = (F.sum("labelled") == 0) | (purity + DOUBT * error >= min(PUREST, overall))
+    templates = tree.select("*", template).groupBy("host", "template").agg(purity.alias("purity"), pure.alias("pure"))
     return tree.select("host", "general", template).join(templates, ["host", "template"])
 
 
@@ -142,7 +149,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     # every kind of path once, then the pages: a common host meets few rows on the other side
     judged = parsed.join(template_tree(parsed), ["host", "general"]).join(listed, "host", "left")
     won = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), F.lit(0))
-    by_template = F.when(F.col("purity") >= PUREST, "allow").otherwise("block")
+    by_template = F.when(F.col("pure"), "allow").otherwise("block")
     return judged.withColumn("won", won).select(
         "page_id", "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.action", by_template).alias("verdict"), "template", "purity"
     )

@@ -74,5 +74,19 @@ def test_alike_siblings_share_a_template(spark):
     assert [tuple(r) for r in got] == [("/*/#", "allow")]
 
 
+def test_few_good_pages_overall_block_no_clean_template(spark):
+    rnd, rows = random.Random(3), []
+    for host in range(40):
+        rows += [(len(rows), f"http://h{host}.org/a/{i}", float(rnd.random() < 0.72)) for i in range(10 + host)]
+    rows += [(len(rows), f"http://new.org/a/{i}", None) for i in range(20)]
+    rows += [(len(rows), f"http://spam.org/a/{i}", float(i % 10 == 0)) for i in range(60)]
+    got = {r.page_id: r for r in urls.judge_urls(table(spark, rows), urls.rule_table(spark, [])).collect()}
+    labels = [g for _, _, g in rows if g is not None]
+    assert sum(labels) / len(labels) < urls.PUREST
+    blocked = [(u.split("/")[2], g) for i, u, g in rows if got[i].verdict == "block"]
+    assert {h for h, _ in blocked} == {"spam.org"} and len(blocked) == 60
+    assert sum(g for _, g in blocked) / len(blocked) < 0.2
+
+
 def test_empty_table(spark):
     assert urls.judge_urls(table(spark, []), urls.rule_table(spark, urls.RULES)).count() == 0
