@@ -279,7 +279,8 @@ def _link_shards(differ: int):
                 if len(other):
                     yield from found(*[np.concatenate(c) for c in zip(*held)])
                     held = []
-            held.append(tuple(c[cut:] for c in rows))
+            if cut < len(rows[0]):  # the last key is read from what is held last
+                held.append(tuple(c[cut:] for c in rows))
         if held:
             yield from found(*[np.concatenate(c) for c in zip(*held)])
 

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -98,6 +99,29 @@ def test_edges_connect_as_brute_force(spark, shard_rows):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+@pytest.mark.parametrize("batch_rows", [1, 10, 64])
+def test_shards_over_many_batches(monkeypatch, batch_rows):
+    monkeypatch.setattr(simhash, "SHARD_ROWS", 30)
+    rows = []  # the second shard spans batches after as many rows as are held at least
+    for key, n in enumerate((25, 200, 1, 90, 3)):
+        codes = np.array(near_prints(key, n, groups=2, random_part=0.2), np.uint64)
+        rows += [(0, key, int(c)) for c in codes[np.argsort(simhash.gray_rank(codes))]]
+    table = [np.array([r[0] for r in rows], np.int32), np.array([r[1] for r in rows]), as_signed([r[2] for r in rows])]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in table], ["choice", "key", "print"])
+    batches = [whole.slice(at, batch_rows) for at in range(0, len(rows), batch_rows)]
+    edges = [e for b in simhash._link_shards(4)(iter(batches)) for e in zip(b["low"].to_pylist(), b["high"].to_pylist())]
+    for key in range(5):
+        prints = [c for _, k, c in rows if k == key]
+        at = {p: i for i, p in enumerate(as_signed(prints).tolist())}
+        label = list(range(len(prints)))
+        for low, high in edges:
+            if low in at and high in at:
+                a, b = label[at[low]], label[at[high]]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+        want = slow_components(prints, 4)
+        assert len(set(zip(label, want))) == len(set(label)) == len(set(want))
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100)] + [(200, 200 + i) for i in range(1, 300)] + [(600, 601), (600, 601)]
     random.Random(1).shuffle(edges)
