@@ -2,8 +2,8 @@
 
 The tree starts from paths whose variable segments (numbers, long identifiers) are
 wildcards. Level by level, from the root, the children of a node are compared with the node as a whole:
-one whose next segments are spread alike and whose share of good pages doesn't differ
-significantly is merged into a wildcard branch, as are the children of nodes with very many. What remains
+one whose next segments are spread alike, or no further apart than chance makes so few pages, and whose share of
+good pages doesn't differ significantly is merged into a wildcard branch, however many siblings it has. What remains
 are templates. A template is rejected if its share of good pages, smoothed towards the
 share of all, lies significantly below that share and below ``PUREST``.
 """
@@ -19,9 +19,10 @@ from ..session import stage
 from .common import read_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 8  # levels of the tree; deeper segments stay together as one
-CHILDREN = 32  # children beyond which a node's next segment counts as variable
+DEPTH = 8  # levels of the tree; the last one tells the rest of a path apart as one segment
+FEW = 3  # labelled pages below which a child's share of good ones says nothing
 SPREAD = 0.3  # greatest distance between distributions that counts as alike
+CHANCE = 1.22  # distance times root of pages that draws exceed their mean by in one of 20 cases
 SIGNIFICANT = 1.96  # standard errors
 SMOOTHING = 10.0  # pages of the overall share added to every template
 PUREST = 0.75  # purity from which a template is allowed, whatever the share of all
@@ -53,15 +54,16 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def general_segments(path: Column) -> Column:
-    """Segments of a path with numbers as ``#`` and long identifiers as ``*``, at most ``DEPTH``."""
+    """Segments of a path with numbers as ``#`` and long identifiers as ``*``, the rest of a path from the ``DEPTH``-th on as one."""
 
     def level(segment: Column) -> Column:
         opaque = segment.rlike("^(?=.*[0-9])[0-9A-Fa-f-]{16,}$") | (F.length(segment) > 64)
         return F.when(opaque, F.lit("*")).otherwise(F.regexp_replace(segment, "[0-9]+", "#"))
 
     found = F.split(F.regexp_replace(path, "^/", ""), "/")
-    head = F.transform(F.slice(found, 1, DEPTH), level)
-    return F.when(F.size(found) <= DEPTH, head).otherwise(F.concat(F.slice(head, 1, DEPTH - 1), F.array(F.lit("**"))))
+    all_ = F.transform(found, level)
+    rest = F.array_join(F.slice(all_, DEPTH, F.greatest(F.size(found), F.lit(DEPTH))), "/")
+    return F.when(F.size(found) <= DEPTH, all_).otherwise(F.concat(F.slice(all_, 1, DEPTH - 1), F.array(rest)))
 
 
 def merge_level(tree: DataFrame, depth: int) -> DataFrame:
@@ -84,6 +86,8 @@ def merge_level(tree: DataFrame, depth: int) -> DataFrame:
         F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labelled", "good")]
     )
     pooled = by_next.groupBy(*node, "next").agg(F.sum("pages").alias("next_pages"))
+    square = F.sum(F.col("next_pages").cast("double") * F.col("next_pages"))
+    kinds = pooled.groupBy(*node).agg(F.count("*").alias("kinds"), square.alias("squares"))
     shares = (
         by_next.select(*node, "child", "next", F.col("pages").alias("here"))
         .join(pooled, [*node, "next"])
@@ -96,11 +100,14 @@ def merge_level(tree: DataFrame, depth: int) -> DataFrame:
     other_rate = F.try_divide(F.col("all_good") - F.col("good"), others)
     pool = F.try_divide("all_good", "all_labelled")
     error = F.sqrt(pool * (1 - pool) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), others)))
-    same_rate = F.when((F.col("labelled") > 0) & (others > 0), F.abs(rate - other_rate) <= SIGNIFICANT * error).otherwise(True)
-    alike = (F.col("children") > 1) & (F.col("apart") <= SPREAD) & same_rate
+    same_rate = F.when((F.col("labelled") >= FEW) & (others > 0), F.abs(rate - other_rate) <= SIGNIFICANT * error).otherwise(True)
+    # as many pages drawn from the whole node are this far from it, on average at most and then by chance
+    uneven = F.greatest(F.lit(0.0), 1 - F.col("squares") / F.col("all_pages") / F.col("all_pages"))
+    chance = (F.sqrt(F.col("kinds") * uneven) / 2 + CHANCE) / F.sqrt("pages")
+    alike = (F.col("children") > 1) & (F.col("apart") <= F.greatest(F.lit(SPREAD), chance)) & same_rate
     merged = (
-        by_child.join(parents, node).join(apart, [*node, "child"])
-        .where((F.col("children") > CHILDREN) | alike)
+        by_child.join(parents.join(kinds, node), node).join(apart, [*node, "child"])
+        .where(alike)
         .select(*node, "child", F.lit("*").alias("wildcard"))
     )
     chosen = placed.join(merged, [*node, "child"], "left")

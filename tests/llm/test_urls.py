@@ -74,6 +74,17 @@ def test_alike_siblings_share_a_template(spark):
     assert [tuple(r) for r in got] == [("/*/#", "allow")]
 
 
+def test_impure_branch_stands_alone_among_many_siblings_and_deep_down(spark):
+    for parent in ("", "a/b/c/d/e/f/g/"):  # the second: beyond the levels of the tree
+        rows = [(i, f"http://s.org/{parent}s{'abcdefgh'[i % 8]}{'klmnop'[i // 8 % 6]}/{i}", float(i % 20 > 0)) for i in range(960)]
+        rows += [(2000 + i, f"http://s.org/{parent}spam/{i}", float(i % 10 == 0)) for i in range(60)]
+        rows += [(3000 + i, f"http://s.org/{parent}rare{'xyz'[i]}/{i}", 1.0 if i else None) for i in range(3)]
+        got = {r.page_id: (r.template, r.verdict) for r in urls.judge_urls(table(spark, rows), urls.rule_table(spark, [])).collect()}
+        assert {got[2000 + i] for i in range(60)} == {(f"/{parent}spam/#", "block")}
+        assert {got[i][1] for i in got if not 2000 <= i < 2060} == {"allow"}
+        assert len({got[i][0] for i in got}) < 8  # the others share
+
+
 def test_few_good_pages_overall_block_no_clean_template(spark):
     rnd, rows = random.Random(3), []
     for host in range(40):
