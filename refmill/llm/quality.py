@@ -263,6 +263,13 @@ def _fit_group(accuracies: Accuracies):
     return run
 
 
+def sampled(docs: DataFrame, share: float) -> DataFrame:
+    """``text, pick`` of that share of the rows of ``(doc_id, text)``, drawn by a hash of both: ids may be null or repeated."""
+    scale = 1 << 30
+    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale))
+    return docs.select("text", pick.alias("pick")).where(F.col("pick") <= int(scale * min(1.0, share)))
+
+
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
     """Accuracies from the votes on all of ``(doc_id, text)``, scorer from a hash sample; None for an empty table.
 
@@ -277,10 +284,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
         return None
     patterns, counts = (np.array(c) for c in zip(*seen))
     accuracies = estimate(patterns, counts.astype(float))
-    scale = 1 << 30
-    pick = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-    sample = docs.select("text", pick.alias("pick")).where(F.col("pick") <= int(scale * min(1.0, train_rows / counts.sum())))
-    made = sample.mapInArrow(_sample_features, "pick bigint, pattern bigint, buckets binary, values binary").distinct()
+    made = sampled(docs, train_rows / counts.sum()).mapInArrow(_sample_features, "pick bigint, pattern bigint, buckets binary, values binary").distinct()
     fitted = made.groupBy(F.lit(1).alias("all")).applyInArrow(_fit_group(accuracies), "weights binary, bias double").collect()
     weights = np.frombuffer(fitted[0].weights, np.float32) if fitted else np.zeros(BUCKETS, np.float32)
     return Model(accuracies, weights, fitted[0].bias if fitted else 0.0)

@@ -67,6 +67,17 @@ def test_odd_rows(docs):
     assert len({(r.score, r.keep) for r in got if r.doc_id == 1}) == 1
 
 
+def test_sample_is_bounded_whatever_share_an_id_holds(docs, monkeypatch):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i}") for i in range(6000)]
+    for part in (rows, rows[::3], rows[1::3]):
+        picked = quality.sampled(docs(part), 300 / len(part)).select("pick").collect()
+        assert 200 < len(picked) < 400 and len({r.pick for r in picked}) > 190
+    rows, sizes = [(None, t) for _, t in corpus(400)], []
+    made = quality.sampled
+    monkeypatch.setattr(quality, "sampled", lambda d, share: sizes.append(made(d, share).count()) or made(d, share))
+    assert quality.train(docs(rows), 100) is not None and 60 < sizes[0] < 140
+
+
 def test_filter_keeps_rows_and_columns(docs):
     table = docs(corpus(200))
     kept = quality.keep_good(table)
