@@ -6,6 +6,9 @@ import pytest
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
+sys.path.insert(0, str(ROOT / "tests"))
+
+from celltables import CELLS  # noqa: E402
 
 from refmill.session import build_session  # noqa: E402
 
@@ -28,9 +31,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-CELLS = "workbook string, sheet string, r int, c int, value string, kind string"
-
-
 @pytest.fixture
 def grid(spark):
     """``grid({"sheet": [[row of values]]})`` → cells; None is an empty cell."""
@@ -49,9 +49,3 @@ def grid(spark):
         return spark.createDataFrame(rows, CELLS)
 
     return build
-
-
-def tuples(df, *order):
-    """Rows as plain tuples, sorted, for comparison."""
-    picked = df.select(*order) if order else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

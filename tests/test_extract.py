@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import CELLS, tuples
+from celltables import CELLS, tuples
 from pyspark.sql import functions as F
 
 from refmill.operators import extract as E

@@ -1,5 +1,5 @@
 import pytest
-from conftest import tuples
+from celltables import tuples
 from pyspark.sql import functions as F
 
 from refmill.functions import dates as D

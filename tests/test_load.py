@@ -3,7 +3,7 @@ import zipfile
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from conftest import tuples
+from celltables import tuples
 from pyspark.sql import functions as F
 
 from refmill.operators import constraints as C

@@ -4,7 +4,7 @@ import hashlib
 import json
 
 import pytest
-from conftest import tuples
+from celltables import tuples
 from pyspark.sql import functions as F
 from test_load import CONTRACT, GOOD, book, drop, history, world  # noqa: F401
 
