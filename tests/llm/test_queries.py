@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import compare, duck
+from test_repair import COLUMNS, plain
 from test_search import brute, in_order, whole
 from test_simhash import slow_components, slow_fingerprint
 from test_urls import parts, rule_of
@@ -31,7 +32,7 @@ def run(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(m[1]) for n in QUERIES if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(numbers) == [*range(1, 11), 13] and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.startswith("op")))
@@ -106,6 +107,11 @@ def test_op10_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == truth[d] for d, r in got.items() if r.held_out]) > 0.95
 
 
+def test_op13_against_plain_python(spark):
+    got = run(spark, "op13_run_length_repair").select(*COLUMNS).collect()
+    assert sorted(map(tuple, got), key=repr) == plain(rows("conversations", "conv_id, turn, role, text"))
+
+
 def test_pipeline_keeps_good_documents_once(spark):
     packed = {r.doc_id for r in run(spark, "pipeline").collect()}
     quality = {r.doc_id: r.keep for r in run(spark, "op1_weak_label_quality").collect()}
