@@ -72,12 +72,20 @@ def stage(df: DataFrame) -> DataFrame:
 
     With a shared folder it becomes a written table there: the lineage is cut, the
     loss of executors costs nothing, and later steps read only the columns and row
-    groups they need, with real sizes for the planner. Without one the blocks are
-    persisted and recomputed on loss.
+    groups they need, with real sizes for the planner. Without one, in one process as in
+    tests, the blocks are persisted; a cluster is refused.
     """
     spark = df.sparkSession
     if not shared_dir(spark):
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; blocks recomputed after a loss may differ, so data is not staged in them")
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder made under ``scratch_path`` that nothing reads any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
