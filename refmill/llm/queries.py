@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, chat, langid, packing, pivots, quality, repair, simhash, urls, warc
+from . import ann, bpe, centroids, chat, langid, packing, pivots, quality, repair, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,8 +21,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pivots.op8_pivot_distance,
         simhash.op9_gray_simhash,
         langid.op10_ftrl_language,
+        centroids.op12_ns_bounds_centroids,
         repair.op13_run_length_repair,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_merkle_fixity": warc.OP5_SQL, "op6_snapshot_collapse": chat.OP6_SQL}
+ORACLES: dict[str, str] = {
+    "op5_merkle_fixity": warc.OP5_SQL,
+    "op6_snapshot_collapse": chat.OP6_SQL,
+    "op12_ns_bounds_centroids": centroids.OP12_SQL,
+}
