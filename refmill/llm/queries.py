@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, centroids, chat, langid, packing, pivots, quality, repair, simhash, urls, warc
+from . import ann, bpe, centroids, chat, idfiles, langid, packing, pivots, quality, repair, simhash, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pivots.op8_pivot_distance,
         simhash.op9_gray_simhash,
         langid.op10_ftrl_language,
+        idfiles.op11_mixing_range_coder,
         centroids.op12_ns_bounds_centroids,
         repair.op13_run_length_repair,
     )

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from compare import compare, duck
+from test_idfiles import plain as plain_ids
 from test_repair import COLUMNS, plain
 from test_search import brute, in_order, whole
 from test_simhash import slow_components, slow_fingerprint
@@ -32,7 +33,7 @@ def run(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = [int(m[1]) for n in QUERIES if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == [*range(1, 11), 12, 13] and "pipeline" in QUERIES
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.startswith("op")))
@@ -107,6 +108,11 @@ def test_op10_held_out_accuracy(spark):
     assert np.mean([r.lang_pred == truth[d] for d, r in got.items() if r.held_out]) > 0.95
 
 
+def test_op11_against_the_library(spark):
+    got = run(spark, "op11_mixing_range_coder").select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got), key=repr) == plain_ids(rows("documents", "doc_id, text"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 def test_op13_against_plain_python(spark):
     got = run(spark, "op13_run_length_repair").select(*COLUMNS).collect()
     assert sorted(map(tuple, got), key=repr) == plain(rows("conversations", "conv_id, turn, role, text"))
