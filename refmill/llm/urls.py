@@ -3,14 +3,15 @@
 The tree starts from paths whose variable segments (numbers, long identifiers) are
 wildcards. Level by level, from the root, the children of a node are compared with the node as a whole:
 one whose next segments are spread alike, or no further apart than chance makes so few pages, and whose share of
-good pages doesn't differ significantly is merged into a wildcard branch, however many siblings it has. What remains
-are templates. A template is rejected if its share of good pages, smoothed towards the
+good pages doesn't differ significantly is merged into a wildcard branch, however many siblings it has. Levels go on
+until no two paths part any more; those that part nowhere below a node are left out of the rest. What remains are templates. A template is rejected if its share of good pages, smoothed towards the
 share of all, lies significantly below that share and below ``PUREST``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from ..session import stage
 from .common import read_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 8  # levels of the tree; the last one tells the rest of a path apart as one segment
 FEW = 3  # labelled pages below which a child's share of good ones says nothing
 SPREAD = 0.3  # greatest distance between distributions that counts as alike
 CHANCE = 1.22  # distance times root of pages that draws exceed their mean by in one of 20 cases
@@ -54,16 +54,28 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def general_segments(path: Column) -> Column:
-    """Segments of a path with numbers as ``#`` and long identifiers as ``*``, the rest of a path from the ``DEPTH``-th on as one."""
+    """Segments of a path with numbers as ``#`` and long identifiers as ``*``."""
 
     def level(segment: Column) -> Column:
         opaque = segment.rlike("^(?=.*[0-9])[0-9A-Fa-f-]{16,}$") | (F.length(segment) > 64)
         return F.when(opaque, F.lit("*")).otherwise(F.regexp_replace(segment, "[0-9]+", "#"))
 
-    found = F.split(F.regexp_replace(path, "^/", ""), "/")
-    all_ = F.transform(found, level)
-    rest = F.array_join(F.slice(all_, DEPTH, F.greatest(F.size(found), F.lit(DEPTH))), "/")
-    return F.when(F.size(found) <= DEPTH, all_).otherwise(F.concat(F.slice(all_, 1, DEPTH - 1), F.array(rest)))
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), level)
+
+
+def parting(tree: DataFrame, depth: int) -> DataFrame:
+    """The tree with ``parts``: the first level beyond ``depth`` at which paths of a row's node part, null if they don't.
+
+    Paths that are the same from there on, or end, part nowhere.
+    """
+    prefix = F.array_join(F.slice("segments", 1, depth), "/") if depth else F.lit("")
+    placed = tree.withColumn("prefix", prefix)
+    ends = placed.where(F.size("segments") > depth).groupBy("host", "prefix").agg(F.min("segments").alias("least"), F.max("segments").alias("most"))
+    levels = F.sequence(F.lit(1), F.greatest(F.size("least"), F.size("most")))
+    apart = F.array_min(F.filter(levels, lambda i: ~F.get("least", i - 1).eqNullSafe(F.get("most", i - 1))))
+    nodes = ends.where("least != most").select("host", "prefix", apart.alias("parts"))
+    going = F.when(F.size("segments") > depth, F.col("parts")).alias("parts")
+    return placed.join(nodes, ["host", "prefix"], "left").select("host", "general", "segments", "pages", "labelled", "good", going)
 
 
 def merge_level(tree: DataFrame, depth: int) -> DataFrame:
@@ -125,9 +137,15 @@ def template_tree(pages: DataFrame) -> DataFrame:
         F.count("*").alias("pages"), F.count("good").alias("labelled"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good")
     )
     tree = stage(counted.withColumn("segments", F.col("general")))
-    depth = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for d in range(1, depth + 1):
-        tree = stage(merge_level(tree, d))
+    settled, depth = [], 0
+    while True:
+        marked = stage(parting(tree, depth))
+        settled.append(marked.where("parts IS NULL").drop("parts"))
+        depth = marked.agg(F.min("parts")).first()[0]
+        if depth is None:
+            break
+        tree = stage(merge_level(marked.where("parts IS NOT NULL").drop("parts"), depth))
+    tree = reduce(DataFrame.unionByName, settled)
     template = F.concat(F.lit("/"), F.array_join("segments", "/")).alias("template")
     overall = tree.agg(F.sum("good") / F.nullif(F.sum("labelled"), F.lit(0))).first()[0]
     overall = 1.0 if overall is None else overall
@@ -171,6 +189,8 @@ def op3_path_template_tree(spark, sf_dir):
     number = F.regexp_extract(host_and_path(F.col("url"))[1], r"([0-9]{1,18})[^0-9]*$", 1)
     rated = (F.col("quality") == 1) & (F.col("toxic") == 0)
     labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.avg(rated.cast("double")).alias("good"))
-    labels = labels.where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "number")
-    numbered = pages.withColumn("number", number.try_cast("bigint"))
+    labels = labels.where(F.col("doc_id") >= 0).withColumnRenamed("doc_id", "number")
+    # pages without a number meet no label, and are dealt by numbers that no label has
+    unnumbered = -1 - F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 40))
+    numbered = pages.withColumn("number", F.coalesce(number.try_cast("bigint"), unnumbered))
     return judge_urls(numbered.join(labels, "number", "left"), rule_table(spark, RULES))

@@ -1,8 +1,11 @@
 """URL verdicts: parsing and rules against plain Python, the template tree on known sites."""
 
+import math
 import random
 import re
 
+import pytest
+
 from refmill.llm import urls
 
 SCHEMA = "page_id bigint, url string, good double, general string, pages int"
@@ -75,7 +78,7 @@ def test_alike_siblings_share_a_template(spark):
 
 
 def test_impure_branch_stands_alone_among_many_siblings_and_deep_down(spark):
-    for parent in ("", "a/b/c/d/e/f/g/"):  # the second: beyond the levels of the tree
+    for parent in ("", "a/b/c/d/e/f/g/"):
         rows = [(i, f"http://s.org/{parent}s{'abcdefgh'[i % 8]}{'klmnop'[i // 8 % 6]}/{i}", float(i % 20 > 0)) for i in range(960)]
         rows += [(2000 + i, f"http://s.org/{parent}spam/{i}", float(i % 10 == 0)) for i in range(60)]
         rows += [(3000 + i, f"http://s.org/{parent}rare{'xyz'[i]}/{i}", 1.0 if i else None) for i in range(3)]
@@ -85,6 +88,84 @@ def test_impure_branch_stands_alone_among_many_siblings_and_deep_down(spark):
         assert len({got[i][0] for i in got}) < 8  # the others share
 
 
+@pytest.mark.parametrize("depth", [0, 3, 6, 7, 9, 40])
+def test_good_pages_stay_at_any_depth(spark, depth):
+    lead = "".join(f"d{'abcdefghij'[i % 10]}/" for i in range(depth))
+    rows = [(i, f"http://s.org/{lead}{'pqrstuvw'[i // 2 % 8]}{'ijklmnop'[i // 16 % 8]}/{('good', 'spam')[i % 2]}", float(i % 2 == 0)) for i in range(400)]
+    got = {r.page_id: r.verdict for r in urls.judge_urls(table(spark, rows), urls.rule_table(spark, [])).collect()}
+    assert {got[i] for i in range(0, 400, 2)} == {"allow"} and {got[i] for i in range(1, 400, 2)} == {"block"}
+
+
+def general(path):
+    return tuple("*" if re.fullmatch("(?=.*[0-9])[0-9A-Fa-f-]{16,}", s) or len(s) > 64 else re.sub("[0-9]+", "#", s) for s in path.removeprefix("/").split("/"))
+
+
+def alike(nodes, name):
+    """Whether a child, given as counters of (pages, labelled, good) per next segment, is merged with its siblings."""
+    total = [sum(c[i] for kinds in nodes.values() for c in kinds.values()) for i in range(3)]
+    own = [sum(c[i] for c in nodes[name].values()) for i in range(3)]
+    pooled = {}
+    for kinds in nodes.values():
+        for k, c in kinds.items():
+            pooled[k] = pooled.get(k, 0) + c[0]
+    apart = sum(abs(nodes[name].get(k, (0,))[0] / own[0] - n / total[0]) for k, n in pooled.items()) / 2
+    uneven = max(0.0, 1 - sum(n * n for n in pooled.values()) / total[0] ** 2)
+    chance = (math.sqrt(len(pooled) * uneven) / 2 + urls.CHANCE) / math.sqrt(own[0])
+    others, same = total[1] - own[1], True
+    if own[1] >= urls.FEW and others > 0:
+        share = total[2] / total[1]
+        error = math.sqrt(share * (1 - share) * (1 / own[1] + 1 / others))
+        same = abs(own[2] / own[1] - (total[2] - own[2]) / others) <= urls.SIGNIFICANT * error + 1e-12
+    return len(nodes) > 1 and apart <= max(urls.SPREAD, chance) + 1e-12 and same
+
+
+def plain_templates(rows):
+    """``page_id → (template, verdict)`` by a tree in plain Python: every level of every path."""
+    pages = [(i, *parts(u), g) for i, u, g in rows]
+    paths = {(h, general(p)): general(p) for _, h, p, _ in pages}
+    for level in range(max(map(len, paths.values()), default=0)):
+        nodes = {}
+        for _, h, p, g in pages:
+            key = paths[h, general(p)]
+            if len(key) > level:
+                after = key[level + 1] if len(key) > level + 1 else "/"
+                c = nodes.setdefault((h, key[:level]), {}).setdefault(key[level], {}).setdefault(after, [0, 0, 0])
+                c[0], c[1], c[2] = c[0] + 1, c[1] + (g is not None), c[2] + (g or 0)
+        merged = {(*node, name) for node, children in nodes.items() for name in children if alike(children, name)}
+        for at, key in paths.items():
+            if len(key) > level and (at[0], key[:level], key[level]) in merged:
+                paths[at] = (*key[:level], "*", *key[level + 1 :])
+    labels = [g for _, _, _, g in pages if g is not None]
+    overall = sum(labels) / len(labels) if labels else 1.0
+    groups, found = {}, {}
+    for i, h, p, g in pages:
+        groups.setdefault((h, paths[h, general(p)]), []).append((i, g))
+    for (_, key), members in groups.items():
+        known = [g for _, g in members if g is not None]
+        purity = (sum(known) + urls.SMOOTHING * overall) / (len(known) + urls.SMOOTHING)
+        error = math.sqrt(overall * (1 - overall) / (len(known) + urls.SMOOTHING))
+        pure = not known or purity + urls.DOUBT * error >= min(urls.PUREST, overall)
+        found |= {i: ("/" + "/".join(key), "allow" if pure else "block") for i, _ in members}
+    return found
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_verdicts_equal_a_plain_tree(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(900):
+        host = rnd.choice(["a.org", "b.org", "c.net"])
+        lead = "/".join(rnd.choice(["x", "y"]) for _ in range(rnd.choice([0, 0, 1, 8])))
+        section = rnd.choice(["news", "blog", "spam", "u" + rnd.choice("abcdefgh"), "v" + rnd.choice("abcdefghijklmnop") + rnd.choice("xyz")])
+        rest = rnd.choice([f"/{i}", f"/{i}.html", "/about", "", "/p/q/r/s/t/u/v/w/" + rnd.choice(["m", "n"]), "/0123456789abcdef0"])
+        good = None if rnd.random() < 0.3 else float(rnd.random() > (0.85 if section == "spam" else 0.1))
+        rows.append((i, f"http://{host}/{lead}/{section}{rest}", good))
+    got = {r.page_id: (r.template, r.verdict) for r in urls.judge_urls(table(spark, rows), urls.rule_table(spark, [])).collect()}
+    want = plain_templates(rows)
+    assert {v for _, v in want.values()} == {"allow", "block"}
+    assert got == want
+
+
 def test_few_good_pages_overall_block_no_clean_template(spark):
     rnd, rows = random.Random(3), []
     for host in range(40):
