@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
 from array import array
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,24 @@ def worker_state() -> dict:
     return sys.modules.setdefault("refmill_worker_state", ModuleType("refmill_worker_state")).__dict__
 
 
+def shared(spark: SparkSession, value) -> Callable:
+    """A function that gives workers the value, with its classes: they need not have this package."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
+def remembered(make: Callable) -> Callable:
+    """The function with its values kept, for few different arguments. Unlike those of functools it travels to workers by value."""
+    known: dict = {}
+
+    def get(*args):
+        if args not in known:
+            known[args] = make(*args)
+        return known[args]
+
+    return get
+
+
 def load_tokenizer(path: str):
     """The tokenizer of a vocabulary file, loaded once per worker; one thread, no padding, no truncation."""
     import os

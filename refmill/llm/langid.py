@@ -1,8 +1,9 @@
 """Language of a text by sparse multinomial logistic regression on TF-IDF of character n-grams.
 
 Document frequencies are counted over all training texts. The weights are fitted with
-follow-the-regularised-leader and elastic-net penalties on a bounded hash sample of them,
-and a part of that sample, kept apart, sets the temperature that calibrates the scores.
+follow-the-regularised-leader and elastic-net penalties on a bounded hash sample of them, drawn for each language,
+and a part of that sample, kept apart, sets the temperature that calibrates the scores. It also shows how
+well n-grams of texts usually fit their language, by which texts in none of the learned languages are told.
 """
 
 from __future__ import annotations
@@ -18,13 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import column_list, in_parts, read_table
+from .common import column_list, in_parts, read_table, shared
 
 ship_by_value(__name__)
 
 BUCKETS = 1 << 15
 ORDERS = 3  # n-grams of 1 to 3 characters
 TRAIN_ROWS = 10_000  # expected size of the sample the weights are fitted on
+MAX_LANGUAGES = 256  # learned, those with most labelled texts; weights grow with their number
+STRANGE = 3.5  # how many times further below the median than the lowest twentieth a fit is strange
 _BLOCK = 1024  # buckets summed in one group
 _PART = 1 << 20  # characters of a text worked on at a time
 
@@ -49,6 +52,14 @@ class Model:
     weights: np.ndarray  # bucket × language
     bias: np.ndarray
     temperature: float
+    common: np.ndarray  # bucket × language, logarithm of its share
+    least_fit: np.ndarray  # of a text's n-grams with each language
+
+
+def fit_with(buckets: np.ndarray, counts: np.ndarray, common: np.ndarray, language: int) -> float:
+    """How common a text's n-grams are in a language: mean logarithm of their shares."""
+    weight = np.log1p(counts)
+    return float(weight @ common[buckets, language] / weight.sum())
 
 
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -153,75 +164,122 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, buckets, counts], [*names, "buckets", "counts"])
 
 
+def _shares(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: int) -> np.ndarray:
+    """Logarithms of the buckets' shares in each language."""
+    total = np.full((BUCKETS, languages), 0.5)
+    for buckets, counts, language in rows:
+        total[buckets, language] += np.log1p(counts)
+    return np.log(total / total.sum(axis=0)).astype(np.float32)
+
+
+def _least_fits(rows: list[tuple[np.ndarray, np.ndarray, int]], common: np.ndarray) -> np.ndarray:
+    """Per language the fit below which a text is strange to it; minus infinity where there is too little to tell."""
+    if len(rows) < 20:
+        return np.full(common.shape[1], -np.inf)
+    fits, own = np.array([fit_with(b, c, common, y) for b, c, y in rows]), np.array([y for _, _, y in rows])
+    enough = [(own == y).sum() >= 5 for y in range(common.shape[1])]
+    middle = np.array([np.median(fits[own == y]) if e else np.median(fits) for y, e in enumerate(enough)])
+    below = -np.quantile(fits - middle[own], 0.05)
+    return middle - STRANGE * below
+
+
 def _fit_group(idf: np.ndarray, languages: list[str], settings: Settings):
+    number = {lang: n for n, lang in enumerate(languages)}
+
     def run(table: pa.Table) -> pa.Table:
         import pickle
 
         order = np.argsort(table["pick"].to_numpy(), kind="stable")
         langs, buckets, counts = (table[c].combine_chunks() for c in ("lang", "buckets", "counts"))
-        rows = []
+        rows, plain = [], []
         for i in order.tolist():  # views of the table's own memory, in single precision
             at = np.frombuffer(buckets[i].as_buffer(), np.int32)
             if len(at):
-                values = weighted(at, np.frombuffer(counts[i].as_buffer(), np.float32), idf).astype(np.float32)
-                rows.append((at, values, languages.index(langs[i].as_py())))
+                count, language = np.frombuffer(counts[i].as_buffer(), np.float32), number[langs[i].as_py()]
+                rows.append((at, weighted(at, count, idf).astype(np.float32), language))
+                plain.append((at, count, language))
         apart, fitted = rows[::5], [r for i, r in enumerate(rows) if i % 5]
         weights, bias = fit(fitted or rows, len(languages), settings)
         logits = np.array([v @ weights[b] + bias for b, v, _ in apart]).reshape(-1, len(languages))
         temperature = fit_temperature(logits, np.array([y for _, _, y in apart], int))
-        packed = pickle.dumps((weights.astype(np.float32), bias, temperature))
+        common = _shares([r for i, r in enumerate(plain) if i % 5] or plain, len(languages))
+        packed = pickle.dumps((weights.astype(np.float32), bias, temperature, common, _least_fits(plain[::5], common)))
         return pa.table({"model": pa.array([packed], pa.binary())})
 
     return run
 
 
-def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, settings: Settings = Settings()) -> Model | None:
+def quotas(rows: dict[str, int], total: int) -> dict[str, float]:
+    """Share of each language's rows to draw, so that about ``total`` are drawn and small languages are drawn whole."""
+    left, found = float(total), {}
+    for n, (lang, count) in enumerate(sorted(rows.items(), key=lambda x: (x[1], x[0]))):
+        drawn = min(count, left / (len(rows) - n))
+        found[lang] = drawn / count
+        left -= drawn
+    return found
+
+
+def drawn(labelled: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """``text, lang, pick``: of each language that share of ``(doc_id, text, lang)``, by a hash of doc_id and text.
+
+    The draw is the same at every partitioning; ids may be null or repeated. ``pick`` is spread evenly in each language.
+    """
+    scale = 1 << 30
+    limits = F.create_map(*[F.lit(x) for lang, share in shares.items() for x in (lang, max(1, int(scale * share)))])
+    hashed = labelled.select("text", "lang", F.pmod(F.xxhash64("doc_id", "text"), F.lit(scale)).alias("hash"), limits[F.col("lang")].alias("limit"))
+    return hashed.where("hash < limit").select("text", "lang", (F.col("hash") / F.col("limit")).alias("pick"))
+
+
+def train(docs: DataFrame, train_rows: int = TRAIN_ROWS, settings: Settings = Settings(), max_languages: int = MAX_LANGUAGES) -> Model | None:
     """Model of the labelled ``(doc_id, text, lang)``; None where no row has a text and a language.
 
-    The sample is the part of the rows whose hash of doc_id falls below the fraction that gives
-    ``train_rows`` on average; it is the same at every partitioning. Repeated rows count once in it.
+    The ``max_languages`` with most labelled texts are learned. The sample holds about ``train_rows`` rows, as many of each language as
+    there are, so that rare ones are learned from all their rows. Rows repeated as a whole count once in it.
     """
     import pickle
 
     labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    languages = sorted(r.lang for r in labelled.select("lang").distinct().collect())
-    if not languages:
+    counted = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = {r.lang: r["count"] for r in counted}
+    if not rows:
         return None
+    languages = sorted(rows)
     kind = "block int, texts bigint, counts binary"
     blocks = labelled.select("text").mapInArrow(_document_frequencies, kind).groupBy("block").applyInArrow(_sum_block, kind).collect()
     texts = blocks[0].texts
     frequency = np.concatenate([np.frombuffer(b.counts, np.int64) for b in sorted(blocks)])
     idf = np.log((1 + texts) / (1 + frequency))
-    scale = 1 << 30
-    pick = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-    sample = labelled.select("text", "lang", pick.alias("pick")).where(F.col("pick") < int(scale * min(1.0, train_rows / texts)))
-    features = sample.mapInArrow(_features, "lang string, pick bigint, buckets binary, counts binary").distinct()
+    sample = drawn(labelled, quotas(rows, train_rows))
+    features = sample.mapInArrow(_features, "lang string, pick double, buckets binary, counts binary").distinct()
     fitted = features.groupBy(F.lit(1).alias("all")).applyInArrow(_fit_group(idf, languages, settings), "model binary").collect()
     if not fitted:
         return None
-    weights, bias, temperature = pickle.loads(fitted[0].model)
-    return Model(languages, idf, weights, bias, temperature)
+    return Model(languages, idf, *pickle.loads(fitted[0].model))
 
 
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = model()
         for batch in in_parts(batches):
-            languages, scores = [], []
+            languages, scores, familiar = [], [], []
             for text in column_list(batch, "text"):
                 buckets, counts = ngram_counts(text or "")
                 if m is None or not len(buckets):
                     languages.append("und")
                     scores.append(0.0)
+                    familiar.append(False)
                     continue
                 logits = weighted(buckets, counts, m.idf) @ m.weights[buckets] + m.bias
                 p = softmax(logits / m.temperature)
-                languages.append(m.languages[int(p.argmax())])
-                scores.append(float(p.max()))
+                best = int(p.argmax())
+                languages.append(m.languages[best])
+                scores.append(float(p[best]))
+                familiar.append(bool(fit_with(buckets, counts, m.common, best) >= m.least_fit[best]))
             kept = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
             names = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"]
+                [*kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(familiar, pa.bool_())],
+                [*names, "lang_pred", "score", "familiar"],
             )
 
     return run
@@ -233,30 +291,31 @@ def held_out(doc_id: Column) -> Column:
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row; ``und`` and 0 for texts without a letter or without a model."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """``doc_id, lang_pred, score, familiar`` of every row; ``und`` and 0 for texts without a letter or without a model.
+
+    Not ``familiar`` are texts whose n-grams are strangely rare in the predicted language: it is only the nearest of those learned.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return rows.mapInArrow(_predict(shared), "doc_id bigint, lang_pred string, score double")
+    return rows.mapInArrow(_predict(shared(docs.sparkSession, model)), "doc_id bigint, lang_pred string, score double, familiar boolean")
 
 
 def identify_languages(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` with a model of the rows outside the held-out fold.
+    """``doc_id, held_out, lang_pred, score, familiar`` with a model of the rows outside the held-out fold.
 
     Rows without doc_id, text or lang train nothing but are predicted like others.
     """
     known = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     found = identify(docs, train(known, train_rows))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "familiar")
 
 
 def confident(docs: DataFrame, least: float = 0.3, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is recognised with a score of ``least`` or more.
+    """The rows of ``docs``, all columns, whose language is recognised with a score of ``least`` or more and familiar.
 
-    Repeated rows stay or go together. The text travels with its prediction, so no join is needed.
+    A text in a language that was not learned has a nearest one all the same; it goes because its n-grams are strange to that. Repeated rows stay or go together. The text travels with its prediction, so no join is needed.
     """
     known = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    shared = docs.sparkSession.sparkContext.broadcast(train(known, train_rows))
-    return docs.mapInArrow(_keep(shared, least), docs.schema)
+    return docs.mapInArrow(_keep(shared(docs.sparkSession, train(known, train_rows)), least), docs.schema)
 
 
 def _keep(model, least: float):
@@ -266,7 +325,8 @@ def _keep(model, least: float):
         for batch in in_parts(batches):
             text = batch.schema.get_field_index("text")
             for found in predict(iter([pa.RecordBatch.from_arrays([batch.column(text)], ["text"])])):
-                keep = [lang != "und" and s >= least for lang, s in zip(found["lang_pred"].to_pylist(), found["score"].to_pylist())]
+                kept = zip(*[found[c].to_pylist() for c in ("lang_pred", "score", "familiar")])
+                keep = [lang != "und" and s >= least and known for lang, s, known in kept]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -22,14 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import column_list, in_parts, read_table, worker_state
+from .common import column_list, in_parts, read_table, segments, shared, worker_state
 
 ship_by_value(__name__)
 
 BUCKETS = 1 << 16
 TRAIN_ROWS = 10_000  # expected size of the sample the scorer is fitted on
 BAD, UNSURE, GOOD, SILENT = range(4)
+WINDOW = 300  # words of a stretch in which different ones are counted
 _PART = 1 << 20  # characters of a text worked on at a time
+_TALLIES = 1 << 20  # counters of the words of a text that comes in parts
 
 SPACE, LOWER, UPPER, DIGIT, MARK, BREAK, SYMBOL = range(7)
 
@@ -49,7 +51,7 @@ LABELLERS = (
     Labeller("capitals", 0.25, 0.12),
     Labeller("echoes", 0.08, 0.02),
     Labeller("top_word", 0.2, 0.12),
-    Labeller("distinct", 0.15, 0.35),
+    Labeller("distinct", 0.25, 0.45),
     Labeller("word_length", 16.0, 10.0),
     Labeller("shouts", 0.08, 0.02),
     Labeller("sentence_ends", 0.015, 0.04),
@@ -80,22 +82,95 @@ def _classes() -> np.ndarray:
     return state["character_kinds"]
 
 
-def kinds_of(text: str) -> np.ndarray:
-    table, found = _classes(), []
+def kinds_in_parts(text: str) -> Iterator[np.ndarray]:
+    table = _classes()
     for at in range(0, len(text), _PART):
         codes = np.frombuffer(text[at : at + _PART].encode("utf-32-le", "replace"), np.uint32)
-        found.append(np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], np.int8(SYMBOL)))
-    return np.concatenate(found) if found else np.zeros(0, np.int8)
+        yield np.where(codes < len(table), table[np.minimum(codes, len(table) - 1)], np.int8(SYMBOL))
+
+
+class _Variety:
+    """Share of different words, averaged over stretches of ``WINDOW`` words, the last one up to the end of the text.
+
+    So it does not depend on the length of a text; one that is shorter is a single stretch.
+    """
+
+    def __init__(self) -> None:
+        self.shares, self.recent, self.open = [], [], 0
+
+    def add(self, words: list[str]) -> None:
+        words = self.recent + words
+        at = len(self.recent) - self.open
+        while len(words) - at >= WINDOW:
+            self.shares.append(len(set(words[at : at + WINDOW])) / WINDOW)
+            at += WINDOW
+        self.open, self.recent = len(words) - at, words[-WINDOW:]
+
+    def value(self) -> float:
+        if self.open:
+            self.shares.append(len(set(self.recent)) / len(self.recent))
+            self.open = 0
+        return math.fsum(self.shares) / len(self.shares)
+
+
+class _Words:
+    """What the labellers ask of the words of a text that comes in parts."""
+
+    def __init__(self) -> None:
+        self.n = self.echoes = self.ends = self.size = 0
+        self.last, self.variety, self.counts, self.tallies = None, _Variety(), Counter(), None
+        self.packer = zlib.compressobj(1)
+
+    def add(self, part: str) -> None:
+        words = part.split()
+        bare = [w.strip(".,;:!?%$&*#|") for w in words]
+        self.echoes += sum(map(str.__eq__, bare, bare[1:])) + (bool(bare) and bare[0] == self.last)
+        self.last = bare[-1] if bare else self.last
+        self.ends += sum(w[-1] in ".!?…" for w in words)
+        self.n += len(words)
+        self.variety.add(bare)
+        if self.counts:  # from the second part on words are counted by their hashes
+            self._tally(self.counts)
+        self.counts = Counter(bare)
+        self.size += len(self.packer.compress(part.encode("utf-8", "replace")))
+
+    def _tally(self, counts: Counter) -> None:
+        import xxhash
+
+        if self.tallies is None:
+            self.tallies = np.zeros(_TALLIES, np.int64)
+        at = np.fromiter((xxhash.xxh32_intdigest(w) % _TALLIES for w in counts), np.int64, len(counts))
+        np.add.at(self.tallies, at, np.fromiter(counts.values(), np.int64, len(counts)))
+
+    def top(self) -> int:
+        if self.tallies is None:
+            return max(self.counts.values())
+        self._tally(self.counts)
+        return int(self.tallies.max())
+
+    def packed(self) -> int:
+        return self.size + len(self.packer.flush())
+
+
+def _lines(text: str) -> Iterator[str]:
+    at = 0
+    while at <= len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end + 1
 
 
 def measures(text: str) -> dict[str, float]:
-    """What the labellers look at, over the whole text; nothing where a text is too short to tell."""
-    kinds = kinds_of(text)
-    count = np.bincount(kinds, minlength=7)
-    letters, shown = count[LOWER] + count[UPPER], len(kinds) - count[SPACE] - count[BREAK]
-    words = text.split()
-    n = len(words)
-    found: dict[str, float] = {}
+    """What the labellers look at, over the whole text in parts; nothing where a text is too short to tell."""
+    count = np.zeros(7, np.int64)
+    for kinds in kinds_in_parts(text):
+        count += np.bincount(kinds, minlength=7)
+    letters, shown = count[LOWER] + count[UPPER], len(text) - count[SPACE] - count[BREAK]
+    words = _Words()
+    for part in segments(text, _PART):
+        words.add(part)
+    n, found = words.n, {}
     if shown:
         found["symbols"], found["digits"] = count[SYMBOL] / shown, count[DIGIT] / shown
     if letters >= 20:
@@ -103,17 +178,19 @@ def measures(text: str) -> dict[str, float]:
     if n:
         found["shouts"] = text.count("!") / n
     if n >= 40:
-        bare = [w.strip(".,;:!?%$&*#|") for w in words]
-        counts = Counter(bare)
-        found["echoes"] = sum(map(str.__eq__, bare, bare[1:])) / n
-        found["top_word"] = counts.most_common(1)[0][1] / n
-        found["distinct"] = len(counts) / min(n, 300)
+        found["echoes"] = words.echoes / n
+        found["top_word"] = words.top() / n
+        found["distinct"] = words.variety.value()
         found["word_length"] = shown / n
-        found["compressed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / len(text)
-        found["sentence_ends"] = sum(w[-1] in ".!?…" for w in words) / n
-    lines = [x for x in text.split("\n") if x.strip()]
-    if len(lines) >= 4:
-        found["repeated_lines"] = 1 - len(set(lines)) / len(lines)
+        found["compressed"] = words.packed() / len(text)
+        found["sentence_ends"] = words.ends / n
+    lines, different = 0, set()
+    for line in _lines(text):
+        if line and not line.isspace():
+            lines += 1
+            different.add(hash(line))
+    if lines >= 4:
+        found["repeated_lines"] = 1 - len(different) / lines
     return found
 
 
@@ -185,14 +262,19 @@ def features(text: str, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray
     digest = xxhash.xxh32_intdigest
     binned = [f"{k}={math.floor(math.log2(v + 1e-4) * 2)}" for k, v in found.items()]
     buckets = [digest(b) % BUCKETS for b in binned]
-    kinds, runs = kinds_of(text), np.zeros(343, np.int64)
-    for at in range(0, len(kinds) - 2, _PART):
-        part = kinds[at : at + _PART + 2].astype(np.int64)
-        runs += np.bincount(part[:-2] * 49 + part[1:-1] * 7 + part[2:], minlength=343)
+    runs, before = np.zeros(343, np.int64), np.zeros(0, np.int64)
+    for part in kinds_in_parts(text):
+        kinds = np.concatenate([before, part])
+        runs += np.bincount(kinds[:-2] * 49 + kinds[1:-1] * 7 + kinds[2:], minlength=343) if len(kinds) > 2 else 0
+        before = kinds[-2:]
     at = np.flatnonzero(runs)
-    words = Counter(text.lower().split())
-    hashed = [digest(w, 1) % BUCKETS for w in words]
-    values = np.concatenate([np.ones(len(binned)), np.sqrt(runs[at] / max(1, len(kinds))), 0.3 * _unit(np.sqrt(np.array(list(words.values()), float)))])
+    hashed: dict[int, int] = {}
+    for part in segments(text, _PART):
+        for word, n in Counter(part.lower().split()).items():
+            bucket = digest(word, 1) % BUCKETS
+            hashed[bucket] = hashed.get(bucket, 0) + n
+    words = 0.3 * _unit(np.sqrt(np.fromiter(hashed.values(), float, len(hashed))))
+    values = np.concatenate([np.ones(len(binned)), np.sqrt(runs[at] / max(1, len(text))), words])
     return np.array([*buckets, *[digest(f"kinds {a}") % BUCKETS for a in at], *hashed], np.int64), values
 
 
@@ -292,7 +374,7 @@ def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model | None:
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = model()
         for batch in in_parts(batches):
             ballots, scores = [], []
             for text in column_list(batch, "text"):
@@ -318,7 +400,7 @@ def classify(docs: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS)
     posterior, ``score`` the scorer's probability of a good text, ``keep`` whether it reaches
     ``least``. On null and empty texts all labellers are silent, and they are never kept. Repeated rows get equal results.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, train_rows))
+    model = shared(docs.sparkSession, train(docs, train_rows))
     rows = docs.select(F.col("doc_id").cast("bigint"), "text", (F.coalesce(F.length(F.trim("text")), F.lit(0)) > 0).alias("filled"))
     kind = "doc_id bigint, filled boolean, votes array<int>, weak_label double, score double"
     scored = rows.mapInArrow(_score(model), kind)
@@ -327,7 +409,7 @@ def classify(docs: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS)
 
 def keep_good(docs: DataFrame, least: float = 0.5, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify`` would keep."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, train_rows))
+    model = shared(docs.sparkSession, train(docs, train_rows))
     return docs.mapInArrow(_keep(model, least), docs.schema)
 
 

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 from hashlib import blake2b, sha256
 
 import numpy as np
@@ -24,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value, stage
-from .common import column_list, in_parts, read_table
+from .common import column_list, in_parts, read_table, remembered
 
 ship_by_value(__name__)
 
@@ -67,7 +66,7 @@ def own_fault(text: str) -> int:
 # ---- the programme
 
 
-@cache
+@remembered
 def row_edits(symbol: int) -> list[list[tuple[str, int, int]]]:
     """For each state the edits of a turn: initial, cost, state after, in ASCII order of initials."""
     kind, fault = divmod(symbol, 4)
@@ -90,7 +89,7 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.minimum(summed.min(axis=1), NEVER)
 
 
-@cache
+@remembered
 def insertions() -> np.ndarray:
     """Costs of any number of insertions between states."""
     costs = np.full((STATES, STATES), NEVER, np.int64)
@@ -102,14 +101,14 @@ def insertions() -> np.ndarray:
     return costs
 
 
-@cache
+@remembered
 def tail() -> np.ndarray:
     """Costs to go behind the last turn."""
     ends = np.array([0, NEVER, NEVER, 0], np.int64)
     return times(insertions(), ends)
 
 
-@cache
+@remembered
 def power(symbol: int, n: int) -> np.ndarray:
     """The matrix of 2**n equal symbols, insertions before each of them included."""
     if n:
@@ -150,14 +149,14 @@ def chunk_matrix(symbols: np.ndarray) -> np.ndarray:
     return found
 
 
-@cache
+@remembered
 def _level(symbol: int, behind: tuple[int, ...]) -> tuple[int, ...]:
     """Costs to go before a symbol, less their least."""
     costs = times(power(symbol, 0), np.array(behind, np.int64))
     return tuple((costs - costs.min()).tolist())
 
 
-@cache
+@remembered
 def _choice(symbol: int, behind: tuple[int, ...], state: int) -> tuple[str, int]:
     """Initials of the ASCII-least cheapest edits up to a turn's own, and the state after."""
     costs = times(power(symbol, 0), np.array(behind, np.int64)).tolist()

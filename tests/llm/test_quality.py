@@ -1,8 +1,10 @@
 """Weak labels: estimated accuracies, the scorer on texts of known kind, and odd rows."""
 
+import math
 import random
 
 import numpy as np
+import pytest
 
 from refmill.llm import quality
 
@@ -97,3 +99,68 @@ def test_parts_of_long_texts_measure_the_same(monkeypatch):
     whole = [x.tolist() for x in quality.features(text, found)]
     monkeypatch.setattr(quality, "_PART", 7)
     assert quality.measures(text) == found and [x.tolist() for x in quality.features(text, found)] == whole
+
+
+def test_estimate_equals_enumeration():
+    """Expectation-maximisation text by text in plain Python."""
+    rnd = random.Random(4)
+    k = len(quality.LABELLERS)
+    ballots = []
+    for _ in range(60):
+        good = rnd.random() < 0.7
+        ballots.append([rnd.choice([quality.SILENT, quality.UNSURE, quality.GOOD if good else quality.BAD, quality.GOOD if good else quality.BAD]) for _ in range(k)])
+    p = [0.1 if quality.BAD in b else 0.9 for b in ballots]
+    for _ in range(200):
+        prior = (sum(p) + 1) / (len(p) + 2)
+        cast = {}
+        for i in range(k):
+            for c in (0, 1):
+                said = [sum((q if c else 1 - q) for q, b in zip(p, ballots) if b[i] == v) + 0.5 for v in range(3)]
+                cast[i, c] = [x / sum(said) for x in said] + [1.0]
+        new = []
+        for b in ballots:
+            odds = math.log(prior / (1 - prior)) + sum(math.log(cast[i, 1][v] / cast[i, 0][v]) for i, v in enumerate(b))
+            new.append(1 / (1 + math.exp(-odds)))
+        moved, p = max(abs(x - y) for x, y in zip(p, new)), new if max(abs(x - y) for x, y in zip(p, new)) >= 1e-6 else p
+        if moved < 1e-6:
+            break
+    patterns, counts = np.unique([quality.pattern(b) for b in ballots], return_counts=True)
+    found = quality.estimate(patterns, counts.astype(float))
+    assert abs(found.good - prior) < 1e-9
+    assert np.allclose(found.posterior(np.array(ballots)), new, atol=1e-9)
+
+
+def test_scorer_equals_plain_steps():
+    rnd = random.Random(5)
+    rows = [(np.array(rnd.sample(range(50), 4)), np.array([rnd.random() for _ in range(4)]), rnd.random()) for _ in range(40)]
+    w, seen, decay = {}, {}, 1e-5
+    for _ in range(3):
+        for buckets, values, label in rows:
+            x = dict(zip(buckets.tolist(), values.tolist())) | {-1: 1.0}
+            p = 1 / (1 + math.exp(-sum(w.get(i, 0.0) * v for i, v in x.items())))
+            steps = {i: (p - label) * v + decay * w.get(i, 0.0) for i, v in x.items()}
+            for i, g in steps.items():
+                seen[i] = seen.get(i, 1e-3) + g * g
+                w[i] = w.get(i, 0.0) - 0.2 * g / math.sqrt(seen[i])
+    weights, bias = quality.fit(rows)
+    assert np.allclose(weights[:50], [w.get(i, 0.0) for i in range(50)]) and abs(bias - w[-1]) < 1e-9
+
+
+def test_variety_does_not_depend_on_length():
+    rnd = random.Random(6)
+    few, many = ([f"{c}{i}" for i in range(n)] for c, n in (("a", 110), ("b", 4000)))
+    for words, low, high in ((few, 0.3, 0.4), (many, 0.9, 1.0)):
+        shares = [quality.measures(" ".join(rnd.choice(words) for _ in range(n)))["distinct"] for n in (300, 1000, 20_000)]
+        assert low < min(shares) and max(shares) < high
+    labeller = next(x for x in quality.LABELLERS if x.measure == "distinct")
+    assert labeller.good > 0.4
+
+
+def test_parts_of_long_texts_measure_the_same(monkeypatch):
+    rnd = random.Random(7)
+    text = " ".join(rnd.choice(["alpha", "beta.", "x\n", "line\n\n", "Été!", "  "]) + str(rnd.randint(0, 99)) for _ in range(3000))
+    whole = quality.measures(text), *[sorted(x.tolist()) for x in quality.features(text, {})]
+    for size in (7, 100, 5000):
+        monkeypatch.setattr(quality, "_PART", size)
+        found, buckets, values = quality.measures(text), *[sorted(x.tolist()) for x in quality.features(text, {})]
+        assert found == pytest.approx(whole[0]) and buckets == whole[1] and values == pytest.approx(whole[2])
