@@ -230,14 +230,14 @@ def cluster(vectors: DataFrame, k: int, rounds: int, salt: str) -> Clustering:
     found, path, joined = Clustering(None, history[0]), None, rows
     for _ in range(rounds):
         state, new_path = _bucketed(joined.mapInArrow(_Pass(history, wide, False), kind), buckets, "bounds")
-        # one row per task and cluster, summed in tasks: k × dim numbers reach the driver
+        # one row per task and cluster; k rows of dim sums reach the driver
         totals = state.where("moves IS NOT NULL")
-        for r in totals.select("cluster", F.posexplode("moves").alias("i", "move")).groupBy("cluster", "i").agg(F.sum("move").alias("move")).collect():
-            sums[r.cluster][r.i] += int(r.move)
-        counted = totals.groupBy("cluster").agg(F.sum("members").alias("members"), F.sum("evaluations").alias("n")).collect()
+        columns = [F.sum(F.get("moves", F.lit(i))).alias(f"move{i}") for i in range(dim)]
+        counted = totals.groupBy("cluster").agg(F.sum("members").alias("members"), F.sum("evaluations").alias("evaluations"), *columns).collect()
         for r in counted:
             members[r.cluster] += r.members
-        found.evaluations.append(sum(r.n for r in counted))
+            sums[r.cluster] = [s + int(r[f"move{i}"]) for i, s in enumerate(sums[r.cluster])]
+        found.evaluations.append(sum(r.evaluations for r in counted))
         if path:
             discard(spark, path)
         path = new_path
