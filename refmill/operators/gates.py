@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .personal import ADDRESS_DETECTORS, Detector
+
 # --- fixed values: reject reasons
 SCHEMA_MISMATCH = "SCHEMA_MISMATCH"
 PII_DETECTED = "PII_DETECTED"
@@ -136,9 +138,6 @@ def contract_changes(before: DataFrame, now: DataFrame, keys: Sequence[str] = ("
 
 
 # --------------------------------------------------------------------------- personal data
-Detector = Callable[[Column], Column]
-
-
 def pii_scan(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -146,8 +145,8 @@ def pii_scan(
 ) -> DataFrame:
     """``(column_name, entity, score, hits)`` — cells with a match, per text column.
 
-    Reads whole texts of all rows.
-    ``extra`` adds detectors such as a name model: entity → (score, text → boolean).
+    Reads whole texts of all rows, for the patterns and for postal addresses.
+    ``extra`` adds detectors such as that of a name model (``personal.fit_names``): entity → (score, text → boolean).
     The only shuffle carries one row per column and task.
     """
     columns = list(columns or [n for n, t in df.dtypes if t == "string"])
@@ -156,7 +155,7 @@ def pii_scan(
     for name, (score, pattern) in PII_PATTERNS.items():
         hit = F.col("text").rlike(pattern)
         detectors[name] = (score, F.col("text").contains(PII_HINTS[name]) & hit if name in PII_HINTS else hit)
-    for name, (score, detect) in (extra or {}).items():
+    for name, (score, detect) in {**ADDRESS_DETECTORS, **(extra or {})}.items():
         detectors[name] = (score, detect(F.col("text")))
     if len(columns) == 1:
         long = texts.select(F.lit(columns[0]).alias("column_name"), F.col(f"`{columns[0]}`").alias("text"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ...operators import gates as G
 from ...operators import ordered as O
+from ...operators import personal as P
 from ...session import scratch_path, spread
 from ...sources import files as FS
 from .. import audit as A
@@ -155,6 +156,95 @@ def pii_detector_hook(spark, sf_dir):
     return found.where(F.col("entity") == "SECRET")
 
 
+# names of customers whose keys are even teach the model; those planted in texts have other family names
+FIRST = "Alice Bruno Clara Daniel Edwin Fiona Georg Hanna Ivan Julia Karl Laura Marco Nadia Oscar Paula".split()
+STEMS = "Thorn Ash Whit Har Wood Brad Clay Hart Lang Mor Nor Pem Rad Stan Wex Win".split()
+ENDS = "bury combe ford worth wick field brook stead".split()
+
+
+def _pick(words: list[str], n: str) -> str:
+    return f"element_at(array({', '.join(repr(w) for w in words)}), CAST({n} AS INT) % {len(words)} + 1)"
+
+
+def name_model(spark, sf_dir):
+    """Learned from the names of half of the customers against what all documents say."""
+    full = f"concat({_pick(FIRST, 'c_custkey div 2')}, ' ', {_pick(STEMS[::2], 'c_custkey div 10')}, {_pick(ENDS, 'c_custkey div 6')})"
+    names = select(spark, sf_dir, "customer", {"name": full}, "c_custkey % 2 = 0")
+    return P.fit_names(names, spread(table(spark, sf_dir, "documents").select("text")))
+
+
+def _planted(spark, sf_dir, source: str, key: str, before: dict[int, str], after: dict[int, str]):
+    """Texts of a table with a sentence put before or after them, by the key's remainder."""
+    kind = f"{key} % 10"
+    put = [f"CASE {kind} {' '.join(f'WHEN {n} THEN {e}' for n, e in x.items())} ELSE '' END" if x else "''" for x in (before, after)]
+    columns = {"planted": f"CAST({kind} AS INT)", "text": f"concat({put[0]}, coalesce(text, ''), {put[1]})"}
+    return select(spark, sf_dir, source, columns, wide_work=True)
+
+
+@query(
+    "pii_names",
+    """
+    SELECT CAST(doc_id % 10 AS INTEGER) AS planted, count(*) AS cells, count(*) FILTER (doc_id % 10 IN (0, 1, 2, 5)) AS found
+    FROM documents GROUP BY 1
+    """,
+)
+def pii_names(spark, sf_dir):
+    """Names found in whole documents: recall where names were planted, false hits where brands, places or nothing were."""
+    first, last = _pick(FIRST, "doc_id div 10"), f"concat({_pick(STEMS[1::2], 'doc_id div 70')}, {_pick(ENDS, 'doc_id div 30')})"
+    texts = _planted(
+        spark, sf_dir, "documents", "doc_id",
+        {5: f"concat({first}, ' ', {last}, ' wrote: ')"},
+        {
+            0: f"concat(' yours sincerely, ', {first}, ' ', {last})",
+            1: f"concat(' please ask for Mr Quillon ', {last}, ' tomorrow')",
+            2: f"concat(' we met ', {first}, ' J. ', {last}, ' there')",
+            3: f"concat(' made by ', initcap({_pick(['blue ring', 'hot bolt', 'large gear'], 'doc_id')}), ' of Brand#7')",
+            4: "' from Market Days to the Winter Games'",
+        },
+    )
+    hit = name_model(spark, sf_dir).detector()(F.col("text"))
+    return texts.groupBy("planted").agg(F.count("*").alias("cells"), F.count_if(hit).alias("found"))
+
+
+@query(
+    "pii_addresses",
+    """
+    SELECT CAST(conv_id % 10 AS INTEGER) AS planted, count(*) AS cells, count(*) FILTER (conv_id % 10 IN (0, 1, 2, 3, 4)) AS addresses,
+           count(*) FILTER (conv_id % 10 IN (0, 1, 3, 4, 7)) AS street_lines
+    FROM conversations GROUP BY 1
+    """,
+)
+def pii_addresses(spark, sf_dir):
+    """Addresses found in whole conversations: recall by kind, false hits on numbers and street words that make none."""
+    number = "CAST(conv_id % 400 + 1 AS STRING)"
+    texts = _planted(
+        spark, sf_dir, "conversations", "conv_id",
+        {4: f"concat({number}, ' rue de la Paix, 75002 Paris. ')"},
+        {
+            0: f"concat(' deliver to ', {number}, ' Baker Street, London NW1 6XE')",
+            1: f"concat(' it is at Flat 3, ', {number}, ' North Hill Road now')",
+            2: f"concat(' write to P.O. Box ', {number}, ' please')",
+            3: f"concat(' in der Hauptstraße ', {number}, ', 10115 Berlin')",
+            5: f"concat(' order ', {number}, ' Blue Rings, close to Street level')",
+            6: f"concat(' see section 4.', {number}, ' Main points, a Place of note')",
+            7: f"concat(' seen near ', {number}, ' Mill Lane yesterday')",
+        },
+    )
+    hits = [F.count_if(detect(F.col("text"))).alias(n) for n, detect in (("addresses", P.address), ("street_lines", P.street_line))]
+    return texts.groupBy("planted").agg(F.count("*").alias("cells"), *hits)
+
+
+@query(
+    "pii_names_block",
+    "SELECT 'text' AS column_name, 'PERSON' AS entity, CAST(0.85 AS DOUBLE) AS score, count(*) AS hits FROM documents WHERE doc_id % 10 = 0",
+)
+def pii_names_block(spark, sf_dir):
+    """The finding that refuses a load, by the trained detector next to the built-in ones."""
+    texts = _planted(spark, sf_dir, "documents", "doc_id", {}, {0: f"concat(' signed Herr {FIRST[3]} ', {_pick(STEMS, 'doc_id')}, {_pick(ENDS, 'doc_id div 3')})"})
+    found = G.blocking(G.pii_scan(texts.select("text"), extra=P.person_detector(name_model(spark, sf_dir))))
+    return found.where(F.col("entity") == "PERSON")
+
+
 # --------------------------------------------------------------------------- data quality
 DQ_RULES = (
     {"rule_id": "rows", "kind": "row_count", "min": 1000, "max": 1e12},
