@@ -8,7 +8,7 @@ from ...operators import extract as X
 from ...operators import gates as G
 from ...session import scratch_path, stage
 from ...sources import config as CFG
-from ...sources.files import read_native
+from ...sources.files import read_csv, read_json, read_native
 from ...sources.registry import REGISTRY_DDL, lookup
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory, watch_landing
@@ -76,20 +76,49 @@ def unknown_format(spark, sf_dir):
     store, registry = Store(spark, f"{root}/store"), registry_rows(spark, root, ["orders"], "xml")
     load_file(store, registry, "orders", landing, LoadRules(ORDER_CONTRACT), now=NOW, raise_on_reject=False)
     files = spark.read.option("recursiveFileLookup", True).option("header", True).csv(f"{root}/refused")
-    attempts = A.read_history(spark, store.path("history")).select("status", "reject_reason")
-    return attempts.crossJoin(files.agg(F.count("*").alias("kept")))
+    attempts = A.read_history(spark, store.path("history")).select("status", "reject_reason", F.lit(1).alias("drop"))
+    return attempts.join(files.agg(F.lit(1).alias("drop"), F.count("*").alias("kept")), "drop").drop("drop")
 
 
-@query("quoted_line_breaks", "SELECT conv_id, turn, role, text FROM conversations WHERE text <> ''")
+_GAPPED = "CASE turn % 7 WHEN 3 THEN NULL WHEN 5 THEN '' ELSE text END AS text"
+
+
+def _write_csv(rows, path: str) -> None:
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**kept).csv(path)
+
+
+@query("quoted_line_breaks", f"SELECT conv_id, turn, role, {_GAPPED} FROM conversations")
 def quoted_line_breaks(spark, sf_dir):
-    """Texts with line breaks and quotes in them survive a CSV drop as they are."""
+    """Texts with line breaks and quotes in them, null and empty ones survive a CSV drop as they are."""
     path = scratch_path(spark, "csv")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").where("text <> ''")
-    rows.write.option("header", True).option("escape", '"').csv(path)
-    found = read_native(spark, "csv", path)
+    _write_csv(table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", "role", _GAPPED), path)
+    found = read_csv(spark, path, null_value="\\N")
     return found.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
 
 
+@query("csv_one_file", "SELECT doc_id, text, lang FROM documents")
+def csv_one_file(spark, sf_dir):
+    """All documents as one CSV file, read by ranges though its values hold line breaks."""
+    path = scratch_path(spark, "csv")
+    _write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").coalesce(1), path)
+    return read_csv(spark, path, split_from=0).select(F.col("doc_id").cast("bigint"), "text", "lang")
+
+
+@query("json_one_file", ORDERS_SQL)
+def json_one_file(spark, sf_dir):
+    """All orders as one array in one file, read by ranges and brought to the contract."""
+    path = scratch_path(spark, "json")
+    orders = table(spark, sf_dir, "orders")
+    first = orders.agg(F.min("o_orderkey")).first()[0]
+    listed = orders.select(F.col("o_orderkey") == F.lit(first), F.to_json(F.struct(*NAMES))).toDF("first", "object")
+    opened = listed.where("first").select(F.concat(F.lit("["), "object").alias("value"))
+    others = listed.where("NOT first").select(F.concat(F.lit(","), "object").alias("value"))
+    closed = spark.range(1).select(F.lit("]").alias("value"))
+    opened.unionByName(others).unionByName(closed).coalesce(1).write.text(path)
+    return G.to_contract(read_json(spark, path, split_from=0), ORDER_CONTRACT).select(*NAMES)
+
+
 # --------------------------------------------------------------------------- publishing
 @query("dated_snapshot", f"SELECT *, 'v2026' AS version_effective_from FROM ({ORDERS_SQL})")
 def dated_snapshot(spark, sf_dir):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
+from . import ranges
 
 # Largest file whose bytes fit one row; a larger one is read in pieces.
 MAX_CONTENT = 2_147_483_647 - 64
@@ -74,20 +75,30 @@ def hash_files(spark: SparkSession, path: str, max_content: int = MAX_CONTENT) -
     return small.unionByName(large.mapInPandas(_hash_in_pieces, "path string, name string, bytes bigint, sha256 string"))
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM, null_value: str = "") -> DataFrame:
     """Header row, every column text; types come later, from the contract.
 
-    Quoted values may hold line breaks and doubled quotes; each file is read by one task.
+    Quoted values may hold line breaks and doubled quotes. Nothing between commas is null; a quoted empty value is null too,
+    unless ``null_value`` names another mark for null. Drops of ``split_from`` bytes or more are read by as many
+    tasks as they have ranges, smaller ones a file a task, with the same result.
     """
     reader = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
-    return reader.option("escape", '"').csv(path)
+    whole = reader.option("escape", '"').option("nullValue", null_value).csv(path)
+    return ranges.read_csv_ranges(spark, path, whole.columns, null_value) if _splits(spark, path, split_from) else whole
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-line documents, every primitive as text; fields arrive sorted by name."""
+def read_json(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM) -> DataFrame:
+    """Multi-line documents, every primitive as text; fields arrive sorted by name. Large drops are split as in ``read_csv``."""
+    if _splits(spark, path, split_from):
+        return ranges.read_json_ranges(spark, path)
     return spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
 
 
+def _splits(spark: SparkSession, path: str, split_from: int) -> bool:
+    """Whether a drop is large enough; folders that stand for columns are left to Spark's reader of whole files."""
+    return ranges.drop_bytes(spark, path) >= split_from and spark.read.text(path).columns == ["value"]
+
+
 def read_native(spark: SparkSession, source_format: str, path: str) -> DataFrame:
     """Readers by registry format; an unknown one is an extract failure for the caller to record."""
     if source_format == "csv":
