@@ -18,6 +18,7 @@ from .base import chunk_name, query, table
 ship_by_value(__name__)
 
 _ROWS = 200
+_ALL = 1_000_000_000  # rows of a workbook that holds the whole table
 BOOK = chunk_name("/books/parts_", "p_partkey", _ROWS)
 _HEAD = '<?xml version="1.0" encoding="UTF-8"?>'
 _NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -50,10 +51,10 @@ def _zip(batches: Iterator) -> Iterator:
         yield batch[["path"]].assign(content=packed)
 
 
-def book_files(spark, sf_dir):
-    """``(path, content)``: one workbook per 200 parts."""
-    part = table(spark, sf_dir, "part").withColumn("path", F.concat(F.expr(BOOK), F.lit(".xlsx")))
-    r = (F.col("p_partkey") % _ROWS + 3).cast("string")
+def book_files(spark, sf_dir, rows_each: int = _ROWS):
+    """``(path, content)``: one workbook per 200 parts, or as many as are asked for."""
+    part = table(spark, sf_dir, "part").withColumn("path", F.concat(F.expr(chunk_name("/books/parts_", "p_partkey", rows_each)), F.lit(".xlsx")))
+    r = (F.col("p_partkey") % rows_each + 3).cast("string")
 
     def cell(col: str, body: str, *values) -> F.Column:
         return F.format_string(f'<c r="{col}%s"{body}</c>', r, *values)
@@ -63,7 +64,7 @@ def book_files(spark, sf_dir):
         F.lit('<row r="'), r, F.lit('">'),
         cell("A", "><v>%s</v>", F.col("p_partkey").cast("string")),
         cell("B", ' t="inlineStr"><is><t>%s</t></is>', escaped),
-        cell("C", ' t="s"><v>%s</v>', (F.col("p_partkey") % _ROWS + 1).cast("string")),
+        cell("C", ' t="s"><v>%s</v>', (F.col("p_partkey") % rows_each + 1).cast("string")),
         cell("D", ' s="1"><v>%s</v>', (F.col("p_partkey") % 5000 + 36526).cast("string")),
         cell("E", ' t="b"><v>%s</v>', (F.col("p_size") % 2).cast("string")),
         cell("F", ' t="str"><v>%s</v>', F.concat(F.col("p_size").cast("string"), F.lit(","), F.lit("500"))),
@@ -95,24 +96,32 @@ _NAME = "replace(replace(p_name, 'r', '&'), 'l', '<')"
 _SINCE = "strftime(TIMESTAMP '2000-01-01' + to_days(CAST(p_partkey % 5000 AS INT)), '%Y-%m-%d %H:%M:%S')"
 
 
-@query(
-    "workbook_scan",
-    f"""
-    WITH p AS (SELECT *, concat({BOOK}, '.xlsx') AS workbook, CAST(p_partkey % {_ROWS} + 3 AS INT) AS r FROM part)
+def _cells_sql(rows_each: int) -> str:
+    return f"""
+    WITH p AS (SELECT *, concat({chunk_name("/books/parts_", "p_partkey", rows_each)}, '.xlsx') AS workbook, CAST(p_partkey % {rows_each} + 3 AS INT) AS r FROM part)
     SELECT workbook, 'Parts' AS sheet, r, 1 AS c, CAST(p_partkey AS STRING) AS value, 'number' AS kind FROM p
     UNION ALL SELECT workbook, 'Parts', r, 2, {_NAME}, 'string' FROM p
     UNION ALL SELECT workbook, 'Parts', r, 3, concat(p_brand, ' / ', p_type), 'string' FROM p
     UNION ALL SELECT workbook, 'Parts', r, 4, {_SINCE}, 'date' FROM p
     UNION ALL SELECT workbook, 'Parts', r, 5, CASE WHEN p_size % 2 = 1 THEN 'True' ELSE 'False' END, 'bool' FROM p
     UNION ALL SELECT workbook, 'Parts', r, 6, concat(CAST(p_size AS STRING), ',500'), 'string' FROM p
-    """,
-)
+    """
+
+
+@query("workbook_scan", _cells_sql(_ROWS))
 def workbook_scan(spark, sf_dir):
     """Shared, inline and formula strings, numbers, dates and flags out of zipped XML."""
     cells = parse_workbooks(book_files(spark, sf_dir)).cells
     return cells.where(F.col("r") > 2)
 
 
+@query("workbook_one_sheet", _cells_sql(_ALL))
+def workbook_one_sheet(spark, sf_dir):
+    """All parts on one sheet with one table of strings, walked in pieces."""
+    cells = parse_workbooks(stage(book_files(spark, sf_dir, _ALL))).cells
+    return cells.where(F.col("r") > 2)
+
+
 @query(
     "workbook_merges",
     f"""

@@ -2,8 +2,9 @@
 
 Python only unpacks the zip and walks the XML; shared strings, styles, dates and
 kinds are resolved by Spark joins and expressions. The packed sheets are handed out
-one by one, so a workbook that holds most of the data is parsed by as many tasks as
-it has sheets, each streaming through its sheet in constant memory.
+one by one. A large sheet, or table of strings, is inflated by one task, which is quick, and cut
+between rows into pieces that begin with the sheet's own opening and know the number of the row
+before them; so the walk through one sheet is shared by many tasks, each in constant memory.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,8 +32,11 @@ ship_by_value(__name__)
 SUFFIXES = ("xlsx", "xlsm")
 BATCH = 20_000
 CHUNK = 1 << 20
+PIECE = 2 << 20  # bytes of XML in a piece of a large part; a longer row makes a longer piece
+SPLIT_PART = 256 << 10  # packed bytes from which a part is cut
 
 PART_DDL = "workbook string, part string, method int, data binary, error string"
+PIECE_DDL = "workbook string, part string, method int, data binary, error string, before int, piece int"
 EVENT_DDL = "workbook string, part string, what string, r int, ref string, type string, style int, text string"
 
 # --- fixed values: number formats that show a date or time
@@ -69,18 +74,95 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["workbook", "part", "method", "data", "error"])
 
 
-def _walk(data: bytes, method: int) -> Iterator[tuple]:
-    """``(what, r, ref, type, style, text)`` of one XML part, streamed."""
+def _inflated(data: bytes, method: int) -> Iterator[bytes]:
+    inflate = zlib.decompressobj(-15) if method == zipfile.ZIP_DEFLATED else None
+    for at in range(0, len(data), CHUNK):
+        rest = data[at : at + CHUNK]
+        if not inflate:
+            yield rest
+            continue
+        while some := inflate.decompress(rest, PIECE):  # what is packed tightly comes out bit by bit
+            yield some
+            rest = inflate.unconsumed_tail
+
+
+def _cut(data: bytes, method: int, element: str) -> Iterator[tuple[int, bytes]]:
+    """``(number of the last element before, XML)`` of a part cut between elements; what precedes the first one opens every piece."""
+    opening = re.compile(rf"<((?:[\w.-]+:)?){element}(?=[\s/>])".encode())
+    head, close, tag, held, before = None, b"", None, b"", 0
+    for some in _inflated(data, method):
+        held += some
+        if head is None:
+            found = opening.search(held)
+            if not found:
+                continue
+            name = found[1] + element.encode()
+            close, tag = b"</" + name + b">", re.compile(b"<" + re.escape(name) + rb"(?=[\s/>])([^>]*)>")
+            head, held = held[: found.start()], held[found.start() :]
+        while len(held) >= PIECE:
+            end = _safe_end(held, close)
+            if not end:
+                break
+            yield before, head + held[:end]
+            before, held = _last_number(tag, held[:end], before), held[end:]
+    yield before, (head or b"") + held
+
+
+def _safe_end(text: bytes, close: bytes) -> int:
+    """The end of the last element that is closed outside comments and literal sections; 0 if there is none."""
+    end = text.rfind(close)
+    while end >= 0:
+        literal = max(text.rfind(b"<![CDATA[", 0, end), text.rfind(b"<!--", 0, end))
+        if literal < 0 or max(text.find(b"]]>", literal, end), text.find(b"-->", literal, end)) >= 0:
+            return end + len(close)
+        end = text.rfind(close, 0, literal)
+    return 0
+
+
+def _last_number(tag: re.Pattern, text: bytes, before: int) -> int:
+    """The number of the last element: those without one count on from the element before."""
+    found = tag.findall(text)
+    for after, attributes in enumerate(reversed(found)):
+        own = re.search(rb"""(?:^|\s)r\s*=\s*["'](\d+)["']""", attributes)
+        if own:
+            return int(own[1]) + after
+    return before + len(found)
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Large sheets and string tables in pieces, other parts as they are."""
+    import pandas as pd
+
+    columns = ["workbook", "part", "method", "data", "error", "before", "piece"]
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            element = "row" if (row.part or "").startswith("xl/worksheets/") else "si" if row.part == "xl/sharedStrings.xml" else None
+            if row.error is not None or element is None or len(row.data) < SPLIT_PART:
+                yield pd.DataFrame([(*row, 0, 0)], columns=columns)
+                continue
+            n = 0
+            try:
+                for n, (before, piece) in enumerate(_cut(row.data, int(row.method), element)):
+                    yield pd.DataFrame([(row.workbook, row.part, zipfile.ZIP_STORED, piece, None, before, n)], columns=columns)
+            except Exception as problem:
+                error = f"{type(problem).__name__}: {problem}"[:500]
+                yield pd.DataFrame([(row.workbook, row.part, None, None, error, 0, n + 1)], columns=columns)
+
+
+def _walk(data: bytes, method: int, before: int = 0) -> Iterator[tuple]:
+    """``(what, r, ref, type, style, text)`` of one XML part or a piece of it, streamed; rows or strings are numbered on from ``before``."""
     from xml.etree.ElementTree import XMLPullParser
 
     parser = XMLPullParser(["start", "end"])
-    inflate = zlib.decompressobj(-15) if method == zipfile.ZIP_DEFLATED else None
-    row = ordinal = col = 0
+    row = ordinal = before
+    col = 0
     path: list = []
     text: list[str] = []
-    for at in range(0, len(data), CHUNK):
-        piece = data[at : at + CHUNK]
-        parser.feed(inflate.decompress(piece) if inflate else piece)
+    for some in chain(_inflated(data, method), [b""]):
+        if some:
+            parser.feed(some)
+        elif hasattr(parser, "flush"):
+            parser.flush()  # newer parsers put off what comes in small feeds
         for event, el in parser.read_events():
             tag = el.tag.rpartition("}")[2]
             if event == "start":
@@ -140,13 +222,13 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     columns = ["workbook", "part", "what", "r", "ref", "type", "style", "text"]
     for batch in batches:
-        for book, part, method, data, error in batch.itertuples(index=False):
+        for book, part, method, data, error, before, _ in batch.itertuples(index=False):
             rows: list[tuple] = []
             if error is not None:
                 rows.append((book, part, "error", 0, None, None, 0, error))
             else:
                 try:
-                    for event in _walk(data, int(method)):
+                    for event in _walk(data, int(method), int(before)):
                         rows.append((book, part, *event))
                         if len(rows) >= BATCH:
                             yield pd.DataFrame(rows, columns=columns)
@@ -169,8 +251,12 @@ def parse_workbooks(files: DataFrame) -> Workbooks:
     """``files(path, content)`` → relations. The parsed XML is staged once for all of them."""
     suffix = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     readable = files.where(suffix.isin(*SUFFIXES))
+    spark = files.sparkSession
     parts = readable.mapInPandas(_unpack, PART_DDL).repartition("workbook", "part")
-    events = stage(parts.mapInPandas(_parse, EVENT_DDL))
+    # a number of its own: the pieces of one workbook are few bytes and much work
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    pieces = parts.mapInPandas(_pieces, PIECE_DDL).repartition(tasks, "workbook", "part", "piece")
+    events = stage(pieces.mapInPandas(_parse, EVENT_DDL))
     refused = files.where(~suffix.isin(*SUFFIXES)).select(
         F.col("path").alias("workbook"),
         F.concat(F.lit("unsupported file format ."), suffix, F.lit("; only .xlsx and .xlsm are read")).alias("error"),
