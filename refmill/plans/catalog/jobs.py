@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ...operators import extract as X
 from ...operators import gates as G
 from ...session import scratch_path, stage
 from ...sources import config as CFG
-from ...sources.files import read_csv, read_json, read_native
+from ...sources.files import hash_files, read_csv, read_json, read_native
 from ...sources.registry import REGISTRY_DDL, lookup
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory, watch_landing
@@ -157,6 +160,97 @@ def written_tables(spark, sf_dir):
     return manifest.join(stored, manifest["status"] == "ok", "left").select("table", "status", "rows", "columns", "stored")
 
 
+@query(
+    "fail_fast",
+    "SELECT 'fail_fast' AS on_error, TRUE AS raised, FALSE AS written, count(*) * 6 AS cells FROM part",
+)
+def fail_fast(spark, sf_dir):
+    """A table that can't be made stops the others under this policy, before anything is written; ``written_tables`` goes on instead."""
+    books, path = parse_workbooks(stage(book_files(spark, sf_dir))), scratch_path(spark, "policy")
+    common = {"sheet_name": "Parts", "table_type": "simple", "header_rows": [1, 2], "data_start_row": 3}
+    sheets = [
+        {**common, "output_name": "ambiguous", "unpivot": True, "unpivot_var_name": "V", "unpivot_value_name": "V"},
+        {**common, "output_name": "parts"},
+    ]
+    config = {"config_name": "parts", "config_version": "1", "settings": {"on_error": "fail_fast"}, "sheets": sheets}
+    try:
+        E.save_all(spark, E.extract_all(books, config)[0], config, path, "parquet", "part")
+        raised = False
+    except AnalysisException:  # what the first table raised, as it is
+        raised = True
+    written = Store(spark, path).exists(path)
+    cells = books.cells.where("r > 2").agg(F.count("*").alias("cells"))
+    return cells.select(F.lit("fail_fast").alias("on_error"), F.lit(raised).alias("raised"), F.lit(written).alias("written"), "cells")
+
+
+@query(
+    "file_hashes",
+    """
+    SELECT CAST(s_nationkey AS STRING) AS nation, sum(strlen(concat(s_suppkey, ',', s_name)) + 1)::BIGINT AS bytes,
+           sha256(concat(string_agg(concat(s_suppkey, ',', s_name), chr(10) ORDER BY s_suppkey), chr(10))) AS sha256
+    FROM supplier GROUP BY s_nationkey
+    """,
+)
+def file_hashes(spark, sf_dir):
+    """Hashes of real files, one per nation, those of few bytes as rows and the others streamed through the digest."""
+    path = scratch_path(spark, "hashed")
+    lines = table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey", F.concat("s_suppkey", F.lit(","), "s_name").alias("value"))
+    ordered = lines.repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey")
+    ordered.select("s_nationkey", "value").write.partitionBy("s_nationkey").text(path)
+    found = hash_files(spark, path, max_content=150)
+    return found.select(F.regexp_extract("path", "s_nationkey=([0-9]+)", 1).alias("nation"), "bytes", "sha256")
+
+
+@query(
+    "rolled_back",
+    """
+    WITH n AS (SELECT count(*) AS c FROM orders)
+    SELECT 'live' AS what, CAST(3 AS BIGINT) AS version, 'F' AS status, count(*) AS orders FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'version', 1, 'F', count(*) FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'version', 2, 'O', count(*) FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'expired', 2, NULL, NULL FROM n
+    """,
+)
+def rolled_back(spark, sf_dir):
+    """Two versions are published, the first is made live again, both are read, and only the files of the second may go."""
+    root = scratch_path(spark, "versions")
+    store, registry = Store(spark, f"{root}/store"), registry_rows(spark, root, ["orders"], "parquet", timetravel_retention_days=30)
+    contract = (*ORDER_CONTRACT, G.ContractColumn(4, "o_orderstatus", "string"))
+    orders = table(spark, sf_dir, "orders").select(*NAMES, "o_orderstatus")
+    for n, status in enumerate("FO"):
+        landing = f"{root}/landing/orders/{status}"
+        orders.where(F.col("o_orderstatus") == status).write.parquet(landing)
+        load_file(store, registry, "orders", landing, LoadRules(contract), now=NOW + timedelta(days=n))
+    version = store.roll_back("orders", 1, NOW + timedelta(days=2))
+
+    def counted(what: str, number: int, df):
+        grouped = df.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("orders"))
+        return grouped.select(F.lit(what).alias("what"), F.lit(number).cast("bigint").alias("version"), "status", "orders")
+
+    late = F.lit((NOW + timedelta(days=90)).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp")
+    expired = store.expired(registry, late).select(
+        F.lit("expired").alias("what"), "version", F.lit(None).cast("string").alias("status"), F.lit(None).cast("bigint").alias("orders")
+    )
+    read = [counted("version", n, store.read_version("orders", n)) for n in (1, 2)]
+    return counted("live", version, store.read_live("orders")).unionByName(read[0]).unionByName(read[1]).unionByName(expired)
+
+
+@query(
+    "compacted_appends",
+    "SELECT year(o_orderdate)::INTEGER AS year, count(*) AS attempts, sum(o_custkey)::BIGINT AS customers, TRUE AS few_files FROM orders GROUP BY 1",
+)
+def compacted_appends(spark, sf_dir):
+    """All orders in five appends to a table in folders by year: every folder keeps all its rows in fewer files than there were appends."""
+    path = scratch_path(spark, "appended")
+    orders = stage(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("year")))
+    for n in range(5):
+        A.append_rows(spark, path, orders.where(F.col("o_orderkey") % 5 == n), "year", compact_from=3)
+    found = spark.read.parquet(path).groupBy("year").agg(
+        F.count("*").alias("attempts"), F.sum("o_custkey").alias("customers"), (F.count_distinct("_metadata.file_path") < 3).alias("few_files")
+    )
+    return found.select("year", "attempts", "customers", "few_files")
+
+
 # --------------------------------------------------------------------------- arriving files
 STATUSES = ("F", "O", "P")
 

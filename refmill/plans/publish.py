@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .audit import APPENDING, expired_versions, live_versions
+from .audit import APPENDING, append_rows, expired_versions, file_system, live_versions
 
 PUBLICATIONS_DDL = """
   dataset_id string, version bigint, label string, path string, `rows` bigint, sha256 string,
@@ -40,7 +40,7 @@ class Store:
         return "/".join([self.root, *parts])
 
     def exists(self, path: str) -> bool:
-        fs, target = _file_system(self.spark, path)
+        fs, target = file_system(self.spark, path)
         return fs.exists(target)
 
     def read_or_empty(self, name: str, ddl: str) -> DataFrame:
@@ -53,7 +53,7 @@ class Store:
         """A folder of this store's own, with all in it, if it is there."""
         if not path.startswith(self.root + "/"):
             raise ValueError(f"{path} is not in the store")
-        fs, target = _file_system(self.spark, path)
+        fs, target = file_system(self.spark, path)
         fs.delete(target, True)
 
     def append(self, name: str, rows: DataFrame) -> None:
@@ -92,7 +92,7 @@ class Store:
             raise LookupError(f"no version {version} of {dataset_id!r}")
         newest = self.latest(dataset_id)
         row = {**old[0].asDict(), "version": newest["version"] + 1, "published_at": at}
-        self.append("publications", self.spark.createDataFrame([row], PUBLICATIONS_DDL))
+        self.publish_pointer(row)
         return row["version"]
 
     def live(self) -> DataFrame:
@@ -128,18 +128,14 @@ class Store:
             return self.spark.read.parquet(self.path("snapshots", cfg["history_table"])).where(F.col(LABEL) == label)
         return self.spark.read.parquet(self.path("snapshots", f"{cfg['target_table']}_{label}"))
 
-    def publish_pointer(self, row: Mapping[str, Any]) -> None:
-        self.append("publications", self.spark.createDataFrame([dict(row)], PUBLICATIONS_DDL))
+    def publish_pointer(self, *rows: Mapping[str, Any]) -> None:
+        """Publications lie in folders by dataset, so that finding a dataset's live version reads that folder alone."""
+        made = self.spark.createDataFrame([dict(r) for r in rows], PUBLICATIONS_DDL)
+        append_rows(self.spark, self.path("publications"), made, "dataset_id")
 
     def move(self, source: str, target: str) -> None:
-        fs, src = _file_system(self.spark, source)
-        _, dst = _file_system(self.spark, target)
+        fs, src = file_system(self.spark, source)
+        _, dst = file_system(self.spark, target)
         fs.mkdirs(dst.getParent())
         if not fs.rename(src, dst):
             raise OSError(f"could not move {source} to {target}")
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..session import ship_by_value
 from . import ranges
 
-# Largest file whose bytes fit one row; a larger one is read in pieces.
-MAX_CONTENT = 2_147_483_647 - 64
+# Largest file whose bytes are taken as one row; larger ones are read in pieces, so a task needs little memory.
+MAX_CONTENT = 16 << 20
 _PIECE = 8 << 20
 
 ship_by_value(__name__)
@@ -64,7 +64,7 @@ def hash_files(spark: SparkSession, path: str, max_content: int = MAX_CONTENT) -
     """``(path, name, bytes, sha256)`` of all files below ``path``, of any size.
 
     One task reads one file at a time, so hashing spreads over the files. Files of over
-    ``max_content`` bytes don't fit a row and are read in pieces.
+    ``max_content`` bytes are streamed through the digest, from any file system Arrow knows.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1).alias("name")
