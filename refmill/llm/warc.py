@@ -118,7 +118,8 @@ def op5_merkle_fixity(spark, sf_dir):
     """Audit of two replicas of all pages as WARC files.
 
     The second replica has lost the records of pages whose id leaves 1 divided by 53, and in
-    those that leave 0 the first character of the page reads differently.
+    those that leave 0 the first character of the page reads differently. Pages without a page_id have no record id and
+    are in neither replica.
     """
     pages = read_table(spark, sf_dir, "pages")
     whole = record_text(F.col("page_id"), F.col("url"), F.col("html"))

@@ -86,3 +86,12 @@ def test_offsets_are_running_totals_of_lengths(spark):
 
 def test_empty_replicas(spark):
     assert warc.audit(table(spark, []), table(spark, [])).count() == 0
+
+
+def test_query_on_odd_pages(spark, tmp_path):
+    """Pages without an id are in no replica; null texts, repeated ids and rows are records like others."""
+    rows = [(i, f"http://x/{i}", f"<p>{i}</p>") for i in range(1, 160)] + [(None, "http://x", "y"), (53, None, None), (106, "u", ""), (106, "u", ""), (54, "v", None)]
+    spark.createDataFrame([(*r, "z") for r in rows], "page_id bigint, url string, html string, sha256 string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [(r.page_id, r.status) for r in warc.op5_merkle_fixity(spark, str(tmp_path)).collect()]
+    want = [(i, "changed") for i in (53, 53, 106, 106, 106, 159)] + [(i, "missing") for i in (1, 54, 54, 107)]
+    assert sorted(got) == sorted(want)
