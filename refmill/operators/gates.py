@@ -151,17 +151,13 @@ def pii_scan(
     """
     columns = list(columns or [n for n, t in df.dtypes if t == "string"])
     texts = df.select(*[F.col(f"`{c}`") for c in columns])
-    detectors: dict[str, tuple[float, Column]] = {}
-    for name, (score, pattern) in PII_PATTERNS.items():
-        hit = F.col("text").rlike(pattern)
-        detectors[name] = (score, F.col("text").contains(PII_HINTS[name]) & hit if name in PII_HINTS else hit)
-    for name, (score, detect) in {**ADDRESS_DETECTORS, **(extra or {})}.items():
-        detectors[name] = (score, detect(F.col("text")))
+    detectors = pii_detectors(extra)
+    hits = {name: detect(F.col("text")) for name, (_, detect) in detectors.items()}
     if len(columns) == 1:
         long = texts.select(F.lit(columns[0]).alias("column_name"), F.col(f"`{columns[0]}`").alias("text"))
     else:
         long = texts.unpivot([], [F.col(f"`{c}`") for c in columns], "column_name", "text")
-    counted = long.groupBy("column_name").agg(*[F.count_if(hit).alias(n) for n, (_, hit) in detectors.items()])
+    counted = long.groupBy("column_name").agg(*[F.count_if(hit).alias(n) for n, hit in hits.items()])
     rows = F.array(
         *[
             F.struct(F.lit(n).alias("entity"), F.lit(float(score)).alias("score"), F.col(n).alias("hits"))
@@ -171,6 +167,20 @@ def pii_scan(
     return counted.select("column_name", F.inline(rows)).where(F.col("hits") > 0)
 
 
+def pii_detectors(extra: Mapping[str, tuple[float, Detector]] | None = None) -> dict[str, tuple[float, Detector]]:
+    """All detectors by entity: patterns, addresses, the caller's.
+
+    entity → (score, text → boolean)
+    """
+
+    def by_pattern(name: str, pattern: str) -> Detector:
+        hint = PII_HINTS.get(name)
+        return lambda text: text.contains(hint) & text.rlike(pattern) if hint else text.rlike(pattern)
+
+    found: dict[str, tuple[float, Detector]] = {n: (score, by_pattern(n, pattern)) for n, (score, pattern) in PII_PATTERNS.items()}
+    return {**found, **ADDRESS_DETECTORS, **(extra or {})}
+
+
 def blocking(findings: DataFrame, threshold: float = PII_THRESHOLD) -> DataFrame:
     return findings.where(F.col("score") >= threshold)
 
@@ -212,6 +222,11 @@ def unique_excess(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess"))
 
 
+def dq_failed(rule: Mapping[str, Any]) -> Column:
+    """Whether a rule other than ``unique`` fails, as an aggregate."""
+    return _dq_check(rule)["failed"]
+
+
 def _dq_check(rule: Mapping[str, Any]) -> Column:
     kind, name, low, high = rule["kind"], rule.get("column"), rule.get("min"), rule.get("max")
     col = F.col(f"`{name}`") if name else None

@@ -107,8 +107,15 @@ class Store:
         return gone.join(kept, "path", "left_anti")
 
     # ------------------------------------------------------------------ writes
+    def version_path(self, table: str, version: int) -> str:
+        return self.path("live", table, f"v={version}")
+
+    def write_versions(self, table: str, df: DataFrame, number: str) -> None:
+        """Several versions in one write, each in its folder; folders left by a broken run are replaced, others stay."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(number).parquet(self.path("live", table))
+
     def write_version(self, table: str, version: int, df: DataFrame) -> str:
-        path = self.path("live", table, f"v={version}")
+        path = self.version_path(table, version)
         df.write.mode("overwrite").parquet(path)
         return path
 

@@ -60,7 +60,7 @@ def _hash_in_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(sha256=found)
 
 
-def hash_files(spark: SparkSession, path: str, max_content: int = MAX_CONTENT) -> DataFrame:
+def hash_files(spark: SparkSession, path: str | list[str], max_content: int = MAX_CONTENT) -> DataFrame:
     """``(path, name, bytes, sha256)`` of all files below ``path``, of any size.
 
     One task reads one file at a time, so hashing spreads over the files. Files of over

@@ -86,7 +86,7 @@ def _changes(files: pa.Array, blocks: pa.Array) -> list[int]:
     return [i + 1 for i, differs in enumerate(other.to_pylist()) if differs]
 
 
-def _chunks(spark: SparkSession, path: str, separator: str, ending: str, size: int, measure: Callable[[str], tuple]) -> DataFrame:
+def _chunks(spark: SparkSession, path: str | list[str], separator: str, ending: str, size: int, measure: Callable[[str], tuple]) -> DataFrame:
     """``file, block, chunk, text`` and the sums of ``measure`` over a drop, staged."""
     lines = spark.read.option("lineSep", separator).text(path)
     pieces = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
@@ -123,7 +123,8 @@ def _records(cut: Callable, whole: bool):
                 begins = r["block"] == 0 and r["chunk"] == 0
                 if whole:
                     first = [begins and filled[:1] == [n] for n in range(len(records))]
-                    yield pa.RecordBatch.from_arrays([pa.array(records, pa.string()), pa.array(first, pa.bool_())], ["value", "first"])
+                    files = pa.array([r["file"]] * len(records), pa.string())
+                    yield pa.RecordBatch.from_arrays([files, pa.array(records, pa.string()), pa.array(first, pa.bool_())], ["file", "value", "first"])
                     continue
                 parts = []
                 if head is not None:
@@ -140,16 +141,16 @@ def _records(cut: Callable, whole: bool):
 
 
 def _read_records(chunks: DataFrame, states: DataFrame, cut: Callable, joint: str) -> DataFrame:
-    """``value, first`` of all records; ``first`` marks the first of a file."""
+    """``file, value, first`` of all records; ``first`` marks the first of a file."""
     placed = chunks.select(*_KEY, "text").join(states, _KEY)
-    whole = placed.mapInArrow(_records(cut, True), "value string, first boolean")
+    whole = placed.mapInArrow(_records(cut, True), "file string, value string, first boolean")
     parts = placed.where("crosses").mapInArrow(
         _records(cut, False), "file string, open_block bigint, open_chunk int, block bigint, chunk int, part int, text string, first boolean"
     )
     # at most two parts a chunk, put together by the record they are of
     ordered = F.array_sort(F.collect_list(F.struct("block", "chunk", "part", "text")))
     joined = parts.groupBy("file", *_OPEN).agg(F.array_join(ordered["text"], joint).alias("value"), F.max("first").alias("first"))
-    return whole.unionByName(joined.select("value", "first"))
+    return whole.unionByName(joined.select("file", "value", "first"))
 
 
 # --------------------------------------------------------------------------- CSV
@@ -233,19 +234,28 @@ def _csv_follow(entries: list[dict]) -> Iterator[tuple]:
         inside = after > 0
 
 
+def csv_records(spark: SparkSession, path: str | list[str], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``file, value, first``: every record of the files as it is written, blank ones too; ``first`` marks each file's header."""
+    chunks = _chunks(spark, path, "\n", "", chunk_bytes, _csv_measure)
+    lead = F.col("text").rlike(r"^[^\r\n]*\r(\n|$)").cast("int")
+    states = _followed(chunks.withColumn("lead", lead), _csv_follow, "lead")
+    return _read_records(chunks, states, _csv_cut, "\n")
+
+
+def csv_fields(value, names: list[str], null_value: str = ""):
+    """A record's fields under the given names, all text."""
+    columns = ", ".join(f"`{c.replace('`', '``')}` string" for c in names)
+    return F.from_csv(value, columns, {"escape": '"', "multiLine": "true", "nullValue": null_value})
+
+
 def read_csv_ranges(spark: SparkSession, path: str, schema: list[str], null_value: str = "", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Text columns of the given names from files with a header each; lines of a file end as its first one does, in ``\\n`` or ``\\r\\n``.
 
     Quoted values may hold commas, doubled quotes and line breaks. Equal to Spark's own reader of whole files, to which
     the line break of a file is ``\\n`` in values too.
     """
-    chunks = _chunks(spark, path, "\n", "", chunk_bytes, _csv_measure)
-    lead = F.col("text").rlike(r"^[^\r\n]*\r(\n|$)").cast("int")
-    states = _followed(chunks.withColumn("lead", lead), _csv_follow, "lead")
-    kept = _read_records(chunks, states, _csv_cut, "\n").where(~F.col("first") & (F.col("value") != ""))
-    columns = ", ".join(f"`{c.replace('`', '``')}` string" for c in schema)
-    parsed = F.from_csv("value", columns, {"escape": '"', "multiLine": "true", "nullValue": null_value})
-    return kept.select(parsed.alias("r")).select("r.*")
+    kept = csv_records(spark, path, chunk_bytes).where(~F.col("first") & (F.col("value") != ""))
+    return kept.select(csv_fields("value", schema, null_value).alias("r")).select("r.*")
 
 
 # --------------------------------------------------------------------------- JSON

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import audit as A
-from ..plans.load import LoadRules, load_file
+from ..plans.load import LoadRules, load_files
 from ..plans.publish import Store
 from ..sources.files import FILES_DDL, shape_listing
 from ..sources.registry import effective_registry
@@ -84,7 +84,7 @@ def load_open(
 ) -> None:
     """Load what has arrived and isn't loaded: new files, failed loads, files whose dataset or rules came later.
 
-    Files of one dataset are loaded in the order they arrived; ``at_once`` datasets are
+    Files of one dataset are loaded in the order they arrived, those in order together; ``at_once`` datasets are
     worked on side by side. A failed load is recorded as ERROR and stays open.
     """
     arrived = store.read_or_empty("arrivals", ARRIVALS_DDL)
@@ -95,13 +95,8 @@ def load_open(
         by_dataset.setdefault(item["dataset_id"], []).append(item)
 
     def load(dataset: str) -> None:
-        for item in by_dataset[dataset]:
-            try:
-                row = load_file(
-                    store, registry, dataset, item["path"], rules[dataset], run_id=item["run_id"], raise_on_reject=False
-                )
-            except Exception as error:  # recorded as ERROR by the load; the next file goes on
-                row = {"dataset_id": dataset, "status": "ERROR", "error": str(error)}
+        files = [(item["path"], item["run_id"]) for item in by_dataset[dataset]]
+        for row in load_files(store, registry, dataset, files, rules[dataset]):
             if on_result:
                 on_result(row)
 
