@@ -11,13 +11,13 @@ from ...operators import extract as X
 from ...operators import gates as G
 from ...session import scratch_path, stage
 from ...sources import config as CFG
-from ...sources.files import hash_files, read_csv, read_json, read_native
+from ...sources.files import hash_files, listing, read_csv, read_json, read_native
 from ...sources.registry import REGISTRY_DDL, lookup
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory, watch_landing
 from .. import audit as A
 from .. import extraction as E
-from ..load import LoadRules, load_file
+from ..load import LoadRules, load_file, load_files
 from ..publish import Store
 from .base import Cell, Grid, chunk_name, query, select, table
 from .books import book_files
@@ -251,6 +251,28 @@ def compacted_appends(spark, sf_dir):
     return found.select("year", "attempts", "customers", "few_files")
 
 
+@query(
+    "many_small_files",
+    """
+    SELECT 'SUCCESS' AS status, 100::BIGINT AS files, 100::BIGINT AS versions, count(*)::BIGINT AS "rows", sum(o_custkey)::BIGINT AS customers FROM orders
+    """,
+)
+def many_small_files(spark, sf_dir):
+    """All orders as a hundred files of one dataset, checked and published together: every file has its record and its version."""
+    root = scratch_path(spark, "many")
+    orders = table(spark, sf_dir, "orders").select(*NAMES).repartition(100, F.pmod(F.xxhash64("o_orderkey"), F.lit(100)))
+    numbered = orders.withColumn("part", F.pmod(F.xxhash64("o_orderkey"), F.lit(100)))
+    numbered.write.option("header", True).partitionBy("part").csv(f"{root}/landing")
+    listed = sorted(r.path for r in listing(spark, f"{root}/landing").select("path").collect())  # a hundred
+    store, registry = Store(spark, f"{root}/store"), registry_rows(spark, root, ["orders"], "csv")
+    load_files(store, registry, "orders", [(p, f"run-{n}") for n, p in enumerate(listed)], LoadRules(ORDER_CONTRACT), now=NOW)
+    history = A.read_history(spark, store.path("history")).groupBy("status").agg(
+        F.count("*").alias("files"), F.count_distinct("version").alias("versions"), F.sum("row_count").alias("rows")
+    )
+    published = spark.read.parquet(store.path("live")).agg(F.sum("o_custkey").alias("customers"), F.lit("SUCCESS").alias("status"))
+    return history.join(published, "status").select("status", "files", "versions", "rows", "customers")
+
+
 # --------------------------------------------------------------------------- arriving files
 STATUSES = ("F", "O", "P")
 
