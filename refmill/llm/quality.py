@@ -51,7 +51,7 @@ LABELLERS = (
     Labeller("capitals", 0.25, 0.12),
     Labeller("echoes", 0.08, 0.02),
     Labeller("top_word", 0.2, 0.12),
-    Labeller("distinct", 0.25, 0.45),
+    Labeller("distinct", 0.15, 0.4),
     Labeller("word_length", 16.0, 10.0),
     Labeller("shouts", 0.08, 0.02),
     Labeller("sentence_ends", 0.015, 0.04),
