@@ -22,6 +22,8 @@ from . import reshape as R
 from . import typing as TY
 
 ROW_KEY = ["workbook", "sheet", "block", "r"]
+CELLS_PER_TASK = 1_500_000  # of those that one task puts together to rows
+CELLS_PER_FILE = 500_000
 CELL_TYPE = "struct<value: string, kind: string>"
 
 
@@ -44,12 +46,12 @@ def records(
     """``(workbook, sheet, block, r, c, header, value, kind)`` for cells that carry data.
 
     ``cells`` holds this config's sheets with merged ranges filled. The labels are
-    joined by column; they are few next to the cells, and the adaptive planner
-    broadcasts them when their measured size allows, else splits a hot workbook.
+    joined by column, the ends by block; they are few next to the cells and staged, so the
+    planner knows their size and broadcasts them when it allows, else splits a hot workbook.
     """
     blocks = L.blocks_of(sheet)
     given = all(b.data_end is not None for b in blocks) and not end_from_first_block
-    ends = None if given else L.table_ends(cells, blocks, settings, end_from_first_block)
+    ends = None if given else stage(L.table_ends(cells, blocks, settings, end_from_first_block))
     if blocks[0].columns:
         labels = L.explicit_labels(cells, blocks[0])
         in_span = with_any_column(cells, blocks[0])
@@ -68,7 +70,7 @@ def records(
         else:
             bounded = cells.join(L.ends_by_sheet(ends), ["workbook", "sheet"])
             in_span = L.with_blocks(bounded, blocks, ends="ends")
-    return in_span.join(labels, [*L.BLOCK_KEY, "c"]).select(
+    return in_span.join(stage(labels), [*L.BLOCK_KEY, "c"]).select(
         *ROW_KEY,
         "c",
         "header",
@@ -84,16 +86,21 @@ def with_any_column(cells: DataFrame, block: L.Block) -> DataFrame:
     return found.withColumn("block", F.lit(block.number))
 
 
-def wide_rows(recs: DataFrame, headers: list[str]) -> DataFrame:
+def wide_rows(recs: DataFrame, headers: list[str], n_cells: int) -> DataFrame:
     """One row per (workbook, sheet, block, r) with an array ``cells``: ``{value, kind}`` per header.
 
     ``filled`` lists the row's cells with their places. A row's cells are gathered
     once, sorted by place, and each is followed by the nulls up to the next, so the
     work is in proportion to the width; a row is at most as wide as a legal sheet.
+    The headers come from the driver and go to the cells: dealing cells by header would
+    make a task of each header. Tasks are as many as the ``n_cells`` cells ask for.
     """
-    places = recs.sparkSession.createDataFrame(list(enumerate(headers)), "at int, header string")
+    spark = recs.sparkSession
+    places = spark.createDataFrame(list(enumerate(headers)), "at int, header string")
+    placed = recs.join(F.broadcast(places), "header").select(*ROW_KEY, "at", "value", "kind")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_cells // CELLS_PER_TASK))
     entry = F.struct("at", F.struct("value", "kind").alias("cell"))
-    rows = recs.join(places, "header").groupBy(*ROW_KEY).agg(
+    rows = placed.repartition(tasks, *ROW_KEY).groupBy(*ROW_KEY).agg(
         F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), entry))).alias("filled")
     )
     width = F.lit(len(headers))
@@ -116,22 +123,23 @@ def rightmost(recs: DataFrame) -> DataFrame:
     )
 
 
-def header_order(recs: DataFrame, blocks: list[L.Block]) -> tuple[list[str], int]:
-    """Distinct headers in sheet order, and how many of them the first block brings.
+def header_order(recs: DataFrame, blocks: list[L.Block]) -> tuple[list[str], int, int]:
+    """Distinct headers in sheet order, how many of them the first block brings, and the number of cells.
 
     Bounded by the width of a legal sheet, for each of the config's blocks.
     """
     found = (
         recs.groupBy("header")
-        .agg(F.min(F.struct("block", "c")).alias("at"))
+        .agg(F.min(F.struct("block", "c")).alias("at"), F.count(F.lit(1)).alias("cells"))
         .orderBy("at", "header")
         .collect()
     )
+    cells = sum(row["cells"] for row in found)
     listed = [name for b in blocks for _, name in b.columns]
     if listed:
-        return listed, len(listed)
+        return listed, len(listed), cells
     first = sum(row["at"]["block"] == found[0]["at"]["block"] for row in found)
-    return [row["header"] for row in found], first
+    return [row["header"] for row in found], first, cells
 
 
 def extract_table(
@@ -153,19 +161,20 @@ def extract_table(
     blocks = L.blocks_of(sheet)
     grid = cells.where(F.col("sheet") == sheet["sheet_name"])
     found = records(grid, sheet, settings, end_from_first_block)
-    recs = stage(found if settings.dedupe_headers and not blocks[0].columns else rightmost(found))
-    headers, first = header_order(recs, blocks)
+    recs = stage(found if settings.dedupe_headers and not blocks[0].columns else rightmost(found), CELLS_PER_FILE)
+    headers, first, n_cells = header_order(recs, blocks)
     if not headers:
         return Table(recs.select(*(ROW_KEY if provenance else [])).limit(0), (), {}, _empty_blocks(recs, grid, blocks))
     index = [c for c in sheet.get("index_columns") or [] if c]
 
-    wide = wide_rows(recs, headers)
+    wide = wide_rows(recs, headers, n_cells)
     if keep_blank_rows and not index and not blocks[0].columns:
         wide = _with_blank_rows(wide, grid, blocks, settings, end_from_first_block, len(headers))
     else:
         at = [i for i, h in enumerate(headers) if h in set(index)]
         wide = wide.where(F.exists("filled", lambda x: ~x["at"].isin(at)) if at else F.size("filled") > 0)
-    wide, columns = _block_columns(wide.drop("filled"), headers, first, blocks, sheet)
+    wide = stage(wide.drop("filled"))  # read for the types, then for the table
+    wide, columns = _block_columns(wide, headers, first, blocks, sheet)
     frame, columns, types = post_process(wide, columns, sheet, settings, unpivot_mode)
     lead = ["workbook", "sheet", "block", "r"] if provenance else []
     shaped = frame.selectExpr(*lead, *[TY.quoted(c) for c in columns])

@@ -67,13 +67,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, rows_per_file: int = 0) -> DataFrame:
     """Materialise a frame that several later actions read.
 
     With a shared folder it becomes a written table there: the lineage is cut, the
     loss of executors costs nothing, and later steps read only the columns and row
     groups they need, with real sizes for the planner. Without one, in one process as in
-    tests, the blocks are persisted; a cluster is refused.
+    tests, the blocks are persisted; a cluster is refused. ``rows_per_file`` keeps a reader's
+    tasks small where rows pack so tightly that a split by bytes would hold tens of millions.
     """
     spark = df.sparkSession
     if not shared_dir(spark):
@@ -81,7 +82,7 @@ def stage(df: DataFrame) -> DataFrame:
             raise RuntimeError("spark.checkpoint.dir is not set; blocks recomputed after a loss may differ, so data is not staged in them")
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = scratch_path(spark, "stage")
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
