@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import stage
 from ..sources.config import Settings
 from .ordered import RANGE_WIDTH
 
@@ -295,7 +296,7 @@ def table_ends(
     )
     if any(b.end_col is None for b in measured):
         spans = (
-            spans.join(block_widths(cells, measured, settings), BLOCK_KEY, "left")
+            spans.join(stage(block_widths(cells, measured, settings)), BLOCK_KEY, "left")
             .where(F.col("c") <= F.coalesce("last_col", "start_col"))
             .drop("last_col")
         )
