@@ -11,7 +11,7 @@ from ...operators import extract as X
 from ...operators import gates as G
 from ...session import scratch_path, stage
 from ...sources import config as CFG
-from ...sources.files import hash_files, listing, read_csv, read_json, read_native
+from ...sources.files import hash_files, join_parts, listing, read_csv, read_json, read_native
 from ...sources.registry import REGISTRY_DDL, lookup
 from ...sources.workbook import parse_workbooks
 from ...streaming.arrivals import watch_inventory, watch_landing
@@ -86,8 +86,8 @@ def unknown_format(spark, sf_dir):
 _GAPPED = "CASE turn % 7 WHEN 3 THEN NULL WHEN 5 THEN '' ELSE text END AS text"
 
 
-def _write_csv(rows, path: str) -> None:
-    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+def _write_csv(rows, path: str, header: bool = True) -> None:
+    kept = {"header": header, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     rows.write.options(**kept).csv(path)
 
 
@@ -103,22 +103,27 @@ def quoted_line_breaks(spark, sf_dir):
 @query("csv_one_file", "SELECT doc_id, text, lang FROM documents")
 def csv_one_file(spark, sf_dir):
     """All documents as one CSV file, read by ranges though its values hold line breaks."""
-    path = scratch_path(spark, "csv")
-    _write_csv(table(spark, sf_dir, "documents").select("doc_id", "text", "lang").coalesce(1), path)
+    parts, path = scratch_path(spark, "parts"), f"{scratch_path(spark, 'csv')}/documents.csv"
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "text", "lang")
+    header = spark.createDataFrame([("doc_id", "text", "lang")], documents.schema)
+    _write_csv(header.coalesce(1).unionByName(documents), parts, header=False)
+    join_parts(spark, parts, path)
     return read_csv(spark, path, split_from=0).select(F.col("doc_id").cast("bigint"), "text", "lang")
 
 
 @query("json_one_file", ORDERS_SQL)
 def json_one_file(spark, sf_dir):
     """All orders as one array in one file, read by ranges and brought to the contract."""
-    path = scratch_path(spark, "json")
+    path = f"{scratch_path(spark, 'json')}/orders.json"
     orders = table(spark, sf_dir, "orders")
     first = orders.agg(F.min("o_orderkey")).first()[0]
     listed = orders.select(F.col("o_orderkey") == F.lit(first), F.to_json(F.struct(*NAMES))).toDF("first", "object")
     opened = listed.where("first").select(F.concat(F.lit("["), "object").alias("value"))
     others = listed.where("NOT first").select(F.concat(F.lit(","), "object").alias("value"))
     closed = spark.range(1).select(F.lit("]").alias("value"))
-    opened.unionByName(others).unionByName(closed).coalesce(1).write.text(path)
+    parts = scratch_path(spark, "parts")
+    opened.unionByName(others).unionByName(closed).write.text(parts)
+    join_parts(spark, parts, path)
     return G.to_contract(read_json(spark, path, split_from=0), ORDER_CONTRACT).select(*NAMES)
 
 

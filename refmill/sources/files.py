@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +77,48 @@ def hash_files(spark: SparkSession, path: str | list[str], max_content: int = MA
     return small.unionByName(large.mapInPandas(_hash_in_pieces, "path string, name string, bytes bigint, sha256 string"))
 
 
+def _place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Copies each part to its place in the whole; a task that runs again writes the same bytes."""
+    import shutil
+
+    for batch in batches:
+        for part, whole, start in zip(batch["part"], batch["whole"], batch["start"]):
+            with open(part, "rb") as source, open(whole, "r+b") as target:
+                target.seek(int(start))
+                shutil.copyfileobj(source, target, _PIECE)
+        yield batch
+
+
+def join_parts(spark: SparkSession, folder: str, path: str) -> None:
+    """One file of the part files a write left in ``folder``, in their order, without a task that holds or reads them all.
+
+    On a mounted file system tasks copy the parts to their places side by side; others are asked to join them (``concat``).
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = [(s.getPath(), s.getLen()) for s in system.listStatus(place) if s.getLen() and s.getPath().getName().startswith("part-")]
+    listed.sort(key=lambda p: int(p[0].getName().split("-")[1]))
+    if system.getUri().getScheme() != "file":
+        first, *rest = [p for p, _ in listed]
+        if rest:
+            parts = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(rest))
+            for i, p in enumerate(rest):
+                parts[i] = p
+            system.concat(first, parts)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system.mkdirs(target.getParent())
+        system.rename(first, target)
+        return
+    whole = spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()
+    os.makedirs(os.path.dirname(whole), exist_ok=True)
+    open(whole, "wb").close()
+    starts = [0, *accumulate(n for _, n in listed)]
+    rows = [(p.toUri().getPath(), whole, start) for (p, _), start in zip(listed, starts)]
+    if rows:
+        kind = "part string, whole string, start bigint"
+        spark.createDataFrame(rows, kind).repartition(len(rows)).mapInPandas(_place, kind).count()
+
+
 def read_csv(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM, null_value: str = "") -> DataFrame:
     """Header row, every column text; types come later, from the contract.
 
