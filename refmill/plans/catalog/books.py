@@ -19,6 +19,7 @@ ship_by_value(__name__)
 
 _ROWS = 200
 _ALL = 1_000_000_000  # rows of a workbook that holds the whole table
+_BOOK_ROWS = 12_800  # of the workbooks that a task packs: their XML lies in one batch
 BOOK = chunk_name("/books/parts_", "p_partkey", _ROWS)
 _HEAD = '<?xml version="1.0" encoding="UTF-8"?>'
 _NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -71,7 +72,8 @@ def book_files(spark, sf_dir, rows_each: int = _ROWS):
         F.lit("</row>"),
     )
     shared = F.concat(F.lit("<si><r><t>"), "p_brand", F.lit("</t></r><r><t> / "), "p_type", F.lit("</t></r></si>"))
-    grouped = part.groupBy("path").agg(
+    tasks = max(spark.sparkContext.defaultParallelism, -(-part.count() // _BOOK_ROWS))
+    grouped = part.repartition(tasks, "path").groupBy("path").agg(
         F.array_sort(F.collect_list(F.struct("p_partkey", row.alias("row"), shared.alias("shared")))).alias("x")
     )
     header = (

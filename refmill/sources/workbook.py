@@ -52,10 +52,27 @@ class Workbooks:
     errors: DataFrame  # workbook, error
 
 
+def _framed(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows in frames of bounded size: a frame for each part would cost more than the part."""
+    import pandas as pd
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3]) if isinstance(row[3], bytes) else 0
+        if len(held) >= BATCH or size >= PIECE:
+            yield pd.DataFrame(held, columns=columns, dtype=object)
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(held, columns=columns, dtype=object)
+
+
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Still-compressed parts of each workbook, one row per part."""
-    import pandas as pd
+    yield from _framed(_parts(batches), ["workbook", "part", "method", "data", "error"])
+
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             rows = []
@@ -71,7 +88,7 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     raise ValueError("no workbook part in the file")
             except Exception as error:  # a broken file is a row, not a failed job
                 rows = [(path, None, None, None, f"{type(error).__name__}: {error}"[:500])]
-            yield pd.DataFrame(rows, columns=["workbook", "part", "method", "data", "error"])
+            yield from rows
 
 
 def _inflated(data: bytes, method: int) -> Iterator[bytes]:
@@ -131,22 +148,23 @@ def _last_number(tag: re.Pattern, text: bytes, before: int) -> int:
 
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Large sheets and string tables in pieces, other parts as they are."""
-    import pandas as pd
+    yield from _framed(_cut_parts(batches), ["workbook", "part", "method", "data", "error", "before", "piece"])
 
-    columns = ["workbook", "part", "method", "data", "error", "before", "piece"]
+
+def _cut_parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for batch in batches:
         for row in batch.itertuples(index=False):
             element = "row" if (row.part or "").startswith("xl/worksheets/") else "si" if row.part == "xl/sharedStrings.xml" else None
             if row.error is not None or element is None or len(row.data) < SPLIT_PART:
-                yield pd.DataFrame([(*row, 0, 0)], columns=columns)
+                yield (*row, 0, 0)
                 continue
             n = 0
             try:
                 for n, (before, piece) in enumerate(_cut(row.data, int(row.method), element)):
-                    yield pd.DataFrame([(row.workbook, row.part, zipfile.ZIP_STORED, piece, None, before, n)], columns=columns)
+                    yield row.workbook, row.part, zipfile.ZIP_STORED, piece, None, before, n
             except Exception as problem:
                 error = f"{type(problem).__name__}: {problem}"[:500]
-                yield pd.DataFrame([(row.workbook, row.part, None, None, error, 0, n + 1)], columns=columns)
+                yield row.workbook, row.part, None, None, error, 0, n + 1
 
 
 def _walk(data: bytes, method: int, before: int = 0) -> Iterator[tuple]:
@@ -218,25 +236,20 @@ def _column(ref: str) -> int:
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pandas as pd
+    yield from _framed(_events(batches), ["workbook", "part", "what", "r", "ref", "type", "style", "text"])
+
 
-    columns = ["workbook", "part", "what", "r", "ref", "type", "style", "text"]
+def _events(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for batch in batches:
         for book, part, method, data, error, before, _ in batch.itertuples(index=False):
-            rows: list[tuple] = []
             if error is not None:
-                rows.append((book, part, "error", 0, None, None, 0, error))
-            else:
-                try:
-                    for event in _walk(data, int(method), int(before)):
-                        rows.append((book, part, *event))
-                        if len(rows) >= BATCH:
-                            yield pd.DataFrame(rows, columns=columns)
-                            rows = []
-                except Exception as problem:
-                    rows.append((book, part, "error", 0, None, None, 0, f"{type(problem).__name__}: {problem}"[:500]))
-            if rows:
-                yield pd.DataFrame(rows, columns=columns)
+                yield book, part, "error", 0, None, None, 0, error
+                continue
+            try:
+                for event in _walk(data, int(method), int(before)):
+                    yield book, part, *event
+            except Exception as problem:
+                yield book, part, "error", 0, None, None, 0, f"{type(problem).__name__}: {problem}"[:500]
 
 
 def scan_workbooks(spark: SparkSession, path: str, recursive: bool = True) -> Workbooks:
@@ -262,7 +275,7 @@ def parse_workbooks(files: DataFrame) -> Workbooks:
         F.concat(F.lit("unsupported file format ."), suffix, F.lit("; only .xlsx and .xlsm are read")).alias("error"),
     )
     broken = events.where("what = 'error'").select("workbook", F.col("text").alias("error"))
-    sheets = _sheets(events)
+    sheets = stage(_sheets(events))  # few next to the cells, of a size the planner then knows
     return Workbooks(stage(_cells(events, sheets)), _merges(events, sheets), sheets.drop("part"), refused.unionByName(broken))
 
 
@@ -323,8 +336,8 @@ def _cells(events: DataFrame, sheets: DataFrame) -> DataFrame:
     direct = raw.where("type <> 's'").select("workbook", "sheet", "r", "ref", "type", "style", "text")
     full = (
         by_reference.unionByName(direct)
-        .join(_date_styles(events), ["workbook", "style"], "left")
-        .join(epoch, "workbook", "left")
+        .join(stage(_date_styles(events)), ["workbook", "style"], "left")
+        .join(stage(epoch), "workbook", "left")
     )
     number = F.col("text").try_cast("double")
     is_date = (F.col("type") == "n") & F.coalesce("is_date", F.lit(False)) & number.isNotNull()
