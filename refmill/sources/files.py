@@ -8,15 +8,19 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_by_value
+from ..session import discard, scratch_path, ship_by_value
 from . import ranges
 
 # Largest file whose bytes are taken as one row; larger ones are read in pieces, so a task needs little memory.
 MAX_CONTENT = 16 << 20
 _PIECE = 8 << 20
+# JSON files of a drop from which its documents are put together first: Spark's reader of whole files finds the fields
+# in one task, and goes back into the file for each number it keeps as text.
+MANY_DOCUMENTS = 32
+_RECORD_SEPARATOR = "\x1e"  # legal nowhere in JSON
 
 ship_by_value(__name__)
 
@@ -131,11 +135,41 @@ def read_csv(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM
     return ranges.read_csv_ranges(spark, path, whole.columns, null_value) if _splits(spark, path, split_from) else whole
 
 
-def read_json(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM) -> DataFrame:
-    """Multi-line documents, every primitive as text; fields arrive sorted by name. Large drops are split as in ``read_csv``."""
+def read_json(spark: SparkSession, path: str, split_from: int = ranges.SPLIT_FROM, many_from: int = MANY_DOCUMENTS) -> DataFrame:
+    """Multi-line documents, every primitive as text; fields arrive sorted by name.
+
+    Drops of ``many_from`` files or more, none large, have their documents put together first; other large drops are split as in ``read_csv``.
+    """
+    reader = spark.read.option("primitivesAsString", True)
+    together = _documents_together(spark, path) if ranges.drop_files(spark, path) >= many_from else None
+    if together:
+        return reader.option("lineSep", _RECORD_SEPARATOR).json(together)
     if _splits(spark, path, split_from):
         return ranges.read_json_ranges(spark, path)
-    return spark.read.option("multiLine", True).option("primitivesAsString", True).json(path)
+    return reader.option("multiLine", True).json(path)
+
+
+def _documents_together(spark: SparkSession, path: str) -> str | None:
+    """The drop's documents as they are, each opened once, in as many text files as tasks read them.
+
+    None for drops that need another reader: in folders that stand for columns, with a file beyond ``MAX_CONTENT``, or with
+    one that isn't plain UTF-8 (packed files, other encodings, a separator within).
+    """
+    files = spark.read.format("binaryFile").load(path)
+    if set(files.columns) != {"path", "modificationTime", "length", "content"}:
+        return None
+    if (files.agg(F.max("length")).first()[0] or MAX_CONTENT + 1) > MAX_CONTENT:
+        return None
+    value, seen, together = F.col("value"), Observation(), scratch_path(spark, "documents")
+    # JSON in UTF-16 or UTF-32 has a zero among its first four bytes
+    plain = F.is_valid_utf8(value) & ~F.substring(value, 1, 4).contains("\0") & ~value.contains(_RECORD_SEPARATOR)
+    unmarked = F.when(value.startswith("\ufeff"), F.expr("substring(value, 2)")).otherwise(value)
+    texts = files.select(F.col("content").cast("string").alias("value")).observe(seen, F.count_if(~plain).alias("other"))
+    texts.select(unmarked.alias("value")).write.option("lineSep", _RECORD_SEPARATOR).text(together)
+    if seen.get["other"]:
+        discard(spark, together)
+        return None
+    return together
 
 
 def _splits(spark: SparkSession, path: str, split_from: int) -> bool:

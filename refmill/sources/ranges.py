@@ -29,11 +29,20 @@ _KEY = ["file", "block", "chunk"]
 _OPEN = ["open_block", "open_chunk"]
 
 
-def drop_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all files a path or pattern names, asked of its file system."""
+def _summaries(spark: SparkSession, path: str) -> list:
     pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sum(system.getContentSummary(s.getPath()).getLength() for s in system.globStatus(pattern) or [])
+    return [system.getContentSummary(s.getPath()) for s in system.globStatus(pattern) or []]
+
+
+def drop_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files a path or pattern names, asked of its file system."""
+    return sum(s.getLength() for s in _summaries(spark, path))
+
+
+def drop_files(spark: SparkSession, path: str) -> int:
+    """Number of those files, hidden ones too."""
+    return sum(s.getFileCount() for s in _summaries(spark, path))
 
 
 def _gather(separator: str, ending: str, size: int, measure: Callable[[str], tuple]):

@@ -1,11 +1,14 @@
 """Split files: every record as Spark's reader of whole files finds it, whatever the ranges and chunks."""
 
+import gzip
 import json
 import random
 
 import pytest
 from celltables import tuples
+from pyspark.sql import Row
 
+from refmill.plans.catalog.jobs import read_json_drop
 from refmill.sources import files as FS
 from refmill.sources import ranges
 
@@ -100,3 +103,55 @@ def test_small_drops_and_folders_of_columns_are_read_whole(spark, tmp_path):
     (tmp_path / "d" / "part=3" / "x.csv").write_text("a\n1\n")
     assert not FS._splits(spark, f"{tmp_path}/d", 0) and tuples(FS.read_csv(spark, f"{tmp_path}/d", 0)) == [("1", 3)]
     assert not FS._splits(spark, f"{tmp_path}/d/part=3/x.csv", 100) and FS._splits(spark, f"{tmp_path}/d/part=3/*.csv", 1)
+
+
+def small_documents(folder):
+    folder.mkdir(parents=True)
+    for seed in range(34):
+        (folder / f"{seed}.json").write_text(json.dumps(documents(seed), indent=seed % 3 or None, ensure_ascii=bool(seed % 2)))
+    (folder / "one.json").write_text(" \r\n" + json.dumps(documents(50)[0], indent=4) + "\n")
+    (folder / "none.json").write_text("[]")
+    (folder / "empty.json").write_text("")
+    (folder / "marked.json").write_text("\ufeff[{\"id\": 1.50}, {\"id\": 12345678901234567890123, \"free\": {\"p\":  [1.0E5,\n2]}}]")
+    (folder / "broken.json").write_text('[{"id": 7,\n "text": "cut\nhere"}]')
+    (folder / "half.json").write_text('[{"id": 8}, {"id": ')
+    return str(folder)
+
+
+def as_rows(df):
+    return sorted((repr(r) for r in df.collect()))
+
+
+def test_many_small_documents_are_put_together(spark, tmp_path):
+    path = small_documents(tmp_path / "d")
+    whole, together = FS.read_json(spark, path, many_from=1 << 40), FS.read_json(spark, path)
+    assert len(whole.inputFiles()) == 40 and len(together.inputFiles()) < 40
+    assert together.schema == whole.schema and "_corrupt_record" in whole.columns
+    assert as_rows(together) == as_rows(whole) and together.count() == whole.count()
+
+
+@pytest.mark.parametrize("odd", ["utf-16", "packed", "separator", "latin", "folder", "large"])
+def test_documents_of_other_kinds_are_read_whole(spark, tmp_path, monkeypatch, odd):
+    path, text = str(tmp_path / "d"), '[{"id": 99, "text": "é"}]'
+    small_documents(tmp_path / "d" / "part=3" if odd == "folder" else tmp_path / "d")
+    if odd == "large":
+        monkeypatch.setattr(FS, "MAX_CONTENT", 40)
+    elif odd != "folder":
+        name, content = {
+            "utf-16": ("u.json", text.encode("utf-16-le")),
+            "packed": ("p.json.gz", gzip.compress(text.encode())),
+            "separator": ("s.json", b'[{"id": 99}]\x1e[{"id": 98}]'),
+            "latin": ("l.json", text.encode("latin-1")),
+        }[odd]
+        (tmp_path / "d" / name).write_bytes(content)
+    whole, read = FS.read_json(spark, path, many_from=1 << 40), FS.read_json(spark, path)
+    assert FS._documents_together(spark, path) is None
+    assert read.schema == whole.schema and as_rows(read) == as_rows(whole)
+
+
+def test_json_drop_of_many_documents(spark, tmp_path):
+    rows = [(i * 7, None if i % 5 == 0 else i % 90, f"{i % 5}-KIND") for i in range(3000)] + [(None, 4, None), (49, 9, "again")]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    drop = read_json_drop(spark, str(tmp_path))
+    assert len(drop.inputFiles()) < 40  # of 43 documents
+    assert as_rows(drop) == sorted(repr(Row(o_orderkey=k, o_custkey=c, o_orderpriority=p)) for k, c, p in rows)
