@@ -4,7 +4,7 @@ A file is a row of segments, each ended by a line break. A segment stands for it
 as which number, its documents with their lengths, a table of its blocks, and the blocks of the
 context-mixing coder. Header, tables and every block have checksums. All numbers are little-endian.
 
-    magic "RMIDS1"  task u32  number u32  documents u64  ids u64  most u64 (all ids are below)  blocks u32
+    magic "RMIDS2"  task u32  number u32  documents u64  ids u64  most u64 (all ids are below)  blocks u32
     table bytes u32  header CRC-32 u32 | table, deflated: doc_id i64 × documents, null u8 × documents,
     ids i64 × documents, (ids, words, CRC-32) u32 × blocks; its CRC-32 u32 | blocks
 
@@ -33,8 +33,8 @@ ship_by_value(__name__)
 
 SEGMENT_IDS = 4 << 20  # a segment closes with the document that reaches this; one document is never cut
 SEGMENTS_PER_FILE = 4
-_TEXT_CHARS = 1 << 18  # characters of texts tokenised together
-_MAGIC = b"RMIDS1"
+_TEXT_CHARS = 1 << 21  # characters of texts tokenised together
+_MAGIC = b"RMIDS2"
 _HEADER = "<6sIIQQQII"
 
 ToIds = Callable[[list[str]], list[bytes]]

@@ -7,15 +7,18 @@ mixed with weights that adapt to which of them were right, kept apart by how oft
 have been right lately and whether they agree. The mixed distribution drives an arithmetic
 coder of 64-bit ranges.
 
-All blocks of a segment go through their positions in step, one NumPy lane each, so that a
-position costs some array operations whatever the number of blocks. The share of a range that
-an id gets is a product of two 16-bit shares, that of its order and its own within the order, so a
+The model learns at the end of every epoch, which is a quarter of what came before and at most
+MOST_EPOCH positions. All blocks of a segment go through their positions in step, one NumPy lane each. The
+encoder, which knows the ids, looks up and mixes a whole epoch at once and goes by positions only to narrow
+the ranges; the decoder goes by positions, and learns a whole epoch at once. The share of a range that an id
+gets is a product of two shares, 15 bits for its order and 16 bits for its own within the order, so a
 position narrows each range once.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -26,21 +29,40 @@ ship_by_value(__name__)
 BLOCK_IDS = 4096
 LEAST_BLOCK_IDS = 512
 FEW_BLOCKS = 256  # a segment has at least so many, if they keep LEAST_BLOCK_IDS
+LEAST_EPOCH, MOST_EPOCH = 16, 32
+EPOCHS_MIXED = 4  # so many epochs at most go by before the weights follow
 
 _TABLE_BITS = 11
-_RATE = 5
 _ONE = 1 << 16
 _U64, _U32 = np.uint64, np.uint32
-_WORD, _HALF = _U64(32), _U64(16)
-_MASK16 = _U64(0xFFFF)
-_SMALL_RANGE = _U64(1 << 32)
-_MIX1, _MIX2, _MIX3 = _U32(0x9E3779B1), _U32(0x85EBCA6B), _U32(0xC2B2AE35)
-
-#: shares aimed at, for the order that was right and for the others; with what rounding adds, three make less than _ONE
-_MUCH, _LITTLE = 65024, 64
-#: entry of a table that predicts nothing: an id beyond all, without trust
-_NO_GUESS = 0xFFFFFFFC
+
 MOST_IDS = (1 << 30) - 1
+#: entries of the tables: an id, above the trust in it; each table has bits of its own for that, below them is one for contexts
+_ID_AT, _TRUST_AT = 5, (3, 1)
+_CONTEXTS = 32
+
+#: shares of orders: of all, and what each has at least
+_ORDER_BITS = 15
+_SCALE = _ORDER_BITS + 16
+_LEAST = 32
+_LEAST_ROOM = (1 << _ORDER_BITS) - 4 * _LEAST
+#: what was seen in a context counts half as much from here on, and beliefs to begin with count so much
+_MOST_COUNT, _FIRST_COUNT = 128, 20
+
+
+def _word(value: int) -> np.ndarray:
+    return np.array([value], _U64)
+
+
+_MIX1, _MIX2, _MIX3 = _word(0x9E3779B185EBCA87), _word(0xC2B2AE3D27D4EB4F), _word(0x165667B19E3779F9)
+_HASHED = _word(64 - _TABLE_BITS)
+_W16, _W32, _W48, _WSCALE = _word(16), _word(32), _word(48), _word(_SCALE)
+_FIELDS = _word(_CONTEXTS - 1)
+_W15, _W1 = _word(15), _word(1)
+_MASK15, _MASK16, _MASK17, _SMALL_RANGE = _word(0x7FFF), _word(0xFFFF), _word(0x1FFFF), _word(1 << 32)
+_NO_INNER = _word(0xFFFFFFFF0000FFFF)
+_COUNTED, _ALIKE, _W60 = _word(2 << 60), _word(3 << 60), _word(60)
+_THREE, _GUARDS = _word(0x000100010001), _word(0x800080008000)
 
 
 class CorruptBlock(ValueError):
@@ -56,292 +78,331 @@ def block_sizes(n: int, block: int = BLOCK_IDS) -> np.ndarray:
     return n // blocks + (np.arange(blocks) < n % blocks)
 
 
-def _packed(two: int, one: int, none: int) -> int:
-    """Shares of orders 2, 1 and 0 in 16 bits each."""
-    return two | one << 16 | none << 32
+def epochs(length: int) -> Iterator[tuple[int, int, bool]]:
+    """Positions ``at .. end`` that one state of the model codes, and whether order 0 is renewed behind them."""
+    at = known = 0
+    while at < length:
+        end = min(length, at + min(MOST_EPOCH, max(LEAST_EPOCH, at // 4)))
+        renewed = end < length and end >= known + max(LEAST_EPOCH, known // 2)
+        yield at, end, renewed
+        at, known = end, end if renewed else known
 
 
-def _first_shares() -> np.ndarray:
-    """Shares to begin with, for each trust in orders 2 and 1 and whether they agree; the rest is for all ids alike."""
+def _first_counts() -> np.ndarray:
+    """Beliefs to begin with, by order (2, 1, 0, all ids alike) and context: trust in orders 2 and 1, and whether they agree."""
     found = []
     for two, one, agree in np.ndindex(4, 4, 2):
-        trust2, trust1, left = 0.25 * two, 0.2 * one * (not agree), _MUCH - 4 * _LITTLE
-        shares = (left * trust2, left * (1 - trust2) * trust1, left * (1 - trust2) * (1 - trust1) * 0.7)
-        found.append(_packed(*[_LITTLE + int(x) for x in shares]))
-    return np.array(found, _U64)
+        trust2, trust1 = 0.25 * two, 0.2 * one * (not agree)
+        left = (1 - trust2) * (1 - trust1)
+        found.append([trust2, (1 - trust2) * trust1, left * 0.7, left * 0.3])
+    return np.rint(np.array(found).T * _FIRST_COUNT).astype(np.int32)
 
 
-def _steps() -> np.ndarray:
-    """What each order's being right adds to the shares."""
-    return np.array([_packed(*[(_MUCH if n == order else _LITTLE) >> _RATE for n in range(3)]) for order in range(4)], _U64)
+def _shares(starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit shares, start and size, of runs of equal ids in ``n`` sorted ids of each lane; ``starts`` counts all lanes through."""
+    start = ((starts - starts // n * n) << 16) // n
+    end = np.append(start[1:], 0)
+    end[end == 0] = _ONE  # the next lane begins
+    return start.astype(_U64), (end - start).astype(_U64)
 
 
 class Mixer:
     """The models of all lanes.
 
-    Two tables name the id that last followed a context, with trust in it from 1 to 3. Order 0 looks at a sorted copy of
-    what came before, renewed as that grows by half.
+    Two tables name the id that last followed a context, with trust in it from 1 to 3. ``bounds`` has, for each lane and
+    context, where the shares of orders 1, 0 and of all alike begin, 16 bits each.
     """
 
-    def __init__(self, lanes: int, length: int, most: int):
+    def __init__(self, lanes: int, most: int):
         if most > MOST_IDS:
             raise ValueError(f"ids up to {MOST_IDS - 1} can be coded")
-        self.lanes, self.most = lanes, most
-        self.low_bits = min(16, max(0, (most - 1).bit_length()))  # of an id that the first narrowing settles
-        self.table = np.full(2 * lanes << _TABLE_BITS, _NO_GUESS, _U32)
-        start = _first_shares()
-        self.shares = np.tile(start, lanes)
-        self.steps, self.fields = _steps(), _U64(_packed(0x07FF, 0x07FF, 0x07FF))
-        lane = np.arange(lanes, dtype=np.int64)
-        self.lane, self.lane_shares = lane, lane * len(start)
-        self.lane_tables = np.stack([lane << _TABLE_BITS, (lane + lanes) << _TABLE_BITS])
-        self.before = np.zeros((length, lanes), np.uint16 if most <= _ONE else _U32)
-        self.at, self.known, self.renew_at = 0, 0, 16
-        self.mixed, self.place = np.zeros(lanes, _U32), self.lane_tables
-        self._room(lanes)
-
-    def _room(self, lanes: int) -> None:
-        self.bounds = np.zeros((5, lanes), _U64)
-        self.bounds[4] = _ONE
-        self.flat_bounds = self.bounds.ravel()
-
-    def narrow(self, lanes: int) -> None:
-        """Go on with the first lanes only, for the last position."""
         self.lanes = lanes
-        self.lane, self.lane_shares, self.mixed = self.lane[:lanes], self.lane_shares[:lanes], self.mixed[:lanes]
-        self.lane_tables, self.place = self.lane_tables[:, :lanes], self.place[:, :lanes]
-        self._room(lanes)
-
-    def predict(self) -> None:
-        """Guesses of orders 2 and 1, and where the share of each order begins."""
-        self.entry = self.table.take(self.place)
-        self.guess, self.trust = self.entry >> _U32(2), self.entry & _U32(3)
-        agree = self.guess[0] == self.guess[1]
-        self.context = ((self.trust[0] << _U32(3)) + (self.trust[1] << _U32(1)) + agree) + self.lane_shares
-        self.share = self.shares.take(self.context)
-        b = self.bounds
-        np.bitwise_and(self.share, _MASK16, out=b[1])
-        np.add(b[1], (self.share >> _HALF) & _MASK16, out=b[2])
-        np.add(b[2], self.share >> _WORD, out=b[3])
-
-    def span_of(self, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the shares of the given orders."""
-        at = order * self.lanes + self.lane
-        start = self.flat_bounds.take(at)
-        return start, self.flat_bounds.take(at + self.lanes) - start
-
-    def learn(self, ids: np.ndarray, order: np.ndarray) -> None:
-        """Take in the ids of a position; ``order`` is 0, 1, 2, 3 for what coded them: orders 2, 1, 0, or all alike."""
-        share = self.share
-        self.shares[self.context] = share - ((share >> _U64(_RATE)) & self.fields) + self.steps.take(order)
-        wide = ids.astype(_U32)
-        # right: trusted more; wrong: trusted less, and replaced once little trust is left
-        right = self.guess == wide
-        more = self.entry + (self.trust < 3)
-        less = np.where(self.trust > 1, self.entry - _U32(1), (wide << _U32(2)) | _U32(1))
-        self.table[self.place] = np.where(right, more, less)
-        low = wide * _MIX1
-        hashed = np.stack([(low ^ self.mixed) * _MIX3, low]) >> _U32(32 - _TABLE_BITS)
-        self.place = self.lane_tables + hashed
-        self.mixed = low * _MIX2
-        self.before[self.at, : self.lanes] = ids
-        self.at += 1
-        if self.at == self.renew_at and self.at < len(self.before):
-            self.renew()
-
-    def renew(self) -> None:
-        """Runs of equal ids before this position, each with its 16-bit share: ``id << 32 | start << 16 | size - 1``."""
-        n = self.known = self.at
-        self.renew_at = n + max(16, n // 2)
-        ids = np.sort(np.ascontiguousarray(self.before[:n].T), axis=1, kind="stable")
-        new = np.ones(ids.shape, bool)
-        np.not_equal(ids[:, 1:], ids[:, :-1], out=new[:, 1:])
-        starts = np.flatnonzero(new)
-        self.run = np.cumsum(new.ravel(), dtype=np.int32)
-        self.run -= 1
-        share = (((starts % n) << 16) // n).astype(_U64)
-        ends = np.append(share[1:], _U64(0))
-        ends[ends == 0] = _ONE  # the next lane begins
-        self.run_ids = ids.ravel()[starts]
-        self.runs = self.run_ids.astype(_U64) << _WORD | share << _HALF | (ends - share - _U64(1))
-        self.run_lane = starts // n
-        self.lane_run = np.arange(len(ids), dtype=np.int64) * n
-
-
-def _code_ahead(model: Mixer, rows: np.ndarray, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For the positions ``at .. end``: order (2 or 3), start and size of each id where orders 2 and 1 are wrong."""
-    asked = rows[at:end]
-    shift = 16 - model.low_bits
-    start = (asked.astype(_U64) & _MASK16) << _U64(shift)
-    order, size = np.full(asked.shape, 3, np.int64), np.full(asked.shape, 1 << shift, _U64)
-    if model.known:
-        lanes = np.arange(asked.shape[1], dtype=np.int64) * model.most
-        keys, held = (asked + lanes).ravel(), model.run_lane * model.most + model.run_ids
-        run = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-        hit = (held[run] == keys).reshape(asked.shape)
-        found = model.runs[run].reshape(asked.shape)
-        order[hit] = 2
-        start = np.where(hit, (found >> _HALF) & _MASK16, start)
-        size = np.where(hit, (found & _MASK16) + _U64(1), size)
-    return order, start, size
+        self.entries = _U32 if most < 1 << 32 - _ID_AT else _U64
+        # an entry that predicts nothing: an id beyond all, without trust
+        self.table = np.full(2 * lanes << _TABLE_BITS, most << _ID_AT, self.entries)
+        lane = np.arange(lanes, dtype=np.int64)
+        self.lane_contexts, self.lane_tables = (lane * _CONTEXTS).view(_U64), (np.stack([lane, lane + lanes]) << _TABLE_BITS).view(_U64)
+        self.counts = np.tile(_first_counts(), lanes)
+        self.right: list[np.ndarray] = []  # orders and contexts since the weights last followed
+        self.coded = 0
+        self.mix()
+
+    def mix(self) -> None:
+        """The weights, from what was right so far."""
+        if self.right:
+            right, self.right = np.concatenate(self.right), []
+            self.counts += np.bincount(right, minlength=self.counts.size).reshape(self.counts.shape)
+        total = self.counts.sum(axis=0, dtype=np.int32)
+        bound = np.cumsum(self.counts[:3] * np.int32(_LEAST_ROOM) // total, axis=0, dtype=np.int64)
+        bound += np.array([[_LEAST], [2 * _LEAST], [3 * _LEAST]])
+        self.bounds = (bound[0] | bound[1] << 16 | bound[2] << 32).view(_U64)
+        self.counts -= (self.counts >> 1) * (total > _MOST_COUNT)
+
+    def places(self, last: np.ndarray, second: np.ndarray, out: np.ndarray) -> None:
+        """Places in the tables for the last id and that before it, all as 64-bit numbers."""
+        low = last * _MIX1
+        both = second * _MIX2
+        both ^= low
+        both *= _MIX3
+        both >>= _HASHED
+        np.add(both, self.lane_tables[0], out=out[0])
+        low >>= _HASHED
+        np.add(low, self.lane_tables[1], out=out[1])
+
+    def contexts(self, entry: np.ndarray, out: np.ndarray) -> None:
+        """Contexts of the weights: the tables' trust in what they guess, and whether that is the same."""
+        differ = (entry[0] ^ entry[1]).astype(_U64, copy=False)
+        np.bitwise_and(differ, _FIELDS, out=out)
+        out += self.lane_contexts
+        out += differ < _CONTEXTS
+
+    def learn(self, place: np.ndarray, entry: np.ndarray, context: np.ndarray, order: np.ndarray, ids: np.ndarray) -> None:
+        """Take in the ids of an epoch; ``order`` is 0, 1, 2, 3 for what coded them: orders 2, 1, 0, or all alike."""
+        wide = ids.ravel().astype(self.entries) << _ID_AT
+        for at, old, shift in zip(place.view(np.int64), entry, _TRUST_AT):
+            # right: trusted more; wrong: trusted less, and replaced once little trust is left
+            old, new = old.ravel(), wide | 1 << shift
+            stays = (((old ^ wide) < 1 << _ID_AT) | (old & 2 << shift > 0)).nonzero()[0]
+            kept = old[stays]
+            right, full = (kept ^ wide[stays]) < 1 << _ID_AT, (kept >> shift & 3) == 3
+            new[stays] = np.where(right, kept + (~full).astype(self.entries) * (1 << shift), kept - (1 << shift))
+            self.table[at.ravel()] = new  # of equal places the last one stays
+        self.right.append((order * _word(self.lanes * _CONTEXTS) + context).view(np.int64).ravel())
+        self.coded += len(ids)
+        if len(self.right) == EPOCHS_MIXED or self.coded <= EPOCHS_MIXED * MOST_EPOCH:
+            self.mix()
+
+
+def _codes_ahead(rows: np.ndarray, most: int) -> np.ndarray:
+    """How order 0, or all alike, codes all positions and lanes: ``order << 60 | start << 32 | size`` within that share."""
+    lanes, length = rows.shape
+    bits = max(1, (length - 1).bit_length())
+    kind = _U32 if (most - 1).bit_length() + bits <= 32 else _U64
+    key = rows.astype(kind) << bits | np.arange(length, dtype=kind)
+    key.sort(axis=1)
+    new = np.ones(key.shape, bool)
+    np.not_equal(key[:, 1:] >> bits, key[:, :-1] >> bits, out=new[:, 1:])
+    new, rank = new.ravel(), np.cumsum(new.ravel(), dtype=np.int32)
+    rank -= 1  # different ids of all lanes, counted through
+    unused = 16 - min(16, (most - 1).bit_length())  # lowest bits of a share of all alike
+    low = (key.ravel()[new] >> bits).astype(_U64) & _MASK16
+    alike = _ALIKE | low << _word(32 + unused) | _word(1 << unused)
+    pos = (key & ((1 << bits) - 1)).astype(np.uint16 if length <= _ONE else _U32)
+    del key, new
+    ranks = np.empty((lanes, length), np.int32)
+    np.put_along_axis(ranks, pos.astype(np.int64), rank.reshape(ranks.shape), axis=1)
+    ranks, pos = np.ascontiguousarray(ranks.T), pos.ravel()
+    found, end = np.empty((length, lanes), _U64), length
+    for n in reversed([end for _, end, renewed in epochs(length) if renewed]):
+        keep = (pos < n).nonzero()[0]
+        rank, pos = rank.take(keep), pos.take(keep)
+        starts = np.append(0, (rank[1:] != rank[:-1]).nonzero()[0] + 1)
+        start, size = _shares(starts, n)
+        codes = alike.copy()
+        codes[rank.take(starts)] = _COUNTED | start << _W32 | size
+        codes.take(ranks[n:end], out=found[n:end], mode="clip")
+        end = n
+    found[:end] = alike.take(ranks[:end])
+    return found
 
 
 class _Out:
-    """Words of all lanes."""
+    """Ranges of all lanes, and the words that are settled."""
 
     def __init__(self, lanes: int, length: int):
-        self.words, self.used = np.zeros((lanes, length // 2 + 8), _U32), np.zeros(lanes, np.int64)
-
-    def put(self, lanes: np.ndarray, words: np.ndarray) -> None:
-        at = self.used[lanes]
-        if at.max() >= self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[lanes, at] = words
-        self.used[lanes] = at + 1
+        self.words = np.zeros((lanes, length // 2 + 8), _U32)
+        self.begin = np.arange(lanes, dtype=np.int64) * self.words.shape[1]
+        self.at = self.begin.copy()
+        self.low, self.span = np.zeros(lanes, _U64), np.full(lanes, (1 << 64) - 1, _U64)
+
+    def room(self, words: int) -> None:
+        """Room for so many words more in each lane."""
+        used, width = self.at - self.begin, self.words.shape[1]
+        if used.max() + words > width:
+            self.words = np.concatenate([self.words, np.zeros((len(used), max(words, width)), _U32)], axis=1)
+            self.begin = np.arange(len(used), dtype=np.int64) * self.words.shape[1]
+            self.at = self.begin + used
+        self.flat = self.words.ravel()
+
+    def narrow(self, start: np.ndarray, size: np.ndarray, scale: np.ndarray) -> None:
+        """Ranges narrowed to ``start .. start + size`` of ``1 << scale``."""
+        low, span = self.low, self.span
+        step = span >> scale
+        start = start * step
+        low += start
+        np.multiply(size, step, out=span)
+        over = (low < start).nonzero()[0]
+        if len(over):
+            self._carry(over)
+        done = (span < _SMALL_RANGE).nonzero()[0]
+        if len(done):
+            rest, at = low[done], self.at[done]
+            self.flat[at] = rest >> _W32
+            self.at[done] = at + 1
+            low[done] = rest << _W32
+            span[done] <<= _W32
 
-    def carry(self, lanes: np.ndarray) -> None:
+    def _carry(self, lanes: np.ndarray) -> None:
         """Add one to the last word; few carries go further."""
-        at = self.used[lanes] - 1
-        while len(lanes):
-            self.words[lanes, at] += _U32(1)
-            over = self.words[lanes, at] == 0
-            lanes, at = lanes[over], at[over] - 1
-
-
-def _narrow(out: _Out, low: np.ndarray, span: np.ndarray, start: np.ndarray, size: np.ndarray, scale: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Ranges narrowed to ``start .. start + size`` of ``1 << scale``; words that are settled go out."""
-    step = span >> scale
-    before = low
-    low = low + start * step
-    span = size * step
-    over = np.flatnonzero(low < before)
-    if len(over):
-        out.carry(over)
-    done = np.flatnonzero(span < _SMALL_RANGE)
-    if len(done):
-        out.put(done, (low[done] >> _WORD).astype(_U32))
-        low[done] <<= _WORD
-        span[done] <<= _WORD
-    return low, span
+        at = self.at[lanes] - 1
+        while len(at):
+            more = self.flat[at] + _U32(1)
+            self.flat[at] = more
+            at = at[more == 0] - 1
 
 
 def encode(ids: np.ndarray, sizes: np.ndarray, most: int) -> list[bytes]:
     """Words of each block; ``ids`` are those of all blocks in order, all below ``most``."""
     lanes, length = len(sizes), int(sizes[0])
     full = int((sizes == length).sum())
-    model, out = Mixer(lanes, length, most), _Out(lanes, length)
-    rows = np.zeros((lanes, length), model.before.dtype)  # a short lane's last cell stays unused
+    model, out = Mixer(lanes, most), _Out(lanes, length)
+    rows = np.zeros((lanes, length), np.uint16 if most <= _ONE else _U32)  # a short lane's last cell stays unused
     rows[np.arange(length)[None] < sizes[:, None]] = ids
-    rows = np.ascontiguousarray(rows.T)
-    low, span = np.zeros(lanes, _U64), np.full(lanes, (1 << 64) - 1, _U64)
+    ahead = _codes_ahead(rows, most)
+    rows = np.concatenate([np.zeros((2, lanes), rows.dtype), rows.T])
     high_bits = max(0, (most - 1).bit_length() - 16)
-    at = 0
-    ends = low
-    while at < length:
-        end = min(length, model.renew_at)
-        ahead = _code_ahead(model, rows, at, end)
+    for at, end, _ in epochs(length):
+        now = rows[at + 2 : end + 2]
+        before = rows[at : end + 1].astype(_U64)
+        place, context = np.empty((2, *now.shape), _U64), np.empty(now.shape, _U64)
+        model.places(before[1:], before[:-1], place)
+        entry = model.table.take(place.view(np.int64))
+        model.contexts(entry, context)
+        right = entry >> _ID_AT == now
+        code = ahead[at:end]
+        np.copyto(code, _word(1 << 60 | _ONE), where=right[1])
+        np.copyto(code, _word(_ONE), where=right[0])
+        order = code >> _W60
+        first, size = _order_share(model.bounds.take(context.view(np.int64)), order << _word(4))
+        start, size = (first << _W16) + size * (code >> _W32 & _MASK16), size * (code & _MASK17)
+        if end == length:
+            start[-1, full:], size[-1, full:] = 0, 1 << _SCALE  # nothing is coded
+        if high_bits:
+            alike = order == 3
+            if end == length:
+                alike[-1, full:] = False
+            rest, part = np.where(alike, now >> 16, 0).astype(_U64), np.where(alike, 1, 1 << high_bits).astype(_U64)
+        out.room((end - at) * 2)
         for n in range(end - at):
-            if at + n == length - 1 and full < lanes:
-                ends, low, span = low, low[:full], span[:full]
-                model.narrow(full)
-            now = rows[at + n, : model.lanes]
-            order, start, size = (a[n, : model.lanes] for a in ahead)
-            model.predict()
-            right = model.guess == now
-            guessed = right[0] | right[1]
-            order = np.where(guessed, ~right[0], order)
-            first, share = model.span_of(order)
-            inner = np.where(guessed, _U64(0), start)
-            whole = np.where(guessed, _U64(_ONE), size)
-            low, span = _narrow(out, low, span, (first << _HALF) + share * inner, share * whole, _WORD)
+            out.narrow(start[n], size[n], _WSCALE)
             if high_bits:
-                rest = np.where(order == 3, now.astype(_U64) >> _HALF, _U64(0))
-                part = np.where(order == 3, _U64(1), _U64(1 << high_bits))
-                low, span = _narrow(out, low, span, rest, part, _U64(high_bits))
-            model.learn(now, order)
-        at = end
-    if full < lanes:
-        ends[:full] = low
-        low = ends
+                out.narrow(rest[n], part[n], _word(high_bits))
+        if end < length:
+            model.learn(place, entry, context, order, now)
     found = []
-    for lane, (n, rest) in enumerate(zip(out.used.tolist(), low.tolist())):
+    for lane, (n, rest) in enumerate(zip((out.at - out.begin).tolist(), out.low.tolist())):
         tail = np.array([rest >> 32, rest & 0xFFFFFFFF], "<u4")
         found.append(out.words[lane, :n].astype("<u4").tobytes() + tail.tobytes())
     return found
 
 
+def _order_share(bounds: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of the shares of orders, given as 16 times their number."""
+    first = (bounds << _W16 >> bits) & _MASK15
+    return first, ((bounds >> bits) - first) & _MASK15
+
+
 class _In:
     """Reads words of all lanes; behind a lane's last one come others, which decide nothing."""
 
     def __init__(self, words: list[np.ndarray]):
         self.stream = np.concatenate([*words, np.zeros(4, "<u4")]).astype(_U64)
         self.at = np.concatenate([[0], np.cumsum([len(w) for w in words])])[:-1].astype(np.int64)
-        self.code = (self.stream[self.at] << _WORD) | self.stream[self.at + 1]
+        self.code = (self.stream[self.at] << _W32) | self.stream[self.at + 1]
         self.span = np.full(len(words), (1 << 64) - 1, _U64)
         self.at += 2
 
-    def narrow(self, lanes: int) -> None:
-        self.at, self.code, self.span = self.at[:lanes], self.code[:lanes], self.span[:lanes]
-
-    def point(self, scale: np.uint64) -> np.ndarray:
+    def point(self, scale: np.ndarray) -> np.ndarray:
         self.step = self.span >> scale
-        return np.minimum(self.code // self.step, (_U64(1) << scale) - _U64(1))
+        return self.code // self.step
 
     def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.code = self.code - start * self.step
-        self.span = size * self.step
-        done = np.flatnonzero(self.span < _SMALL_RANGE)
+        code, span = self.code, self.span
+        code -= start * self.step
+        np.multiply(size, self.step, out=span)
+        done = (span < _SMALL_RANGE).nonzero()[0]
         if len(done):
             at = self.at[done]
-            self.code[done] = (self.code[done] << _WORD) | self.stream.take(at, mode="clip")
-            self.span[done] <<= _WORD
+            code[done] = (code[done] << _W32) | self.stream.take(at, mode="clip")
+            span[done] <<= _W32
             self.at[done] = at + 1
 
 
+def _sorted_before(rows: np.ndarray) -> np.ndarray:
+    """Order 0 of the next positions: for each place in the sorted ids of a lane, ``id << 32 | start << 16 | size - 1`` of its run."""
+    n = len(rows)
+    ids = rows.T.copy()
+    ids.sort(axis=1)
+    new = np.ones(ids.shape, bool)
+    np.not_equal(ids[:, 1:], ids[:, :-1], out=new[:, 1:])
+    starts = new.ravel().nonzero()[0]
+    start, size = _shares(starts, n)
+    runs = ids.ravel()[starts].astype(_U64) << _W32 | start << _W16 | size - _W1
+    return np.repeat(runs, np.diff(starts, append=ids.size))
+
+
 def decode(words: list[np.ndarray], sizes: np.ndarray, most: int) -> np.ndarray:
     """The ids of all blocks in order."""
     lanes, length = len(sizes), int(sizes[0])
-    full = int((sizes == length).sum())
-    model, source = Mixer(lanes, length, most), _In(words)
-    shift, high_bits = _U64(16 - model.low_bits), max(0, (most - 1).bit_length() - 16)
-
-    def room(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        inner, whole = np.zeros((4, n), _U64), np.full((4, n), _ONE, _U64)
-        whole[3] = _U64(1) << shift
-        return np.zeros((4, n), _U64), inner, whole
-
-    ids, inner, whole = room(lanes)
-    for at in range(length):
-        if at == length - 1 and full < lanes:
-            source.narrow(full)
-            model.narrow(full)
-            ids, inner, whole = room(full)
-        model.predict()
-        point = source.point(_WORD)
-        coarse = point >> _HALF
-        b = model.bounds
-        order = (coarse >= b[1]).astype(np.int64) + (coarse >= b[2]) + (coarse >= b[3])
-        first, share = model.span_of(order)
-        within = ((point - (first << _HALF)).astype(float) / share.astype(float)).astype(_U64)  # exact: 32 bits by 16
-        ids[0], ids[1] = model.guess
-        np.right_shift(within, shift, out=ids[3])
-        np.left_shift(ids[3], shift, out=inner[3])
-        if model.known:
-            place = (((within + _U64(1)) * _U64(model.known) - _U64(1)) >> _HALF).astype(np.int64)
-            found = model.runs.take(model.run.take(model.lane_run[: model.lanes] + place))
-            np.right_shift(found, _WORD, out=ids[2])
-            np.bitwise_and(found >> _HALF, _MASK16, out=inner[2])
-            np.add(found & _MASK16, _U64(1), out=whole[2])
-        pick = order * model.lanes + model.lane
-        now = ids.ravel().take(pick)
-        source.take((first << _HALF) + share * inner.ravel().take(pick), share * whole.ravel().take(pick))
-        if high_bits:
-            rest = np.where(order == 3, source.point(_U64(high_bits)), _U64(0))
-            source.take(rest, np.where(order == 3, _U64(1), _U64(1 << high_bits)))
-            now |= rest << _HALF
-        model.learn(now, order)
-    rows = model.before.T
-    return rows[np.arange(length)[None] < sizes[:, None]]
+    model, source = Mixer(lanes, most), _In(words)
+    low_bits, high_bits = min(16, max(0, (most - 1).bit_length())), max(0, (most - 1).bit_length() - 16)
+    shift, high = _word(16 - low_bits), _word(high_bits)
+    alike_by, alike_and = _word(1 << 32 | 1 << 32 - low_bits), _word((1 << 16 - low_bits) - 1)
+    rows = np.zeros((length + 2, lanes), np.uint16 if most <= _ONE else _U32)
+    most_epoch = min(length, MOST_EPOCH)
+    place = np.empty((2, most_epoch + 1, lanes), _U64)
+    entry, context = np.empty((2, most_epoch, lanes), model.entries), np.empty((most_epoch, lanes), _U64)
+    place_at, context_at = place.view(np.int64), context.view(np.int64)
+    order = np.empty((most_epoch, lanes), _U64)
+    # what each order would decode: ``id << 32 | start << 16 | size - 1`` within its share
+    coded = np.full((4, lanes), 0xFFFF, _U64)
+    guesses, flat, lane = coded[:2], coded.ravel(), np.arange(lanes, dtype=np.int64)
+    before, known, lane_before = None, _word(0), lane
+    last, second = np.zeros(lanes, _U64), np.zeros(lanes, _U64)
+    id_up, lane_count, three, four = _word(32 - _ID_AT), _word(lanes), _word(3), _word(4)
+    model.places(last, second, place[:, 0])
+    for begin, end, renewed in epochs(length):
+        for n in range(end - begin):
+            found, bits = entry[:, n], order[n]
+            model.table.take(place_at[0, n], out=found[0], mode="clip")
+            model.table.take(place_at[1, n], out=found[1], mode="clip")
+            model.contexts(found, context[n])
+            bounds = model.bounds.take(context_at[n])
+            point = source.point(_WSCALE)
+            # three comparisons at once: a guard bit above each bound stays where it isn't greater
+            apart = (((point >> _W16) * _THREE | _GUARDS) - bounds & _GUARDS) >> _W15
+            np.right_shift(apart * _THREE, _W32, out=bits)
+            bits &= three
+            first, share = _order_share(bounds, bits << four)
+            first <<= _W16
+            within = (point - first) // share
+            np.left_shift(found, id_up, out=guesses)
+            guesses &= _NO_INNER
+            guesses |= _MASK16
+            if before is not None:
+                at = (((within + _W1) * known - _W1) >> _W16).view(np.int64)
+                at += lane_before
+                before.take(at, out=coded[2], mode="clip")
+            within >>= shift
+            within *= alike_by
+            np.bitwise_or(within, alike_and, out=coded[3])
+            picked = flat.take((bits * lane_count).view(np.int64) + lane)
+            now = picked >> _W32
+            source.take(first + share * (picked >> _W16 & _MASK16), share * ((picked & _MASK16) + _W1))
+            if high_bits:
+                rest = np.where(bits == 3, source.point(high), _U64(0))
+                source.take(rest, np.where(bits == 3, _U64(1), _U64(1 << high_bits)))
+                now |= rest << _W16
+            rows[begin + n + 2] = now
+            last, second = now, last
+            model.places(last, second, place[:, n + 1])
+        if end < length:
+            n = end - begin
+            model.learn(place[:, :n], entry[:, :n], context[:n], order[:n], rows[begin + 2 : end + 2])
+            place[:, 0] = place[:, n]
+        if renewed:
+            before, known, lane_before = _sorted_before(rows[2 : end + 2]), _word(end), lane * end
+    return rows[2:].T[np.arange(length)[None] < sizes[:, None]]
 
 
 def pack(ids: np.ndarray, most: int, block: int = BLOCK_IDS) -> tuple[np.ndarray, bytes]:

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +29,13 @@ ship_by_value(__name__)
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: characters with rules of their own for case and composition, and the start of special tokens
 _NOT_PLAIN = re.compile(r"[^\x00-\xff]|<\|")
+#: what may be one of these, white space beyond ASCII, or both
+_WIDE = re.compile(r"[\x85\xa0]|[^\x00-\xff]|<\|")
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: words whose groups are one pretoken each and change neither case nor composition
 _PLAIN_WORD = re.compile(rf"([a-zà-öø-ÿ]+)?({MARKS}+)?")
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
+_MARKS = "".join(re.findall(MARKS, "".join(map(chr, range(128)))))
 _TEXT_CHARS = 1 << 18  # characters of texts tokenised together
 
 
@@ -109,7 +115,13 @@ class Words:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.cache = ChunkCache(self._encode)
+        self.cache = ChunkCache(self._encode, limit=200_000)
+        self.parts = ChunkCache(lambda parts: [little_endian(ids) for ids in model_ids(self.tokenizer, parts, _PLAIN_WORD, any_case=False)])
+        self.cache.known[""] = self.parts.known[""] = b""
+        # frequent words are kept here, and a cache of rare ones takes the model longer than their ids
+        resize = getattr(self.tokenizer.model, "_resize_cache", None)
+        if resize:
+            resize(0)
 
     @classmethod
     def of(cls, path: str) -> Words:
@@ -117,20 +129,53 @@ class Words:
         return state.get(("words", path)) or state.setdefault(("words", path), cls(path))
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [little_endian(ids) for ids in model_ids(self.tokenizer, words, _PLAIN_WORD, any_case=False)]
+        """Ids of words. Letters and the marks behind them are one pretoken each, and known where other words have them."""
+        bodies = [w.rstrip(_MARKS) for w in words]
+        letters = [b in self.parts.known or _LETTERS.fullmatch(b) for b in bodies]
+        marks = [w[len(b) :] for w, b in zip(words, bodies)]
+        known = self.parts.fill([[b for b, plain in zip(bodies, letters) if plain], [m for m, plain in zip(marks, letters) if plain]])
+        rest = [w for w, plain in zip(words, letters) if not plain]
+        other = iter(model_ids(self.tokenizer, rest, _PLAIN_WORD, any_case=False))
+        return [known[b] + known[m] if plain else little_endian(next(other)) for b, m, plain in zip(bodies, marks, letters)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of whole texts. No token crosses white space, so words are encoded one by one."""
-        parts = [[_words(s) for s in segments(t)] for t in texts]
+        parts = [list(segments(t)) for t in texts]
         if max(map(len, parts), default=0) > 1:  # a long text: one part of it at a time
-            return [b"".join(self._joined(p) for p in ps) for ps in parts]
-        known = self.cache.fill([p for ps in parts for p in ps])
-        return [b"".join(map(known.__getitem__, ps[0])) for ps in parts]
+            return [b"".join(self._ids([p])[0] for p in ps) for ps in parts]
+        return self._ids([p for ps in parts for p in ps])
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        plain = [_plain(t) for t in texts]
+        parts = pc.ascii_split_whitespace(pa.array([t or "" for t in plain], pa.large_string()))
+        coded = parts.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        made = list(map(self.cache.fill([words]).__getitem__, words))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        ids, word = np.frombuffer(b"".join(made), "<u4"), coded.indices.to_numpy()
+        size = sizes[word]
+        ends = np.append(0, np.cumsum(size))
+        data = ids[np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[parts.offsets.to_numpy()]).tolist()
+        return [data[a:b] if p is not None else self._joined(_words(t)) for t, p, a, b in zip(texts, plain, bounds, bounds[1:])]
 
     def _joined(self, words: list[str]) -> bytes:
         return b"".join(map(self.cache.fill([words]).__getitem__, words))
 
 
+def _plain(text: str) -> str | None:
+    """The text with its words as ``_words`` has them, if these lie between ASCII white space."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return None
+    if text.isascii():
+        return text if "<|" in text else text.lower()
+    if not _WIDE.search(text):
+        return text.lower()
+    if _WIDE_SPACE.search(text):
+        return None
+    return text if _NOT_PLAIN.search(text) else text.lower()
+
+
 def _words(text: str) -> list[str]:
     """Words of a text, in lower case where any two ways of lowering agree."""
     if _SEPARATORS.search(text):

@@ -59,6 +59,21 @@ def test_contexts_compress():
     assert bits["random"] < 16.6 and bits["skewed"] < 1.6 * entropy["skewed"]
 
 
+def test_model_learns_epoch_by_epoch(monkeypatch):
+    ids, learnt, learn = np.array(STREAMS["skewed"], np.uint32), [], mixcoder.Mixer.learn
+    monkeypatch.setattr(mixcoder.Mixer, "learn", lambda model, *taken: learnt.append(1) or learn(model, *taken))
+    table, data = mixcoder.pack(ids, 50000)
+    assert mixcoder.unpack(table, data, 50000).tolist() == ids.tolist()
+    assert 2 < len(learnt) < int(table[:, 0].max()) / 4  # not once a position
+
+
+@pytest.mark.parametrize("length", [1, 2, 15, 16, 17, 32, 33, 511])
+def test_one_block(length):
+    for ids in (rng.integers(0, 40, length), np.arange(length) % 3 + 70000):
+        table, data = mixcoder.pack(ids.astype(np.uint32), 70003)
+        assert len(table) == 1 and mixcoder.unpack(table, data, 70003).tolist() == ids.tolist()
+
+
 def test_damage_is_found():
     ids = np.array(STREAMS["skewed"], np.uint32)
     whole = idfiles.segment_bytes(3, 1, [4, None, 9], [5, 0, len(ids) - 5], ids) + b"\n"

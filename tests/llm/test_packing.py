@@ -88,3 +88,19 @@ def test_parts_of_long_texts_join_exactly():
     parts = list(packing.segments(text, 500))
     assert "".join(parts) == text and len(parts) > 5
     assert np.frombuffer(b"".join(WORDS.ids(parts)), "<u4").tolist() == library(text)
+
+
+def test_letters_are_encoded_once_whatever_marks_follow(monkeypatch):
+    asked, model_ids = [], packing.model_ids
+    monkeypatch.setattr(packing, "model_ids", lambda tokenizer, words, *rest, **kind: asked.extend(words) or model_ids(tokenizer, words, *rest, **kind))
+    text = "Brightwaterly, brightwaterly. (brightwaterly) brightwaterly;! don't. été! ÉTÉ ...,"
+    (ids,) = packing.Words(PATH).ids([text])
+    assert np.frombuffer(ids, "<u4").tolist() == WORDS.tokenizer.encode(text, add_special_tokens=False).ids
+    assert sum(w.startswith("brightwaterly") for w in asked) == 1 and sum(w.startswith("été") for w in asked) == 1
+
+
+def test_texts_of_all_kinds_of_space_together():
+    texts = ["", " ", " a  b\x0b\x0cc\r\n", "a\x1cb c", "x\xa0y\u2003z", "n\x85m", "Ünder Über", "日本 Tokyo", "<|endoftext|> A <| b", "ﬁx ÅNGSTRÖM\u3000É", "last"]
+    expected = [WORDS.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in WORDS.ids(texts)] == expected
+    assert [np.frombuffer(ids, "<u4").tolist() for t in texts for ids in WORDS.ids([t])] == expected
