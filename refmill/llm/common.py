@@ -141,6 +141,21 @@ class ChunkCache:
             known.update(zip(some, self.make(some)))
         return known
 
+    def values(self, chunks: list[str]) -> list:
+        """Values of chunks that are all different, in their order; of new ones only those that stay are put in."""
+        known, make = self.known, self.make
+        found = list(map(known.get, chunks))
+        unseen = [n for n, value in enumerate(found) if value is None]
+        for at in range(0, len(unseen), 10_000):
+            some = unseen[at : at + 10_000]
+            new = [chunks[n] for n in some]
+            made = make(new)
+            for n, value in zip(some, made):
+                found[n] = value
+            room = max(0, self.limit - len(known))
+            known.update([(c, v) for c, v in zip(new, made) if len(c) <= self.longest][:room] if room else ())
+        return found
+
 
 _CUT = re.compile(r"(?<=\S)[ \t\n\r]")
 

@@ -131,12 +131,16 @@ class Words:
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of words. Letters and the marks behind them are one pretoken each, and known where other words have them."""
         bodies = [w.rstrip(_MARKS) for w in words]
-        letters = [b in self.parts.known or _LETTERS.fullmatch(b) for b in bodies]
         marks = [w[len(b) :] for w, b in zip(words, bodies)]
-        known = self.parts.fill([[b for b, plain in zip(bodies, letters) if plain], [m for m, plain in zip(marks, letters) if plain]])
-        rest = [w for w, plain in zip(words, letters) if not plain]
+        heads = list(map(self.parts.known.get, bodies))
+        new = list({b for b, ids in zip(bodies, heads) if ids is None and _LETTERS.fullmatch(b)})
+        of_letters = dict(zip(new, self.parts.values(new)))
+        different = list(set(marks))
+        of_marks = dict(zip(different, self.parts.values(different)))
+        heads = [of_letters.get(b) if ids is None else ids for b, ids in zip(bodies, heads)]
+        rest = [w for w, ids in zip(words, heads) if ids is None]
         other = iter(model_ids(self.tokenizer, rest, _PLAIN_WORD, any_case=False))
-        return [known[b] + known[m] if plain else little_endian(next(other)) for b, m, plain in zip(bodies, marks, letters)]
+        return [little_endian(next(other)) if ids is None else ids + of_marks[m] for ids, m in zip(heads, marks)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of whole texts. No token crosses white space, so words are encoded one by one."""
@@ -150,7 +154,7 @@ class Words:
         parts = pc.ascii_split_whitespace(pa.array([t or "" for t in plain], pa.large_string()))
         coded = parts.values.dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        made = list(map(self.cache.fill([words]).__getitem__, words))
+        made = self.cache.values(words)
         sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
         ids, word = np.frombuffer(b"".join(made), "<u4"), coded.indices.to_numpy()
         size = sizes[word]
