@@ -2,9 +2,10 @@
 
 Python only unpacks the zip and walks the XML; shared strings, styles, dates and
 kinds are resolved by Spark joins and expressions. The packed sheets are handed out
-one by one. A large sheet, or table of strings, is inflated by one task, which is quick, and cut
+one by one, in slices of bounded size. A large sheet, or table of strings, is inflated by one task, which is quick, and cut
 between rows into pieces that begin with the sheet's own opening and know the number of the row
 before them; so the walk through one sheet is shared by many tasks, each in constant memory.
+A workbook too large for a row comes in blocks, which the unpacking task puts on its disk.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from __future__ import annotations
 import io
 import re
 import struct
+import tempfile
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
-from typing import TYPE_CHECKING
+from itertools import chain, groupby
+from typing import TYPE_CHECKING, BinaryIO
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +36,9 @@ BATCH = 20_000
 CHUNK = 1 << 20
 PIECE = 2 << 20  # bytes of XML in a piece of a large part; a longer row makes a longer piece
 SPLIT_PART = 256 << 10  # packed bytes from which a part is cut
+SLICE = 256 << 10  # packed bytes of a part in a row
 
-PART_DDL = "workbook string, part string, method int, data binary, error string"
+PART_DDL = "workbook string, part string, method int, data binary, error string, entry int, slice int"
 PIECE_DDL = "workbook string, part string, method int, data binary, error string, before int, piece int"
 EVENT_DDL = "workbook string, part string, what string, r int, ref string, type string, style int, text string"
 
@@ -68,33 +71,60 @@ def _framed(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Still-compressed parts of each workbook, one row per part."""
-    yield from _framed(_parts(batches), ["workbook", "part", "method", "data", "error"])
+    """Still-compressed parts of each workbook, one row per part, or per slice of a large one."""
+    whole = ((path, io.BytesIO(content)) for batch in batches for path, content in zip(batch["path"], batch["content"]))
+    yield from _framed(_parts(whole), ["workbook", "part", "method", "data", "error", "entry", "slice"])
+
+
+def _unpack_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same of workbooks in blocks, which come in order."""
+    yield from _framed(_parts(_put_together(batches)), ["workbook", "part", "method", "data", "error", "entry", "slice"])
+
+
+def _put_together(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, BinaryIO]]:
+    blocks = ((path, content) for batch in batches for path, content in zip(batch["path"], batch["content"]))
+    for path, own in groupby(blocks, key=lambda block: block[0]):
+        with tempfile.TemporaryFile() as file:
+            for _, content in own:
+                file.write(content or b"")
+            yield path, file
+
+
+def _parts(files: Iterator[tuple[str, BinaryIO]]) -> Iterator[tuple]:
+    entry = 0  # tells parts of one name apart
+    for path, file in files:
+        try:
+            with zipfile.ZipFile(file) as archive:
+                wanted = [(info, _data_start(file, info)) for info in archive.infolist() if _WANTED.match(info.filename)]
+            if not any(info.filename == "xl/workbook.xml" for info, _ in wanted):
+                raise ValueError("no workbook part in the file")
+        except Exception as error:  # a broken file is a row, not a failed job
+            yield path, None, None, None, f"{type(error).__name__}: {error}"[:500], entry, 0
+            entry += 1
+            continue
+        for info, start in wanted:
+            for n, data in enumerate(_slices(file, start, info.compress_size)):
+                yield path, info.filename, info.compress_type, data, None, entry, n
+            entry += 1
 
 
-def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows = []
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for info in archive.infolist():
-                        if _WANTED.match(info.filename):
-                            name_len, extra_len = struct.unpack("<HH", content[info.header_offset + 26 : info.header_offset + 30])
-                            start = info.header_offset + 30 + name_len + extra_len
-                            data = content[start : start + info.compress_size]
-                            rows.append((path, info.filename, info.compress_type, data, None))
-                if not any(part == "xl/workbook.xml" for _, part, *_ in rows):
-                    raise ValueError("no workbook part in the file")
-            except Exception as error:  # a broken file is a row, not a failed job
-                rows = [(path, None, None, None, f"{type(error).__name__}: {error}"[:500])]
-            yield from rows
-
-
-def _inflated(data: bytes, method: int) -> Iterator[bytes]:
+def _data_start(file: BinaryIO, info: zipfile.ZipInfo) -> int:
+    file.seek(info.header_offset + 26)
+    name_len, extra_len = struct.unpack("<HH", file.read(4))
+    return info.header_offset + 30 + name_len + extra_len
+
+
+def _slices(file: BinaryIO, start: int, size: int) -> Iterator[bytes]:
+    """At least one; a file that ends early has fewer."""
+    file.seek(start)
+    yield file.read(min(size, SLICE))
+    while (size := size - SLICE) > 0 and (some := file.read(min(size, SLICE))):
+        yield some
+
+
+def _inflated(data: Iterable[bytes], method: int) -> Iterator[bytes]:
     inflate = zlib.decompressobj(-15) if method == zipfile.ZIP_DEFLATED else None
-    for at in range(0, len(data), CHUNK):
-        rest = data[at : at + CHUNK]
+    for rest in (some[at : at + CHUNK] for some in data for at in range(0, len(some), CHUNK)):
         if not inflate:
             yield rest
             continue
@@ -103,7 +133,7 @@ def _inflated(data: bytes, method: int) -> Iterator[bytes]:
             rest = inflate.unconsumed_tail
 
 
-def _cut(data: bytes, method: int, element: str) -> Iterator[tuple[int, bytes]]:
+def _cut(data: Iterable[bytes], method: int, element: str) -> Iterator[tuple[int, bytes]]:
     """``(number of the last element before, XML)`` of a part cut between elements; what precedes the first one opens every piece."""
     opening = re.compile(rf"<((?:[\w.-]+:)?){element}(?=[\s/>])".encode())
     head, close, tag, held, before = None, b"", None, b"", 0
@@ -152,19 +182,39 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cut_parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            element = "row" if (row.part or "").startswith("xl/worksheets/") else "si" if row.part == "xl/sharedStrings.xml" else None
-            if row.error is not None or element is None or len(row.data) < SPLIT_PART:
-                yield (*row, 0, 0)
-                continue
-            n = 0
-            try:
-                for n, (before, piece) in enumerate(_cut(row.data, int(row.method), element)):
-                    yield row.workbook, row.part, zipfile.ZIP_STORED, piece, None, before, n
-            except Exception as problem:
-                error = f"{type(problem).__name__}: {problem}"[:500]
-                yield row.workbook, row.part, None, None, error, 0, n + 1
+    for row, data in _by_part(batches):
+        element = "row" if (row.part or "").startswith("xl/worksheets/") else "si" if row.part == "xl/sharedStrings.xml" else None
+        if row.error is not None:
+            yield row.workbook, row.part, row.method, row.data, row.error, 0, 0
+            continue
+        head = b""
+        while (element is None or len(head) < SPLIT_PART) and (some := next(data, b"")):
+            head += some
+        if element is None or len(head) < SPLIT_PART:
+            yield row.workbook, row.part, row.method, head, None, 0, 0
+            continue
+        n = 0
+        try:
+            for n, (before, piece) in enumerate(_cut(chain([head], data), int(row.method), element)):
+                yield row.workbook, row.part, zipfile.ZIP_STORED, piece, None, before, n
+        except Exception as problem:
+            error = f"{type(problem).__name__}: {problem}"[:500]
+            yield row.workbook, row.part, None, None, error, 0, n + 1
+
+
+def _by_part(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """The first row of each part with the data of all its slices; a part's rows come one after the other."""
+
+    def numbered() -> Iterator[tuple]:
+        number = 0
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                number += row.slice == 0
+                yield number, row
+
+    for _, rows in groupby(numbered(), key=lambda x: x[0]):
+        _, first = next(rows)
+        yield first, chain([first.data], (row.data for _, row in rows))
 
 
 def _walk(data: bytes, method: int, before: int = 0) -> Iterator[tuple]:
@@ -176,7 +226,7 @@ def _walk(data: bytes, method: int, before: int = 0) -> Iterator[tuple]:
     col = 0
     path: list = []
     text: list[str] = []
-    for some in chain(_inflated(data, method), [b""]):
+    for some in chain(_inflated([data], method), [b""]):
         if some:
             parser.feed(some)
         elif hasattr(parser, "flush"):
@@ -261,11 +311,20 @@ def scan_workbooks(spark: SparkSession, path: str, recursive: bool = True) -> Wo
 
 
 def parse_workbooks(files: DataFrame) -> Workbooks:
-    """``files(path, content)`` → relations. The parsed XML is staged once for all of them."""
+    """``files(path, content)`` → relations. The parsed XML is staged once for all of them.
+
+    With a column ``block``, a file's content is that of its rows in the order of their blocks.
+    """
     suffix = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
     readable = files.where(suffix.isin(*SUFFIXES))
     spark = files.sparkSession
-    parts = readable.mapInPandas(_unpack, PART_DDL).repartition("workbook", "part")
+    if "block" in files.columns:
+        parts = readable.repartition("path").sortWithinPartitions("path", "block").mapInPandas(_unpack_blocks, PART_DDL)
+        files = files.select("path").distinct()
+    else:
+        parts = readable.mapInPandas(_unpack, PART_DDL)
+    numbered = parts.withColumn("task", F.spark_partition_id())  # files of one path may come from several tasks
+    parts = numbered.repartition("workbook", "part").sortWithinPartitions("workbook", "part", "task", "entry", "slice")
     # a number of its own: the pieces of one workbook are few bytes and much work
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     pieces = parts.mapInPandas(_pieces, PIECE_DDL).repartition(tasks, "workbook", "part", "piece")
